@@ -77,7 +77,7 @@ def default_rules(text: str = "text") -> list[Rule]:
     return [
         Rule("word_length", (c("word_chars") > 20 * c("n_words")) | (c("word_chars") < 2 * c("n_words"))),
         Rule("symbols", 5 * c("n_symbols") > c("n_words")),
-        Rule("dup_lines", let(F.size(F.split(t, "\n")), lambda n: 10 * c("n_dup_lines") > 3 * n), 60, 0.6),
+        Rule("dup_lines", 10 * c("n_dup_lines") > 3 * F.size(F.split(t, "\n")), 60, 0.6),
         Rule("exclamations", 10 * (F.length(t) - F.length(F.translate(t, "!?", ""))) > 3 * c("n_words"), 60, 1.2),
         Rule("letters", 2 * letters() < c("word_chars"), 300, 6),
         Rule("capitals", 10 * capitals() > 3 * F.greatest(F.lit(30), letters()), 600, 14),

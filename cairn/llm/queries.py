@@ -5,10 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding
+from . import chat, mixing, quality, sharding, urlfilter
 from .common import materialize, table, words_of
 
 
+#: Verdicts and the host/path rules that the URL query applies.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: every address at which some page has a title with three or more of the characters # * $ %."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    title = F.regexp_extract(F.coalesce("html", F.lit("")), "(?s)<title>([^<]*)", 1)
+    spam = pages.where(F.length(title) - F.length(F.translate(title, "#*$%", "")) >= 3)
+    out = urlfilter.filter_urls(pages.select("page_id", "url"), "url", spam.select(urlfilter.canonical(F.col("url"))), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")
+    )
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
+    out = chat.render(chat.fold_events(chat.messages_as_events(rows.unionByName(more))))
+    read = out.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    digests = read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return digests.select(
+        "conv_id", "n_turns", F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_filter(docs).select(
@@ -34,7 +64,54 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: White space as DuckDB's regular expressions write it.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HOST = _LOWER.format(r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")
+_PATH = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
+
+
+def _escaped(text: str) -> str:
+    out = f"replace({text}, '{chat.ESC}', '{chat.ESC}e')"
+    for control, code in chat.CODES.items():
+        out = f"replace({out}, '{control}', '{chat.ESC}{code}')"
+    return out
+
+
 ORACLES = {
+    "op3_url_filters": rf"""
+        WITH u AS (SELECT page_id, url, html, {_HOST} AS host, {_PATH} AS path, regexp_extract(coalesce(html, ''), '<title>([^<]*)', 1) AS title,
+            list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^#?]*\?([^#]*)', 1), '&'),
+                lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params FROM pages),
+        c AS (SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+            || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical_url FROM u),
+        l AS (SELECT DISTINCT canonical_url AS x FROM c WHERE length(title) - length(translate(title, '#*$%', '')) >= 3),
+        r(verdict, h, p) AS (VALUES {', '.join(f"('{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)}),
+        f AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS v
+            FROM c JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(v, CASE WHEN x IS NULL THEN 'allow' ELSE 'block' END) AS verdict, canonical_url, x IS NOT NULL AS listed
+        FROM c LEFT JOIN l ON canonical_url = x LEFT JOIN f USING (page_id)""",
+    "op4_chat_format": rf"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        g AS (SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+            coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+            sum({len(chat.START) + len(chat.END) + 2} + length(replace({_escaped('role')}, chr(10), '{chat.ESC}n')) + length({_escaped('text')}))::BIGINT AS formatted_chars
+            FROM c GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
+    "op7_quality_rules": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+        i AS (SELECT row_number() OVER () AS k, *, length(translate(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::BIGINT AS word_chars,
+            length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+            list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+        p AS (SELECT k, w, unnest(range(1, len(w) - 1)) AS j FROM i),
+        n AS (SELECT k, j, count(*) OVER (PARTITION BY k, w[j], w[j + 1], w[j + 2]) AS c FROM p),
+        q AS (SELECT k, count(DISTINCT x) AS r FROM (SELECT k, unnest([j, j + 1, j + 2]) AS x FROM n WHERE c > 1) GROUP BY k),
+        b AS (SELECT doc_id, text, len(w)::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+            coalesce(r, 0)::BIGINT AS n_repeat_words, length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS letters, length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS capitals,
+            length(text) - length(translate(text, '!?', '')) AS marks, len(string_split(text, chr(10))) AS n_lines FROM i LEFT JOIN q USING (k)),
+        v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT (base_failed OR word_chars > 20 * n_words OR word_chars < 2 * n_words OR 5 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                OR 10 * marks > 3 * n_words OR 2 * letters < word_chars OR 10 * capitals > 3 * greatest(30, letters)) AS kept FROM v""",
     "op9_mixing": rf"""
         WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -48,4 +125,4 @@ ORACLES = {
         SELECT doc_id, size, source_size, target, (size * (floor(k::DOUBLE * each + u) - floor((k - 1)::DOUBLE * each + u)))::BIGINT AS taken FROM e""",
 }
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules, op8_sharding, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op3_url_filters, op4_chat_format, op7_quality_rules, op8_sharding, op9_mixing)}
