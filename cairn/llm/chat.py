@@ -108,9 +108,15 @@ def render(messages: DataFrame) -> DataFrame:
     return whole.select("conv_id", text.alias("formatted"), spans.alias("loss_mask"))
 
 
+def masked_texts(formatted: Column, loss_mask: Column) -> Column:
+    """The texts under the loss mask, unescaped, in order."""
+    return F.transform(F.filter(loss_mask, lambda s: s["loss"]), lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"])))
+
+
 def read_back(formatted: Column) -> Column:
     """The turns (role, text) that a rendered conversation holds, in order."""
-    marked = F.slice(F.split(formatted, "\\Q" + START + "\\E"), 2, 2147483647)
+    parts = F.split(formatted, "\\Q" + START + "\\E")
+    marked = F.slice(parts, F.lit(2), F.size(parts))
     body = lambda t: F.substr(t, F.lit(1), F.length(t) - len(END) - 1)
     cut = lambda t: F.struct(
         unescape_role(F.substring_index(t, "\n", 1)).alias("role"),

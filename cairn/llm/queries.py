@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality, sharding, urlfilter
+from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, toxicity, urlfilter
 from .common import materialize, table, words_of
 
 
@@ -13,6 +13,26 @@ from .common import materialize, table, words_of
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def held_out(doc_id: str) -> Column:
+    """Whether a row's labels are kept from learning."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontam.question_and_answer(table(spark, sf_dir, "benchmark").select("item_id", "text"), "text")
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), "doc_id", "text", items, "item_id", "question", "answer")
+    return found.select("doc_id", "item_id", "question_overlap", "answer_overlap")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels: those of at most 20,000 rows that are not held out, taken by a hash of the id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labels = labels.where("toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20_000)
+    out = toxicity.toxicity(docs, "text", docs.join(F.broadcast(labels), "doc_id"), "toxic")
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "votes")
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: every address at which some page has a title with three or more of the characters # * $ %."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -29,9 +49,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
     out = chat.render(chat.fold_events(chat.messages_as_events(rows.unionByName(more))))
-    read = out.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"))
+    read = out.select("conv_id", "formatted", "loss_mask", chat.read_back(F.col("formatted")).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_mask")), "")
     digests = read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     return digests.select(
         "conv_id", "n_turns", F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
@@ -39,6 +59,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_filter(docs).select(
@@ -61,6 +91,24 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (host: their source) and pages (host and suffix of the address, declared language of the markup) together.
+
+    The text model is fitted on documents that are not held out. page_id is null for documents, doc_id for pages.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", "lang", F.col("source").alias("host"), F.lit(None).cast("string").alias("declared"))
+    html, url = F.coalesce("html", F.lit("")), F.col("url")
+    visible = F.regexp_replace(F.regexp_replace(html, "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", " "), "<[^>]*>", " ")
+    declared = F.nullif(F.lower(F.regexp_extract(html, "(?i)<html[^>]*\\blang=[\"']?([A-Za-z]+)", 1)), F.lit(""))
+    pages = table(spark, sf_dir, "pages").select(
+        F.lit(None).cast("long").alias("doc_id"), "page_id", visible.alias("text"), F.lit(None).cast("string").alias("lang"), F.nullif(urlfilter.host_of(url), F.lit("")).alias("host"), declared.alias("declared")
+    )
+    suffix = F.when(F.col("page_id").isNotNull(), F.substring_index("host", ".", -1))
+    labelled = docs.where(~held_out("doc_id")).select("text", "lang")
+    out = langid.identify(docs.unionByName(pages), "text", labelled, "lang", F.col("host"), suffix, F.col("declared"))
+    return out.select("doc_id", "page_id", "language", "confidence", "accepted")
+
+
 #: White space as DuckDB's regular expressions write it.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -76,7 +124,29 @@ def _escaped(text: str) -> str:
     return out
 
 
+_TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+
+
+def _overlap(part: str) -> str:
+    """Of each item, the share of the shingles of a part that each document has, as a CTE body."""
+    return f"""SELECT h.doc_id, s.item_id, count(*) / any_value(s.n)::DOUBLE AS share FROM (
+        SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM (SELECT DISTINCT item_id, unnest(list_transform(range(1, len({part}) - least(5, len({part})) + 2),
+            lambda i: array_to_string({part}[i:i + least(5, len({part})) - 1], ' '))) AS g FROM b WHERE len({part}) > 0)) s
+        JOIN g h ON s.g = h.g GROUP BY h.doc_id, s.item_id"""
+
+
 ORACLES = {
+    "op1_decontamination": rf"""
+        WITH i AS (SELECT item_id, coalesce(text, '') AS text, regexp_extract(coalesce(text, ''), '(?s)^(.*[.?!])\s+(\S.*)$', 2) AS answer FROM benchmark),
+        b AS (SELECT item_id, {_TOKENS.format("CASE WHEN answer = '' THEN text ELSE regexp_extract(text, '(?s)^(.*[.?!])\\s+(\\S.*)$', 1) END")} AS q, {_TOKENS.format("answer")} AS a FROM i),
+        d AS (SELECT doc_id, {_TOKENS.format("coalesce(text, '')")} AS w FROM documents),
+        k AS (SELECT DISTINCT unnest([least(5, len(q)), least(5, len(a))]) AS k FROM b),
+        g AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM d, k WHERE k > 0)),
+        x AS ({_overlap("q")}),
+        y AS ({_overlap("a")})
+        SELECT x.doc_id, x.item_id, x.share AS question_overlap, CASE WHEN len(b.a) = 0 THEN 1.0::DOUBLE ELSE y.share END AS answer_overlap
+        FROM x JOIN b ON x.item_id = b.item_id LEFT JOIN y ON x.doc_id = y.doc_id AND x.item_id = y.item_id
+        WHERE x.share >= 0.8 AND (len(b.a) = 0 OR y.share >= 0.8)""",
     "op3_url_filters": rf"""
         WITH u AS (SELECT page_id, url, html, {_HOST} AS host, {_PATH} AS path, regexp_extract(coalesce(html, ''), '<title>([^<]*)', 1) AS title,
             list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^#?]*\?([^#]*)', 1), '&'),
@@ -125,4 +195,7 @@ ORACLES = {
         SELECT doc_id, size, source_size, target, (size * (floor(k::DOUBLE * each + u) - floor((k - 1)::DOUBLE * each + u)))::BIGINT AS taken FROM e""",
 }
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op4_chat_format, op7_quality_rules, op8_sharding, op9_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id)
+}

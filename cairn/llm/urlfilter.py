@@ -84,8 +84,7 @@ def filter_urls(df: DataFrame, url: str, listed: DataFrame, rules: list[tuple[st
     names are replaced.
     """
     df = df.drop("host", "path", "canonical_url", "rule", "listed", "verdict")
-    name = listed.columns[0]
-    listed = materialize(listed.select(F.col(name).alias("listed_url")).where("listed_url is not null").distinct())
+    listed = materialize(listed.toDF("listed_url").where("listed_url is not null").distinct())
     blocks, n = build_filter(listed, "listed_url", listed.count())
     blocks = F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks
     taken = df.select("*", host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), canonical(F.col(url)).alias("canonical_url"))
