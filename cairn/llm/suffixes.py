@@ -10,14 +10,15 @@ together is its span.
 1. Grams that anchor only one place cannot lie in a repeated window: a count over all
    anchors rules most of them out.
 2. The spans of the rest, with the suffix from the anchor on, are range-partitioned by
-   the leading bytes of the suffix between splitters that Spark samples. Equal leading
-   bytes are never parted, so nothing is to be compared across a boundary.
+   the leading bytes of the suffix, between splitters from a bounded sample of texts.
+   Equal leading bytes are never parted, so no two suffixes that share a gram lie on two
+   sides of a boundary.
 3. Each bucket sorts its suffixes by multikey quicksort (eight bytes at a time; only
    what is still tied goes on to the next eight) and compares the windows of the
    suffixes that share a gram, in document order.
-4. Grams of more than HOT places would overfill a bucket: their spans are
-   first made distinct, and the windows of these are grouped by their bytes over the
-   whole cluster.
+4. Grams of more than HOT places could overfill a bucket: their spans are first made
+   distinct by a pre-aggregated grouping. Grams that still have more than HOT spans get
+   their windows grouped by their bytes over the whole cluster; the rest go to the buckets.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 WIDTH, GRAM = 100, 28
 GRAMS = WIDTH - GRAM + 1
 #: Places of a gram from which on its windows are compared by the whole cluster.
-HOT = 2048
+HOT = 8192
+#: Leading bytes that splitters look at; texts a bucket, about; the most buckets; suffixes of a sampled text.
+LEAD, TEXTS, BUCKETS, SAMPLED = 16, 2000, 1 << 16, 64
 #: Low bits of a packed hash that hold a place; longer texts are anchored piece by piece.
 PLACE_BITS = 20
 PIECE = (1 << PLACE_BITS) - 1
@@ -124,12 +127,8 @@ def repeated_windows(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
             yield doc, tie, first + start, first + n - 1
 
 
-def _compare(batches):
+def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     """A bucket, whole: sorted by suffix; suffixes that share their gram are compared."""
-    rows = [pdf for pdf in batches if len(pdf)]
-    if not rows:
-        return
-    pdf = pd.concat(rows, ignore_index=True)
     keys = [s[a:] for s, a in zip(pdf["span"], pdf["anchor"], strict=True)]
     order = multikey_order(keys)
     docs, ties, firsts, spans = (pdf[c].tolist() for c in ("doc", "tie", "first", "span"))
@@ -142,8 +141,7 @@ def _compare(batches):
         if end > at + 1:
             out += repeated_windows(sorted((docs[i], ties[i], firsts[i], spans[i]) for i in order[at:end]))
         at = end
-    if out:
-        yield pd.DataFrame(out, columns=["doc", "tie", "first", "last"])
+    return pd.DataFrame(out, columns=["doc", "tie", "first", "last"])
 
 
 def _windows(batches):
@@ -153,6 +151,22 @@ def _windows(batches):
             yield pd.DataFrame({"doc": doc, "tie": tie, "first": first + np.arange(n), "window": [span[i : i + WIDTH] for i in range(n)]})
 
 
+def splitters(texts: DataFrame) -> np.ndarray:
+    """The sorted leading bytes, at most BUCKETS - 1, that part the suffixes of a sample of texts evenly; that sample reaches the driver."""
+    n = texts.count()
+
+    def leads(batches):
+        for pdf in batches:
+            found = [b[a : a + LEAD] for b in pdf["bytes"] for a in anchors(b)[1][:SAMPLED].tolist()]
+            yield pd.DataFrame({"lead": pd.Series(found, dtype=object)})
+
+    buckets = max(1, min(BUCKETS, n // TEXTS))
+    share = min(1.0, 16 * buckets / max(1, n))
+    sample = texts.sample(fraction=share, seed=3).mapInPandas(leads, "lead binary").toPandas()["lead"]
+    sample = np.sort(np.array([bytes(x).ljust(LEAD, b"\0") for x in sample], f"S{LEAD}"))
+    return np.unique(sample[np.arange(1, buckets) * len(sample) // buckets]) if len(sample) else sample
+
+
 def union(runs: list) -> list[tuple[int, int]]:
     """The maximal byte ranges [start, end) that runs (first, last) of windows cover."""
     out: list[list[int]] = []
@@ -177,10 +191,11 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     different texts are ordered by a hash of the text. An empty table gives an empty
     result; extra columns are left out.
     """
+    spark = df.sparkSession
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     docs = df.select(F.col(id_col), order.alias("doc"), F.xxhash64(id_col, whole).alias("tie"), whole.alias("bytes"))
-    # One shuffle of the texts serves both joins below: the plan has it twice, Spark runs it once.
+    # One shuffle of the texts serves all joins below: the plan repeats it, Spark runs it once.
     placed = docs.repartition("doc", "tie")
 
     def anchor(batches):
@@ -197,31 +212,39 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
         F.collect_set(F.when(F.col("n") <= HOT, F.col("gram"))).alias("cold"), F.collect_set(F.when(F.col("n") > HOT, F.col("gram"))).alias("hot")
     )
 
-    def spans(batches):
-        for pdf in batches:
-            out = []
-            for doc, tie, b, cold, hot in zip(pdf["doc"], pdf["tie"], pdf["bytes"], pdf["cold"], pdf["hot"], strict=True):
-                gram, place, first, last = anchors(b)
-                is_hot = np.isin(gram, hot)
-                for i in np.flatnonzero(is_hot | np.isin(gram, cold)).tolist():
-                    f = int(first[i])
-                    out.append((doc, tie, bool(is_hot[i]), f, int(place[i]) - f, b[f : int(last[i]) + WIDTH]))
-            if out:
-                yield pd.DataFrame(out, columns=["doc", "tie", "hot", "first", "anchor", "span"])
-
-    candidates = placed.join(wanted, ["doc", "tie"]).select("doc", "tie", "bytes", "cold", "hot")
-    candidates = candidates.mapInPandas(spans, "doc long, tie long, hot boolean, first int, anchor int, span binary")
-    lead = F.substring("span", F.col("anchor") + 1, F.lit(GRAM))
-    bucketed = candidates.where("not hot").withColumn("lead", lead).repartitionByRange("lead")
-    cold_runs = bucketed.select("doc", "tie", "first", "anchor", "span").mapInPandas(_compare, RUN)
-
+    def spans(which):
+        def of(batches):
+            for pdf in batches:
+                out = []
+                for doc, tie, b, grams in zip(pdf["doc"], pdf["tie"], pdf["bytes"], pdf[which], strict=True):
+                    gram, place, first, last = anchors(b)
+                    for i in np.flatnonzero(np.isin(gram, grams)).tolist():
+                        f, a = int(first[i]), int(place[i])
+                        bucket = int(np.searchsorted(cuts.value, b[a : a + LEAD].ljust(LEAD, b"\0"), "right"))
+                        out.append((doc, tie, bucket, f, a - f, b[f : int(last[i]) + WIDTH]))
+                if out:
+                    yield pd.DataFrame(out, columns=["doc", "tie", "bucket", "first", "anchor", "span"])
+
+        rows = placed.join(wanted.where(F.size(which) > 0).select("doc", "tie", which), ["doc", "tie"])
+        return rows.select("doc", "tie", "bytes", which).mapInPandas(of, "doc long, tie long, bucket int, first int, anchor int, span binary")
+
+    cuts = spark.sparkContext.broadcast(splitters(long))
+    # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
     at = F.struct("doc", "tie", "first")
-    hot = candidates.where("hot").select(at.alias("at"), "span")
-    spans_seen = hot.groupBy("span").agg(F.min("at").alias("earliest"))
-    repeats = hot.join(spans_seen.withColumnRenamed("span", "same"), F.col("span") == F.col("same")).where("at != earliest")
+    hot = spans("hot").select(at.alias("at"), "bucket", "anchor", "span")
+    distinct = hot.groupBy("bucket", "anchor", "span").agg(F.min("at").alias("earliest"))
+    same = distinct.select(F.col("span").alias("same"), F.col("anchor").alias("same_anchor"), "earliest")
+    repeats = hot.join(same, (F.col("span") == F.col("same")) & (F.col("anchor") == F.col("same_anchor"))).where("at != earliest")
     hot_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).cast("int").alias("last"))
-    windows = spans_seen.select("earliest.doc", "earliest.tie", "earliest.first", "span").mapInPandas(_windows, "doc long, tie long, first int, window binary")
-    windows = windows.select(F.struct("doc", "tie", "first").alias("at"), "window")
+    lead = F.substring("span", F.col("anchor") + 1, F.lit(GRAM))
+    spans_left = distinct.withColumn("lead", lead)
+    many = spans_left.groupBy(F.col("lead").alias("counted")).agg(F.count("*").alias("n"))
+    spans_left = spans_left.join(many, F.col("lead") == F.col("counted"))
+    few = spans_left.where(F.col("n") <= HOT).select("earliest.doc", "earliest.tie", "bucket", "earliest.first", "anchor", "span")
+    cold_runs = spans("cold").unionByName(few).groupBy("bucket").applyInPandas(_compare, RUN)
+
+    windows = spans_left.where(F.col("n") > HOT).select("earliest.doc", "earliest.tie", "earliest.first", "span")
+    windows = windows.mapInPandas(_windows, "doc long, tie long, first int, window binary").select(at.alias("at"), "window")
     earliest = windows.groupBy(F.col("window").alias("same")).agg(F.min("at").alias("earliest"))
     later = windows.join(earliest, F.col("window") == F.col("same")).where("at != earliest")
     window_runs = later.select("at.doc", "at.tie", "at.first", F.col("at.first").alias("last"))
