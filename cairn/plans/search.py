@@ -1,0 +1,61 @@
+"""Search results made from the documents: three engines list them at different places."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.functions import text
+from cairn.operators import search
+
+from .catalogue import query, table
+
+ENGINES = (("alpha", 1.0, 3), ("beta", 2.0, 5), ("gamma", 0.5, 7))
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.substring("text", 1, 80).alias("text"))
+    parts = None
+    for engine, weight, step in ENGINES:
+        part = docs.where(F.col("doc_id") % step < 2).select(
+            F.col("source").alias("query"), F.lit(engine).alias("engine"), (F.col("doc_id") % 10 + step).cast("int").alias("position"),
+            F.concat(F.lit("https://" if step == 3 else "http://"), F.lit("example.org/"), F.col("doc_id")).alias("url"), F.expr(f"substring(text, 1, {20 + step})").alias("title"),
+            F.expr(f"substring(text, 1, {80 - step})").alias("content"), F.lit("default.html").alias("template"), F.lit(None).cast("string").alias("img_src"), F.lit(weight).alias("weight"), F.col("lang").alias("category"),
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+_PARTS = " UNION ALL ".join(
+    f"SELECT source AS query, '{e}' AS engine, (doc_id % 10 + {s})::INT AS position, doc_id, {w}::DOUBLE AS weight, left(text, least(80, {20 + s})) AS title, {int(s == 3)} AS secure FROM documents WHERE doc_id % {s} < 2" for e, w, s in ENGINES
+)
+
+
+@query(f"""
+    SELECT query, CASE WHEN max(secure) = 1 THEN 'https' ELSE 'http' END || '://example.org/' || doc_id AS url, arg_max(title, length(title) * 1000 - position) AS title,
+        list_sort(list(DISTINCT engine)) AS engines, list_sort(list(position)) AS positions,
+        round(product(weight) * count(*) * sum(1 / position::DOUBLE), 9) AS score FROM ({_PARTS}) GROUP BY query, doc_id""")
+def serp_merge_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = search.with_score(search.merge_results(results(spark, sf_dir)))
+    return scored.select("query", "url", "title", "engines", "positions", F.round("score", 9).alias("score"))
+
+
+@query()
+def serp_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ordered_results(search.with_score(search.merge_results(results(spark, sf_dir))))
+
+
+@query()
+def relevance_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages scored against their host as concept; those of 18 points or more."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    name = F.substring_index("title", " ", 1)
+    scored = pages.withColumn("score", text.relevance(name, F.array(F.substring_index("title", " ", 2)), F.col("title"), F.col("url"), F.lit("")))
+    return scored.where("score >= 18").select("page_id", "title", "score")
+
+
+@query()
+def query_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    asked = F.concat(F.lit("!images :"), F.col("lang"), F.lit(" <"), F.col("doc_id") % 300, F.lit(" !!g "), F.col("source"))
+    return docs.select("doc_id", search.parse_query(asked, ("images", "general"), ("en", "de", "fr", "es")).alias("q")).select("doc_id", "q.*")
