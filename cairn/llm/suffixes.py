@@ -194,7 +194,7 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     spark = df.sparkSession
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    docs = df.select(F.col(id_col), order.alias("doc"), F.xxhash64(id_col, whole).alias("tie"), whole.alias("bytes"))
+    docs = df.select(F.col(id_col).alias("id"), order.alias("doc"), F.xxhash64(id_col, whole).alias("tie"), whole.alias("bytes"))
     # One shuffle of the texts serves all joins below: the plan repeats it, Spark runs it once.
     placed = docs.repartition("doc", "tie")
 
@@ -208,15 +208,14 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     found = long.mapInPandas(anchor, "doc long, tie long, gram long")
     counts = found.groupBy(F.col("gram").alias("counted")).agg(F.count("*").alias("n")).where("n > 1")
     shared = found.join(counts, F.col("gram") == F.col("counted"))
-    wanted = shared.groupBy("doc", "tie").agg(
-        F.collect_set(F.when(F.col("n") <= HOT, F.col("gram"))).alias("cold"), F.collect_set(F.when(F.col("n") > HOT, F.col("gram"))).alias("hot")
-    )
+    marked = F.struct("gram", (F.col("n") > HOT).alias("hot"))
+    wanted = shared.groupBy("doc", "tie").agg(F.collect_set(marked).alias("grams"))
 
-    def spans(which):
+    def spans(hot: bool) -> DataFrame:
         def of(batches):
             for pdf in batches:
                 out = []
-                for doc, tie, b, grams in zip(pdf["doc"], pdf["tie"], pdf["bytes"], pdf[which], strict=True):
+                for doc, tie, b, grams in zip(pdf["doc"], pdf["tie"], pdf["bytes"], pdf["grams"], strict=True):
                     gram, place, first, last = anchors(b)
                     for i in np.flatnonzero(np.isin(gram, grams)).tolist():
                         f, a = int(first[i]), int(place[i])
@@ -225,13 +224,15 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
                 if out:
                     yield pd.DataFrame(out, columns=["doc", "tie", "bucket", "first", "anchor", "span"])
 
-        rows = placed.join(wanted.where(F.size(which) > 0).select("doc", "tie", which), ["doc", "tie"])
-        return rows.select("doc", "tie", "bytes", which).mapInPandas(of, "doc long, tie long, bucket int, first int, anchor int, span binary")
+        mine = F.transform(F.filter("grams", lambda g: g["hot"] == hot), lambda g: g["gram"])
+        # With the id, which nothing here reads, the shuffle of texts is the same as that of the last join.
+        rows = placed.join(wanted.withColumn("grams", mine).where(F.size("grams") > 0), ["doc", "tie"])
+        return rows.select("doc", "tie", "bytes", "grams", "id").mapInPandas(of, "doc long, tie long, bucket int, first int, anchor int, span binary")
 
     cuts = spark.sparkContext.broadcast(splitters(long))
     # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
     at = F.struct("doc", "tie", "first")
-    hot = spans("hot").select(at.alias("at"), "bucket", "anchor", "span")
+    hot = spans(True).select(at.alias("at"), "bucket", "anchor", "span")
     distinct = hot.groupBy("bucket", "anchor", "span").agg(F.min("at").alias("earliest"))
     same = distinct.select(F.col("span").alias("same"), F.col("anchor").alias("same_anchor"), "earliest")
     repeats = hot.join(same, (F.col("span") == F.col("same")) & (F.col("anchor") == F.col("same_anchor"))).where("at != earliest")
@@ -241,7 +242,7 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     many = spans_left.groupBy(F.col("lead").alias("counted")).agg(F.count("*").alias("n"))
     spans_left = spans_left.join(many, F.col("lead") == F.col("counted"))
     few = spans_left.where(F.col("n") <= HOT).select("earliest.doc", "earliest.tie", "bucket", "earliest.first", "anchor", "span")
-    cold_runs = spans("cold").unionByName(few).groupBy("bucket").applyInPandas(_compare, RUN)
+    cold_runs = spans(False).unionByName(few).groupBy("bucket").applyInPandas(_compare, RUN)
 
     windows = spans_left.where(F.col("n") > HOT).select("earliest.doc", "earliest.tie", "earliest.first", "span")
     windows = windows.mapInPandas(_windows, "doc long, tie long, first int, window binary").select(at.alias("at"), "window")
@@ -266,4 +267,4 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
         return pd.DataFrame(out, columns=["n_removed", "n_spans", "removed", "kept"])
 
     joined = placed.join(runs, ["doc", "tie"], "left").withColumn("cut", cut("bytes", "runs"))
-    return joined.select(F.col(id_col), F.length("bytes").cast("long").alias("n_bytes"), "cut.n_removed", "cut.n_spans", "cut.removed", "cut.kept")
+    return joined.select(F.col("id").alias(id_col), F.length("bytes").cast("long").alias("n_bytes"), "cut.n_removed", "cut.n_spans", "cut.removed", "cut.kept")
