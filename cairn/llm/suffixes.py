@@ -16,9 +16,11 @@ together is its span.
 3. Each bucket sorts its suffixes by multikey quicksort (eight bytes at a time; only
    what is still tied goes on to the next eight) and compares the windows of the
    suffixes that share a gram, in document order.
-4. Grams of more than HOT places could overfill a bucket: their spans are first made
-   distinct by a pre-aggregated grouping. Grams that still have more than HOT spans get
-   their windows grouped by their bytes over the whole cluster; the rest go to the buckets.
+4. Grams of more than HOT places could overfill a bucket: their spans are made distinct
+   by a pre-aggregated grouping, and the windows of these are grouped by their bytes over
+   the whole cluster.
+
+Copies of whole texts are told by digests beforehand: only the first goes through this.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WIDTH, GRAM = 100, 28
+WIDTH, GRAM = 100, 20
 GRAMS = WIDTH - GRAM + 1
 #: Places of a gram from which on its windows are compared by the whole cluster.
 HOT = 8192
@@ -194,7 +196,7 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     spark = df.sparkSession
     whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    docs = df.select(F.col(id_col).alias("id"), order.alias("doc"), F.xxhash64(id_col, whole).alias("tie"), whole.alias("bytes"))
+    docs = df.select(F.col(id_col).alias("id"), order.alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("bytes"))
     # One shuffle of the texts serves all joins below: the plan repeats it, Spark runs it once.
     placed = docs.repartition("doc", "tie")
 
@@ -208,8 +210,14 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     found = long.mapInPandas(anchor, "doc long, tie long, gram long")
     counts = found.groupBy(F.col("gram").alias("counted")).agg(F.count("*").alias("n")).where("n > 1")
     shared = found.join(counts, F.col("gram") == F.col("counted"))
+    # Copies of a whole text repeat throughout: only the first of each text is looked into.
+    texts = docs.where(F.length("bytes") >= WIDTH).select("doc", "tie", F.crc32("bytes").alias("crc"), F.length("bytes").alias("n"))
+    firsts = texts.groupBy("tie", "crc", "n").agg(F.min("doc").alias("doc"))
+    copies = texts.join(firsts.withColumnRenamed("doc", "of"), ["tie", "crc", "n"]).where("doc != of").distinct()
+    copy_runs = copies.select("doc", "tie", F.lit(0).alias("first"), (F.col("n") - WIDTH).alias("last"))
     marked = F.struct("gram", (F.col("n") > HOT).alias("hot"))
     wanted = shared.groupBy("doc", "tie").agg(F.collect_set(marked).alias("grams"))
+    wanted = wanted.join(firsts.select("doc", "tie"), ["doc", "tie"], "left_semi")
 
     def spans(hot: bool) -> DataFrame:
         def of(batches):
@@ -230,27 +238,21 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
         return rows.select("doc", "tie", "bytes", "grams", "id").mapInPandas(of, "doc long, tie long, bucket int, first int, anchor int, span binary")
 
     cuts = spark.sparkContext.broadcast(splitters(long))
+    cold_runs = spans(False).groupBy("bucket").applyInPandas(_compare, RUN)
     # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
     at = F.struct("doc", "tie", "first")
-    hot = spans(True).select(at.alias("at"), "bucket", "anchor", "span")
-    distinct = hot.groupBy("bucket", "anchor", "span").agg(F.min("at").alias("earliest"))
-    same = distinct.select(F.col("span").alias("same"), F.col("anchor").alias("same_anchor"), "earliest")
-    repeats = hot.join(same, (F.col("span") == F.col("same")) & (F.col("anchor") == F.col("same_anchor"))).where("at != earliest")
+    hot = spans(True).select(at.alias("at"), "span")
+    distinct = hot.groupBy("span").agg(F.min("at").alias("earliest"))
+    repeats = hot.join(distinct.withColumnRenamed("span", "same"), F.col("span") == F.col("same")).where("at != earliest")
     hot_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).cast("int").alias("last"))
-    lead = F.substring("span", F.col("anchor") + 1, F.lit(GRAM))
-    spans_left = distinct.withColumn("lead", lead)
-    many = spans_left.groupBy(F.col("lead").alias("counted")).agg(F.count("*").alias("n"))
-    spans_left = spans_left.join(many, F.col("lead") == F.col("counted"))
-    few = spans_left.where(F.col("n") <= HOT).select("earliest.doc", "earliest.tie", "bucket", "earliest.first", "anchor", "span")
-    cold_runs = spans(False).unionByName(few).groupBy("bucket").applyInPandas(_compare, RUN)
-
-    windows = spans_left.where(F.col("n") > HOT).select("earliest.doc", "earliest.tie", "earliest.first", "span")
+
+    windows = distinct.select("earliest.doc", "earliest.tie", "earliest.first", "span")
     windows = windows.mapInPandas(_windows, "doc long, tie long, first int, window binary").select(at.alias("at"), "window")
     earliest = windows.groupBy(F.col("window").alias("same")).agg(F.min("at").alias("earliest"))
     later = windows.join(earliest, F.col("window") == F.col("same")).where("at != earliest")
     window_runs = later.select("at.doc", "at.tie", "at.first", F.col("at.first").alias("last"))
 
-    runs = cold_runs.unionByName(hot_runs).unionByName(window_runs)
+    runs = cold_runs.unionByName(hot_runs).unionByName(window_runs).unionByName(copy_runs)
     runs = runs.groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     @F.pandas_udf("struct<n_removed:long,n_spans:long,removed:array<array<int>>,kept:binary>")
