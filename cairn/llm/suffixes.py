@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 
 WIDTH, GRAM = 100, 20
 GRAMS = WIDTH - GRAM + 1
-#: Places of a gram from which on its windows are compared by the whole cluster.
-HOT = 8192
+#: Places of a gram beyond which its windows are compared by the whole cluster. A task's memory sets it: at worst,
+#: every span differs, it holds HOT * (WIDTH - GRAM) / 2 windows of a gram, some 400 MB; their like in one gram is rare.
+HOT = 1 << 16
 #: Leading bytes that splitters look at; texts a bucket, about; the most buckets; suffixes of a sampled text.
 LEAD, TEXTS, BUCKETS, SAMPLED = 16, 2000, 1 << 16, 64
 #: Low bits of a packed hash that hold a place; longer texts are anchored piece by piece.
