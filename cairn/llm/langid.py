@@ -120,14 +120,14 @@ def smoothed(rows: DataFrame, key: str, parent: str, n: int, strength: float, to
     """(key, `to`): the distribution of `p` among the rows of each key, with `strength` pseudo-counts of its parent's distribution."""
     sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(parent).alias("above"), F.sum(F.lit(1.0)).alias("n"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
     mixed = [(F.col(f"s{i}") + strength * F.col("above")[i]) / (F.col("n") + strength) for i in range(n)]
-    return sums.select(F.col(key).alias(f"{key}_of"), F.array(*mixed).alias(to))
+    return sums.select(F.col(key).alias(f"__{key}_of"), F.array(*mixed).alias(to))
 
 
 def identify(
     df: DataFrame, text: str, labelled: DataFrame, label: str, host: Column | None = None, suffix: Column | None = None, declared: Column | None = None,
     labelled_text: str = "text", max_rows: int = 20_000, max_languages: int = 32, weight: int = 24, strength: float = 50.0, min_confidence: float = 0.5,
 ) -> DataFrame:
-    """Add `language`, `confidence` (its posterior) and `accepted`; the result is narrow in time but keeps every column of `df`.
+    """Add `language`, `confidence` (its posterior) and `accepted`; every column of `df` stays.
 
     `labelled` has texts with a known language (`label`, null: unknown): the text model is
     fitted on about `max_rows` of its rows, sampled. host, suffix and declared are columns
@@ -154,16 +154,16 @@ def identify(
     shown = materialize(scored.select(F.col(h).alias("host"), F.col(s).alias("suffix"), F.col(d).alias("declared"), softmax(F.col(evidence)).alias("p")).where("p is not null"))
     total = shown.agg(F.count("*").alias("n"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]).first()
     root = F.array(*[F.lit((total[f"s{i}"] or 0.0) / max(1, total["n"]) * 0.99 + 0.01 / n) for i in range(n)])
-    by_suffix = smoothed(shown.withColumn("root", root), "suffix", "root", n, strength, "suffix_prior")
-    rows = join_small(shown, by_suffix, "suffix", "suffix_of", strict=True).withColumn("above", F.coalesce("suffix_prior", root))
-    by_host = smoothed(rows, "host", "above", n, strength, "prior")
+    by_suffix = smoothed(shown.withColumn("root", root), "suffix", "root", n, strength, "__suffix_prior")
+    rows = join_small(shown, by_suffix, "suffix", "__suffix_of", strict=True).withColumn("above", F.coalesce("__suffix_prior", root))
+    by_host = smoothed(rows, "host", "above", n, strength, "__prior")
     # What a page declares, given its language: smoothed shares of the declarations.
     said = shown.where("declared is not null").groupBy("declared").agg(F.sum(F.lit(1.0)).alias("rows"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
-    said = said.select(F.col("declared").alias("declared_of"), F.array(*[F.log((F.col(f"s{i}") + 0.5) / F.lit((total[f"s{i}"] or 0.0) + 1.0)) for i in range(n)]).alias("declared_log"))
-    out = join_small(scored, materialize(by_suffix), s, "suffix_of")
-    out = join_small(join_small(out, materialize(by_host), h, "host_of"), materialize(said), d, "declared_of")
+    said = said.select(F.col("declared").alias("__declared_of"), F.array(*[F.log((F.col(f"s{i}") + 0.5) / F.lit((total[f"s{i}"] or 0.0) + 1.0)) for i in range(n)]).alias("__declared_log"))
+    out = join_small(scored, materialize(by_suffix), s, "__suffix_of")
+    out = join_small(join_small(out, materialize(by_host), h, "__host_of"), materialize(said), d, "__declared_of")
     fused = F.transform(
-        F.arrays_zip(F.col(evidence).alias("t"), F.coalesce("prior", "suffix_prior", root).alias("r"), F.coalesce("declared_log", F.array_repeat(F.lit(0.0), n)).alias("d")),
+        F.arrays_zip(F.col(evidence).alias("t"), F.coalesce("__prior", "__suffix_prior", root).alias("r"), F.coalesce("__declared_log", F.array_repeat(F.lit(0.0), n)).alias("d")),
         lambda x: x["t"] + F.log(x["r"]) + x["d"],
     )
     out = out.withColumn(post, F.when(F.col(evidence).isNotNull(), fused)).withColumn(post, softmax(F.col(post)))

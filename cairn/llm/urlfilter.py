@@ -84,8 +84,9 @@ def filter_urls(df: DataFrame, url: str, listed: DataFrame, rules: list[tuple[st
     names are replaced.
     """
     df = df.drop("host", "path", "canonical_url", "rule", "listed", "verdict")
-    listed = materialize(listed.toDF("listed_url").where("listed_url is not null").distinct())
-    blocks, n = build_filter(listed, "listed_url", listed.count())
+    key = free_name(df, "listed_url")
+    listed = materialize(listed.toDF(key).where(F.col(key).isNotNull()).distinct())
+    blocks, n = build_filter(listed, key, listed.count())
     blocks = F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks
     taken = df.select("*", host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), canonical(F.col(url)).alias("canonical_url"))
     block, found, hit = (free_name(taken, x) for x in ("bloom_block", "bloom_rule", "bloom_hit"))
@@ -98,8 +99,8 @@ def filter_urls(df: DataFrame, url: str, listed: DataFrame, rules: list[tuple[st
     probed = probed.withColumn(hit, F.coalesce(every, F.lit(False)) & F.col("canonical_url").isNotNull())
     keep = [*[F.col(c) for c in taken.columns], F.col(hit)]
     probed = probed.select(*keep)
-    possible = probed.where(F.col(hit)).join(listed, F.col("canonical_url") == F.col("listed_url"), "left")
-    possible = possible.withColumn("listed", F.col("listed_url").isNotNull()).drop("listed_url")
+    possible = probed.where(F.col(hit)).join(listed, F.col("canonical_url") == F.col(key), "left")
+    possible = possible.withColumn("listed", F.col(key).isNotNull()).drop(key)
     rest = probed.where(~F.col(hit)).withColumn("listed", F.lit(False))
     verdict = F.coalesce(F.col(found)["verdict"], F.when(F.col("listed"), "block").otherwise("allow"))
     out = possible.unionByName(rest).withColumns({"rule": F.col(found)["rule"], "verdict": verdict})
