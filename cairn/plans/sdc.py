@@ -15,13 +15,13 @@ from cairn.operators.relational import group_to_list, rank_best_then_quota, top_
 from .catalogue import query, table
 
 QUOTA, LEAST, MOST = 30, 50_000, 400_000
-PRIORITY = F.expr("CASE l_returnflag WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2 END")
+PRIORITY = "CASE l_returnflag WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
 
 
 def stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     concepts = table(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("qid"))
     edges = table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("qid"), F.col("l_orderkey").alias("mid"), F.col("l_returnflag").alias("rank"), F.col("l_linenumber").alias("line"), PRIORITY.alias("prio")
+        F.col("l_partkey").alias("qid"), F.col("l_orderkey").alias("mid"), F.col("l_returnflag").alias("rank"), F.col("l_linenumber").alias("line"), F.expr(PRIORITY).alias("prio")
     )
     files = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("mid"), F.concat_ws("-", "o_orderpriority", "o_orderkey").alias("fname"), F.col("o_totalprice").alias("size"), F.col("o_orderstatus").alias("status")
