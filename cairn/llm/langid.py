@@ -169,7 +169,7 @@ def identify(
     out = out.withColumn(post, F.when(F.col(evidence).isNotNull(), fused)).withColumn(post, softmax(F.col(post)))
     best = F.array_max(F.col(post))
     language = F.element_at(F.array(*map(F.lit, names)), F.array_position(F.col(post), best).cast("int"))
-    out = out.withColumns({"language": language, "confidence": F.coalesce(best, F.lit(0.0))})
+    out = out.withColumns({"language": F.when(best.isNotNull(), language), "confidence": F.coalesce(best, F.lit(0.0))})
     accepted = F.coalesce((F.col("language") != NONE) & (F.col("confidence") >= min_confidence), F.lit(False))
     return out.withColumn("accepted", accepted).select(*df.columns, "language", "confidence", "accepted")
 

@@ -37,7 +37,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ratio
     rest = F.sum("source_size").over(everything) * ratio - F.coalesce(F.sum("full").over(before), F.lit(0))
     left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     t = t.withColumn("share", rest / left)
-    open_share = F.min(F.when(F.col("share") * F.col("weight") < F.col("full"), F.col("share"))).over(everything)
+    open_share = F.max(F.when(F.col("share") * F.col("weight") < F.col("full"), F.col("share"))).over(everything)
     t = t.withColumn("open_share", open_share)
     target = F.when(F.col("share") * F.col("weight") < F.col("full"), F.col("open_share") * F.col("weight")).otherwise(F.col("full"))
     return t.select("source", "source_size", target.cast("double").alias("target"))

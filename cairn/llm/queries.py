@@ -188,7 +188,7 @@ ORACLES = {
         w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1]::BIGINT AS weight, source_size * 2 AS full_size FROM s),
         o AS (SELECT *, (sum(source_size) OVER () * CAST(1.5 AS DOUBLE) - coalesce(sum(full_size) OVER p, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0)) AS share
               FROM w WINDOW p AS (ORDER BY full_size::DOUBLE / weight, weight, full_size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        t AS (SELECT *, CASE WHEN share * weight < full_size THEN min(CASE WHEN share * weight < full_size THEN share END) OVER () * weight ELSE full_size END::DOUBLE AS target FROM o),
+        t AS (SELECT *, CASE WHEN share * weight < full_size THEN max(CASE WHEN share * weight < full_size THEN share END) OVER () * weight ELSE full_size END::DOUBLE AS target FROM o),
         r AS (SELECT d.*, row_number() OVER (PARTITION BY d.source ORDER BY -(length(size::VARCHAR) * 100 + left(size::VARCHAR || '0', 2)::INT), md5(coalesce(doc_id::VARCHAR, '')), size) AS k FROM d),
         e AS (SELECT r.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS each,
                      ('0x' || left(md5(coalesce(r.source, '') || ':mix'), 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)

@@ -144,6 +144,8 @@ def label_model(masks: np.ndarray, counts: np.ndarray, share: float, rounds: int
     """Posterior of toxicity for each vote pattern, and the voters' weights (below 1 for those correlated within a class)."""
     votes, n = bits(masks).astype(float), counts.astype(float)
     weight = np.ones(VOTERS)
+    if not len(masks):
+        return n, weight
     post = np.where(votes[:, : VOTERS - 1].any(axis=1), 0.9, share / 4)
     for stage in range(2):
         for _ in range(rounds):
