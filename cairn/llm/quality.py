@@ -84,14 +84,14 @@ def default_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def cascade(df: DataFrame, rules: list[Rule], text: str = "text", sample: float = 0.02, seed: int = 17) -> list[Rule]:
-    """The rules, ordered by rejection per cost as a Bernoulli sample of the rows shows them; ties by name.
+def cascade(df: DataFrame, rules: list[Rule], text: str = "text") -> list[Rule]:
+    """The rules, ordered by rejection per cost as the rows, a sample with its measures, show them; ties by name.
 
     The order decides what work is saved, never which documents are rejected, so the
     sample bounds nothing else. Without rows the rules keep the order of their costs.
     """
     aggs = [F.avg(F.coalesce(r.rejects, F.lit(False)).cast("double")).alias(f"r{i}") for i, r in enumerate(rules)]
-    row = df.sample(fraction=sample, seed=seed).agg(F.avg(F.coalesce(F.length(F.col(text)), F.lit(0))).alias("chars"), *aggs).first()
+    row = df.agg(F.avg(F.coalesce(F.length(F.col(text)), F.lit(0))).alias("chars"), *aggs).first()
     cost = [r.doc_ns + r.char_ns * (row["chars"] or 0.0) for r in rules]
     order = sorted(range(len(rules)), key=lambda i: (-(row[f"r{i}"] or 0.0) / cost[i], cost[i], rules[i].name))
     return [rules[i] for i in order]
@@ -107,10 +107,14 @@ def quality_filter(df: DataFrame, text: str = "text", min_words: int = 50, max_r
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     df = df.drop(*names, "base_failed", "kept", "rejected_by")
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
-    measured = df.withColumn("__m", measures(F.col(text)))
-    measured = measured.select(*df.columns, *[F.col("__m")[n].alias(n) for n in names]).withColumn("base_failed", base)
-    ordered = cascade(measured, default_rules(text) if rules is None else rules, text, sample)
+
+    def measured(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__m", measures(F.col(text)))
+        return rows.select(*df.columns, *[F.col("__m")[n].alias(n) for n in names]).withColumn("base_failed", base)
+
+    # Sampled before they are measured: a Bernoulli sample of the rows, the same in every run.
+    ordered = cascade(measured(df.sample(fraction=sample, seed=17)), default_rules(text) if rules is None else rules, text)
     verdict = F.when(F.col("base_failed"), F.lit("base"))
     for r in ordered:
         verdict = verdict.when(F.coalesce(r.rejects, F.lit(False)), F.lit(r.name))
-    return measured.withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
+    return measured(df).withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
