@@ -333,11 +333,12 @@ def test_language_evidence(spark, odd, documents):
     rows = got.collect()
     assert len(rows) == 10 and got.columns == [*[c for c in odd.columns if c != "language"], "language", "confidence", "accepted"]
     assert all(r.language is None and not r.accepted for r in rows if r.doc_id in (3, 4, 5, 8))
-    # Evidence beside the text moves the posterior: German neighbours and markup speak against French.
-    short = spark.createDataFrame([("de " * 30 + "und der die das nicht", "h", "de")] * 40 + [("on", "h", "de")], "text string, host string, declared string")
-    of_on = lambda *evidence: langid.identify(short, "text", documents, "lang", *evidence, weight=1, strength=5.0).where("text = 'on'").first()
-    alone, fused = of_on(), of_on(F.col("host"), F.lit("de"), F.col("declared"))
-    assert alone.language == "fr" and (fused.language == "de" or fused.confidence < alone.confidence)
+    # Host and markup move the posterior of one and the same text.
+    rows = [("de " * 30 + "und der die das nicht", "h1", "de")] * 40 + [("les des une que la pour " * 9, "h2", "fr")] * 40 + [("on", "h1", "de"), ("on", "h2", "fr")]
+    mixed = spark.createDataFrame(rows, "text string, host string, declared string")
+    found = langid.identify(mixed, "text", documents, "lang", F.col("host"), F.lit("x"), F.col("declared"), strength=5.0)
+    german, french = found.where("text = 'on'").orderBy("host").collect()
+    assert french.language == "fr" and (german.language != "fr" or german.confidence < french.confidence)
     assert langid.identify(odd.limit(0), "text", documents, "lang").count() == 0
     assert langid.identify(odd, "text", documents.limit(0), "lang").where("accepted").count() == 0
 
