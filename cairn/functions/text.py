@@ -140,6 +140,39 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\\s+", " "), "^\\s+|\\s+$", "")
 
 
+#: Character references of markup, the ampersand's last.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def html_unescape(text: Column) -> Column:
+    """Text with the common character references of markup decoded."""
+    for coded, plain in REFERENCES:
+        text = F.replace(text, F.lit(coded), F.lit(plain))
+    return text
+
+
+def human_bytes(size: Column) -> Column:
+    """A size in the largest unit it exceeds one of, on base 1024, with two digits: 1536 is 1.50 KB."""
+    out = F.concat(F.format_string("%.2f", size.cast("double")), F.lit(" B "))
+    for power, unit in enumerate(("KB", "MB", "GB", "TB"), start=1):
+        out = F.when(size > 1024**power, F.concat(F.format_string("%.2f", size / float(1024**power)), F.lit(f" {unit}"))).otherwise(out)
+    return out
+
+
+def seconds_of(clock: Column) -> Column:
+    """Seconds of mm:ss or hh:mm:ss; null where it is neither."""
+    parts = F.split(F.trim(clock), ":")
+    total = F.aggregate(F.transform(parts, lambda p: p.try_cast("long")), F.lit(0).cast("long"), lambda a, p: a * 60 + p)
+    return F.when(F.trim(clock).rlike("^\\d+(:\\d+){1,2}$"), total)
+
+
+def clock_of(seconds: Column) -> Column:
+    """mm:ss, or hh:mm:ss from an hour on (days fall away)."""
+    part = lambda whole: F.lpad(F.floor(whole).cast("string"), 2, "0")
+    hours, rest = F.pmod(F.floor(seconds / 3600), F.lit(24)), F.concat(part(F.pmod(F.floor(seconds / 60), F.lit(60))), F.lit(":"), part(F.pmod(seconds, F.lit(60))))
+    return F.when(hours > 0, F.concat(part(hours), F.lit(":"), rest)).otherwise(rest)
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text: scripts, styles, comments and tags out, block tags as blank lines, five entities decoded."""
     out = F.regexp_replace(html, "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", "")

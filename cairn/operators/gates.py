@@ -70,13 +70,15 @@ def host_rules(df: DataFrame, host: str, removed: list[str], replaced: list[tupl
     return df.withColumn("priority", priority).withColumn(host, renamed)
 
 
-def image_urls(urls: Column, hint: str, extensions: tuple[str, ...], noise: tuple[str, ...]) -> Column:
-    """Image addresses: those of the hinted host first, else in order; http made https, noise and other extensions out, repeats out."""
-    secure = F.transform(urls, lambda u: F.regexp_replace(u, "^http://", "https://"))
-    ends = "(?i)\\.(" + "|".join(extensions) + ")([?#].*)?$"
-    fits = F.filter(secure, lambda u: u.rlike(ends))
-    for word in noise:
-        fits = F.filter(fits, lambda u, word=word: ~F.lower(u).contains(word))
-    hinted = F.filter(fits, lambda u: u.contains(hint))
-    others = F.filter(fits, lambda u: ~u.contains(hint))
+def image_urls(urls: Column, hints: tuple[str, ...], extensions: tuple[str, ...], noise: tuple[str, ...]) -> Column:
+    """Image addresses: those of a hinted host first, else in order; http made https, noise and other extensions out, repeats out."""
+    secure = F.transform(urls, lambda u: F.regexp_replace(u, "(?i)^http://", "https://"))
+    fits = F.filter(secure, lambda u: u.rlike("(?i)\\.(?:" + "|".join(extensions) + ")") & ~any_part(F.lower(u), noise))
+    hinted = F.filter(fits, lambda u: any_part(F.lower(u), hints))
+    others = F.filter(fits, lambda u: ~any_part(F.lower(u), hints))
     return F.array_distinct(F.concat(hinted, others))
+
+
+def any_part(text: Column, parts: tuple[str, ...]) -> Column:
+    """Whether a text holds any of the parts; null text holds none."""
+    return F.coalesce(F.greatest(F.lit(False), F.lit(False), *[text.contains(p) for p in parts]), F.lit(False))
