@@ -155,7 +155,7 @@ def human_bytes(size: Column) -> Column:
     """A size in the largest unit it exceeds one of, on base 1024, with two digits: 1536 is 1.50 KB."""
     out = F.concat(F.format_string("%.2f", size.cast("double")), F.lit(" B "))
     for power, unit in enumerate(("KB", "MB", "GB", "TB"), start=1):
-        out = F.when(size > 1024**power, F.concat(F.format_string("%.2f", size / float(1024**power)), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(size > 1024**power, F.concat(F.format_string("%.2f", F.bround(size / float(1024**power), 2)), F.lit(f" {unit}"))).otherwise(out)
     return out
 
 

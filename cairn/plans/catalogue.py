@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import audit, collect, reports, sdc, search, streams, texts  # noqa: E402, F401
+from . import audit, collect, control, reports, sdc, search, streams, texts  # noqa: E402, F401

@@ -1,4 +1,4 @@
-"""Search results made from the documents: three engines list them at different places."""
+"""Search results made from the documents: three engines list them, by language, at different places."""
 
 from __future__ import annotations
 
@@ -6,43 +6,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import search
+from cairn.operators import adapters, search
 
 from .catalogue import query, table
 
-ENGINES = (("alpha", 1.0, 3), ("beta", 2.0, 5), ("gamma", 0.5, 7))
+#: An engine: its weight, the languages it lists, how far down it starts, and its form of a title and a text.
+ENGINES = {
+    "alpha": (1.0, ("en", "fr"), 1, "source", "text", "https"),
+    "beta": (2.0, ("fr", "de"), 3, "source || ' ' || lang", "text || ' ' || source", "http"),
+    "gamma": (0.5, ("en", "fr", "de", "es"), 5, "lang", "source", "http"),
+}
+#: Results of one query: documents of so many ids in a row.
+PAGE = 20
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.substring("text", 1, 80).alias("text"))
-    parts = None
-    for engine, weight, step in ENGINES:
-        part = docs.where(F.col("doc_id") % step < 2).select(
-            F.col("source").alias("query"), F.lit(engine).alias("engine"), (F.col("doc_id") % 10 + step).cast("int").alias("position"),
-            F.concat(F.lit("https://" if step == 3 else "http://"), F.lit("example.org/"), F.col("doc_id")).alias("url"), F.expr(f"substring(text, 1, {20 + step})").alias("title"),
-            F.expr(f"substring(text, 1, {80 - step})").alias("content"), F.lit("default.html").alias("template"), F.lit(None).cast("string").alias("img_src"), F.lit(weight).alias("weight"), F.col("lang").alias("category"),
+    docs, parts = table(spark, sf_dir, "documents"), None
+    for engine, (weight, langs, step, title, content, scheme) in ENGINES.items():
+        part = docs.where(F.col("lang").isin(*langs)).select(
+            F.floor(F.col("doc_id") / PAGE).alias("query"), F.lit(engine).alias("engine"), (F.col("doc_id") % PAGE + step).cast("int").alias("position"),
+            F.concat(F.lit(f"{scheme}://example.org/"), F.col("doc_id")).alias("url"), F.expr(title).alias("title"), F.expr(content).alias("content"),
+            F.lit("default.html").alias("template"), F.lit(None).cast("string").alias("img_src"), F.lit(weight).alias("weight"), F.col("lang").alias("category"),
         )
         parts = part if parts is None else parts.unionByName(part)
-    return parts
+    return parts.withColumn("query", F.col("query").cast("string"))
 
 
 _PARTS = " UNION ALL ".join(
-    f"SELECT source AS query, '{e}' AS engine, (doc_id % 10 + {s})::INT AS position, doc_id, {w}::DOUBLE AS weight, left(text, least(80, {20 + s})) AS title, {int(s == 3)} AS secure FROM documents WHERE doc_id % {s} < 2" for e, w, s in ENGINES
+    f"SELECT (doc_id // {PAGE})::VARCHAR AS query, '{e}' AS engine, (doc_id % {PAGE} + {step})::INT AS position, doc_id, {w}::DOUBLE AS weight, {title} AS title, {content} AS content, '{scheme}' AS scheme"
+    f" FROM documents WHERE lang IN ({', '.join(map(repr, langs))})"
+    for e, (w, langs, step, title, content, scheme) in ENGINES.items()
 )
 
 
 @query(f"""
-    SELECT query, CASE WHEN max(secure) = 1 THEN 'https' ELSE 'http' END || '://example.org/' || doc_id AS url, arg_max(title, length(title) * 1000 - position) AS title,
+    SELECT query, max(scheme) || '://example.org/' || doc_id AS url, arg_max(title, length(title) * 1000 - position) AS title, md5(arg_max(content, length(content) * 1000 - position)) AS content_md5,
         list_sort(list(DISTINCT engine)) AS engines, list_sort(list(position)) AS positions,
         round(product(weight) * count(*) * sum(1 / position::DOUBLE), 9) AS score FROM ({_PARTS}) GROUP BY query, doc_id""")
 def serp_merge_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = search.with_score(search.merge_results(results(spark, sf_dir)))
-    return scored.select("query", "url", "title", "engines", "positions", F.round("score", 9).alias("score"))
+    return scored.select("query", "url", "title", F.md5(F.col("content").cast("binary")).alias("content_md5"), "engines", "positions", F.round("score", 9).alias("score"))
 
 
 @query()
 def serp_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.ordered_results(search.with_score(search.merge_results(results(spark, sf_dir))))
+    return search.ordered_results(search.with_score(search.merge_results(results(spark, sf_dir).withColumn("content", F.lit("")))))
 
 
 @query()
@@ -59,3 +67,13 @@ def query_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     asked = F.concat(F.lit("!images :"), F.col("lang"), F.lit(" <"), F.col("doc_id") % 300, F.lit(" !!g "), F.col("source"))
     return docs.select("doc_id", search.parse_query(asked, ("images", "general"), ("en", "de", "fr", "es")).alias("q")).select("doc_id", "q.*")
+
+
+@query("SELECT doc_id, 0 AS position, ['https://i.example/' || doc_id, 'https://t.example/' || doc_id] AS tiers, 'https://p.example/' || doc_id AS landing, n_chars::INT AS width, length(text)::INT AS height FROM documents")
+def adapter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates parsed from a payload for each document: a repeat and an item without an address are in each and must go."""
+    at = lambda host: F.concat(F.lit(f"https://{host}.example/"), F.col("doc_id"))
+    item = F.struct(at("i").alias("imgurl"), F.lit("").alias("middle"), at("t").alias("thumb"), at("p").alias("url"), F.col("n_chars").alias("width"), F.length("text").cast("string").alias("height"), F.col("text").alias("title"))
+    payload = F.to_json(F.struct(F.array(item, item, F.struct(*[F.lit(None).cast("string").alias(n) for n in ("imgurl", "middle", "thumb", "url")], F.lit(1).cast("long").alias("width"), F.lit("1").alias("height"), F.lit("none").alias("title"))).alias("list")))
+    payloads = table(spark, sf_dir, "documents").select("doc_id", F.lit("so360").alias("source"), payload.alias("payload"))
+    return adapters.candidates(payloads, 5).select("doc_id", "position", "tiers", "landing", "width", "height")

@@ -55,12 +55,19 @@ def wikitext_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, CASE WHEN length(t) > 74 THEN left(t, 35) || '[...]' || right(t, 35) ELSE t END AS pretty, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS squeezed
-    FROM (SELECT doc_id, left(text, 100) AS t FROM documents)""")
+    SELECT doc_id, CASE WHEN length(text) > 74 THEN left(text, 35) || '[...]' || right(text, 35) ELSE text END AS pretty, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS squeezed FROM documents""")
 def prettified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long titles with an ellipsis in the middle; a title is the first 100 characters."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 100).alias("t"))
-    return rows.select("doc_id", text.prettify(F.col("t")).alias("pretty"), text.squeeze(F.col("t")).alias("squeezed"))
+    """Long texts with an ellipsis in the middle, and texts with single spaces."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.prettify(F.col("text")).alias("pretty"), text.squeeze(F.col("text")).alias("squeezed"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN n_chars > 1024 THEN printf('%.2f KB', n_chars / 1024.0) ELSE printf('%.2f B ', n_chars::DOUBLE) END AS size, printf('%02d:%02d', (n_chars % 3600) // 60, n_chars % 60) AS tail,
+        CASE WHEN n_chars >= 3600 THEN n_chars % 86400 ELSE n_chars END AS seconds FROM documents""")
+def size_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes as people write them, and as clocks read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.human_bytes(F.col("n_chars")).alias("size"), text.clock_of(F.col("n_chars")).alias("clock"))
+    return docs.select("doc_id", "size", F.right("clock", F.lit(5)).alias("tail"), text.seconds_of(F.col("clock")).alias("seconds"))
 
 
 @query("SELECT o_orderkey, left(md5(name), 1) || '/' || left(md5(name), 2) || '/' || name AS path FROM (SELECT o_orderkey, 'F-' || o_orderkey || '.jpg' AS name FROM orders)")
