@@ -29,21 +29,26 @@ SHARD, PER_SHARD, MOST_SAMPLED = 8192, 64, 1 << 22
 LEAF, BLOCK = 256, 1 << 16
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The signed 64-bit SimHash of a text, A-Z lower-cased, over its shingles of `words` words, repeats included.
+def hashes(text: str | None, words: int) -> np.ndarray:
+    """The hashes of a text's shingles of `words` words, A-Z lower-cased, repeats included.
 
     Words are runs of anything but ASCII white space; a shorter text is one shingle,
-    a text without words has fingerprint zero.
+    a text without words has none.
     """
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not w:
-        return 0
     if len(w) < words:
-        shingles = [b" ".join(w)]
+        shingles = [b" ".join(w)] if w else []
     else:
         shingles = map(b" ".join, zip(*(w[i:] for i in range(words)), strict=False))
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, 42) for s in shingles), np.uint64)
+    return np.fromiter((digest(s, 42) for s in shingles), np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The signed 64-bit SimHash of a text over its shingles, see `hashes`; a text without words has fingerprint zero."""
+    h = hashes(text, words)
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), BLOCK):
         ones += np.unpackbits(h[i : i + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -228,11 +233,15 @@ def keep_one(df: DataFrame, id_col: str, text: str, words: int = 3, radius: int
     Of several rows with that id, one stays. If all ids of a component are null, one of
     its rows stays for each distinct fingerprint.
     """
-    found = near_duplicates(df, id_col, text, words, radius)
+    return kept(df, id_col, near_duplicates(df, id_col, text, words, radius), fingerprints(F.col(text), words))
+
+
+def kept(df: DataFrame, id_col: str, found: DataFrame, mark_of: Column) -> DataFrame:
+    """The rows of `df` whose id is the component_id of their component in `found` (id_col, component_id), one an id; of null ids one a value of `mark_of`."""
     key, n, mark = free_name(df, "kept_id"), free_name(df, "kept_rows"), free_name(df, "kept_mark")
     stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(key)).agg(F.count("*").alias(n))
     kept = df.join(stay, F.col(id_col).eqNullSafe(F.col(key)))
     alone = kept.where(F.col(n) == 1).select(*df.columns)
-    # Rows that share an id are rare: only they are compared by text, one a fingerprint, then one an id.
-    again = kept.where(F.col(n) > 1).withColumn(mark, F.when(F.col(id_col).isNull(), fingerprints(F.col(text), words)))
+    # Rows that share an id are rare: only they are compared by text, one a mark, then one an id.
+    again = kept.where(F.col(n) > 1).withColumn(mark, F.when(F.col(id_col).isNull(), mark_of))
     return alone.unionByName(again.dropDuplicates([id_col, mark]).select(*df.columns))

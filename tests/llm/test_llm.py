@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cairn.llm import chat, decontam, langid, mixing, quality, queries, sharding, simhash, suffixes, toxicity, urlfilter
+from cairn.llm import chat, decontam, langid, minhash, mixing, quality, queries, sharding, simhash, suffixes, toxicity, urlfilter
 from cairn.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -104,6 +104,49 @@ def test_simhash_odd_rows(spark, odd):
     assert simhash.keep_one(odd.limit(0), "doc_id", "text").count() == 0
 
 
+def plain_keep(docs):
+    """The least id of each component of documents whose sets of five-word shingles have a similarity of 0.8 or more."""
+    sets = []
+    for _, text in docs:
+        w = text.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)})
+    similar = [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    least = {}
+    for (i, _), r in zip(docs, components_of(len(docs), similar), strict=True):
+        least[r] = min(i, least.get(r, i))
+    return sorted(least.values()), len(similar)
+
+
+def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents):
+    """Planted copies with more and more words changed, on both sides of the threshold, in chains and in one large group."""
+    rng = np.random.default_rng(6)
+    docs = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    def changed(text, n):
+        w = text.split()
+        for at in rng.choice(len(w), n, replace=False):
+            w[at] = f"new{rng.integers(1 << 30)}"
+        return " ".join(w)
+    long = [t for _, t in docs if 100 <= len(t.split()) <= 400][:40]
+    planted = [changed(t, max(1, round(len(t.split()) * k / 200))) for t in long for k in range(1, 8)]
+    for t in long[:5]:
+        for _ in range(4):
+            planted.append(t := changed(t, len(t.split()) // 60))
+    planted += [changed(long[0], 1) for _ in range(150)]
+    docs += [(10**6 + i, t) for i, t in enumerate(planted)]
+    want, similar = plain_keep(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, SF).collect())
+    assert similar > 1000 and got == want
+    old = simhash.keep_one(df, "doc_id", "text").count()
+    assert len(want) < old
+
+
+def test_near_copies_odd_rows(spark, odd):
+    kept = minhash.keep_one(odd, "doc_id", "text")
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6, 7]
+    assert minhash.keep_one(odd.limit(0), "doc_id", "text").count() == 0
+
+
 # 5 ----------------------------------------------------------------------------------------------------------------------
 
 
