@@ -68,7 +68,9 @@ class Index:
             code = lambda ws: [self.terms.setdefault(w, len(self.terms)) for w in ws]
             self.items.append(Item(item, code(q), code(a)))
             whole = q + a
-            for i in range(0, max(0, len(whole) - PASSAGE // 4) or min(1, len(whole)), PASSAGE):
+            for i in range(0, len(whole), PASSAGE):
+                if 0 < i >= len(whole) - PASSAGE // 4:  # a short rest is the end of a whole passage
+                    i = len(whole) - PASSAGE
                 passage = whole[i : i + PASSAGE]
                 norm = K1 * (1 - B + B * len(passage) / mean)
                 impact = {w: idf[w] * passage.count(w) * (K1 + 1) / (passage.count(w) + norm) for w in set(passage)}
@@ -122,7 +124,7 @@ class Index:
         """Every passage, in a live block, that scores the threshold or more, by block-max WAND."""
         at = {t: 0 for t in terms}
         docs, theta, out = self.docs, self.theta - 1e-9, []
-        order = sorted(terms, key=lambda t: docs[t][0])
+        order = sorted((t for t in terms if docs[t]), key=lambda t: docs[t][0])
         while order:
             bound, pivot = 0.0, -1
             for i, t in enumerate(order):

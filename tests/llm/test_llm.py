@@ -232,6 +232,17 @@ def test_decontamination_odd_rows(spark, odd):
     assert decontam.clean(odd.limit(0), "text", items, "item_id", "question", "answer").count() == 0
 
 
+def test_items_with_a_short_rest_are_indexed_whole(spark):
+    """Items of one passage and a few words more: their copies are found, also one of the rest's passage alone with a new start."""
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n - 6)), " ".join(f"a{n}x{i}" for i in range(6))) for n in (6, 64, 65, 70, 80, 81, 129, 144, 145)]
+    texts = [(n, f"{q}. {a}") for n, q, a in items] + [(1000 + n, f"before it {q} {a} and after it") for n, q, a in items] + [(1, "w70x0 w80x0 a70x5 a80x5")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontam.contaminated(df, "doc_id", "text", spark.createDataFrame(items, "item_id long, question string, answer string"), "item_id", "question", "answer").collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted([(n, n) for n, _, _ in items] + [(1000 + n, n) for n, _, _ in items])
+    index = decontam.Index(items, defaultdict(lambda: 1.0), 64.0, 0.5)
+    assert all(index.docs)
+
+
 # 2 ----------------------------------------------------------------------------------------------------------------------
 
 
