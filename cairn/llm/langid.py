@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import free_name, materialize
 
 GRAM, BUCKETS, NONE = 4, 1 << 16, "und"
+#: Of each label so many rows, or all, are sampled at least.
+LEAST_ROWS = 100
 #: Bytes that are scored at once.
 CHUNK = 1 << 22
 #: ASCII bytes but letters count as spaces.
@@ -34,13 +36,18 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     b = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
     if len(b) < GRAM:
         return np.zeros(0, np.uint16), np.zeros(len(texts), np.int64)
-    words = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
-    buckets = ((words * np.uint32(2654435761)) >> np.uint32(16)).astype(np.uint16)
+    words = b[:-3].copy()
+    for k in range(1, GRAM):
+        words |= b[k : len(b) - 3 + k] << np.uint32(8 * k)
+    blank = words == BLANK
+    words *= np.uint32(2654435761)
+    words >>= np.uint32(16)
+    buckets = words.astype(np.uint16)
     ends = np.cumsum(lengths)
     inside = np.ones(len(b), bool)
     for back in range(1, GRAM):
         inside[ends[lengths >= back] - back] = False
-    inside = inside[: len(buckets)] & (words != BLANK)
+    inside = inside[: len(buckets)] & ~blank
     before = np.concatenate([[0], np.cumsum(inside), [inside.sum()] * (GRAM - 1)])
     return buckets[inside], before[ends] - before[ends - lengths]
 
@@ -57,18 +64,26 @@ def chunks(texts: pd.Series):
     yield values[start:]
 
 
-def train(df: DataFrame, text: str, label: str, max_rows: int, max_languages: int) -> tuple[list[str], np.ndarray]:
-    """(languages, log likelihood of each bucket in each) from at most about `max_rows` labelled rows, sampled.
+def shares(found: dict[str, int], max_rows: int) -> dict[str, float]:
+    """The share of each label's rows to sample: `max_rows` dealt evenly, what small labels leave going to others, but LEAST_ROWS or all of a label's rows at least."""
+    out, left = {}, max_rows
+    for i, (name, n) in enumerate(sorted(found.items(), key=lambda x: (x[1], x[0]))):
+        quota = min(n, max(LEAST_ROWS, left // (len(found) - i)))
+        out[name], left = quota / n, max(0, left - quota)
+    return out
 
-    Counts reach the driver: at most BUCKETS rows for each of the `max_languages` most frequent labels.
+
+def train(df: DataFrame, text: str, label: str, max_rows: int) -> tuple[list[str], np.ndarray]:
+    """(languages, log likelihood of each bucket in each, a row a language) of every label, from about `max_rows` labelled rows, sampled by label.
+
+    A row of BUCKETS floats for each label reaches the driver.
     """
     df = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    found = df.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_languages).collect()
-    names, rows = sorted(r[0] for r in found), sum(r["count"] for r in found)
+    found = {r[0]: r["count"] for r in df.groupBy(label).count().collect()}
+    names = sorted(found)
     if not names:
-        return [], np.zeros((BUCKETS, 0), np.float32)
-    sample = df.where(F.col(label).isin(names)).select(F.col(text).alias("text"), F.col(label).alias("label"))
-    sample = sample.sample(fraction=min(1.0, max_rows / rows), seed=5)
+        return [], np.zeros((0, BUCKETS), np.float32)
+    sample = df.select(F.col(text).alias("text"), F.col(label).alias("label")).sampleBy("label", shares(found, max_rows), seed=5)
 
     def count(batches):
         totals = {}
@@ -80,10 +95,15 @@ def train(df: DataFrame, text: str, label: str, max_rows: int, max_languages: in
             at = np.flatnonzero(n)
             yield pd.DataFrame({"label": name, "bucket": at.astype(np.int32), "n": n[at]})
 
-    counted = sample.mapInPandas(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.full((BUCKETS, len(names)), 0.1)
-    counts[counted["bucket"], counted["label"].map(names.index).to_numpy(np.int64)] += counted["n"]
-    return names, np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    def logs(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = np.full(BUCKETS, 0.1)
+        counts[pdf["bucket"]] += pdf["n"]
+        return pd.DataFrame({"label": pdf["label"].iloc[:1], "logs": [np.log(counts / counts.sum()).astype(np.float32).tobytes()]})
+
+    counted = sample.mapInPandas(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    fitted = {r["label"]: np.frombuffer(r["logs"], np.float32) for r in counted.groupBy("label").applyInPandas(logs, "label string, logs binary").collect()}
+    none = np.full(BUCKETS, -np.log(BUCKETS), np.float32)  # a label whose texts have no grams
+    return names, np.stack([fitted.get(name, none) for name in names])
 
 
 def text_scores(text: Column, table: np.ndarray, weight: int, spark) -> Column:
@@ -91,7 +111,7 @@ def text_scores(text: Column, table: np.ndarray, weight: int, spark) -> Column:
 
     Grams overlap and repeat, so a text counts as `weight` independent ones at most.
     """
-    shared = spark.sparkContext.broadcast(np.column_stack([table, np.full(BUCKETS, -np.log(BUCKETS), np.float32)]))
+    shared = spark.sparkContext.broadcast(np.vstack([table, np.full(BUCKETS, -np.log(BUCKETS), np.float32)]))
 
     @F.pandas_udf("array<float>")
     def score(texts: pd.Series) -> pd.Series:
@@ -99,11 +119,11 @@ def text_scores(text: Column, table: np.ndarray, weight: int, spark) -> Column:
         for values in chunks(texts):
             buckets, sizes = grams(values)
             starts = np.concatenate([[0], np.cumsum(sizes)])
-            sums = np.zeros((len(values), shared.value.shape[1]))
+            sums = np.zeros((len(values), len(shared.value)))
             full = np.flatnonzero(sizes)
             if len(full):
                 for k in range(sums.shape[1]):
-                    sums[full, k] = np.add.reduceat(shared.value[:, k][buckets].astype(np.float64), starts[full])
+                    sums[full, k] = np.add.reduceat(shared.value[k][buckets].astype(np.float64), starts[full])
             sums *= (np.minimum(sizes, weight) / np.maximum(sizes, 1))[:, None]
             out += [s.astype(np.float32) if t and any(map(str.isalpha, t)) else None for s, t in zip(sums, values, strict=True)]
         return pd.Series(out, dtype=object)
@@ -125,12 +145,12 @@ def smoothed(rows: DataFrame, key: str, parent: str, n: int, strength: float, to
 
 def identify(
     df: DataFrame, text: str, labelled: DataFrame, label: str, host: Column | None = None, suffix: Column | None = None, declared: Column | None = None,
-    labelled_text: str = "text", max_rows: int = 20_000, max_languages: int = 32, weight: int = 24, strength: float = 50.0, min_confidence: float = 0.5,
+    labelled_text: str = "text", max_rows: int = 20_000, weight: int = 24, strength: float = 50.0, min_confidence: float = 0.5,
 ) -> DataFrame:
     """Add `language`, `confidence` (its posterior) and `accepted`; every column of `df` stays.
 
     `labelled` has texts with a known language (`label`, null: unknown): the text model is
-    fitted on about `max_rows` of its rows, sampled. host, suffix and declared are columns
+    fitted on every label, on about `max_rows` of its rows, sampled by label. host, suffix and declared are columns
     over `df`; null is no evidence. Null and empty texts and texts without a letter have
     no text evidence: language null, confidence 0, not accepted. Otherwise a row is
     accepted if its language isn't `und` and the confidence is `min_confidence` or more.
@@ -138,7 +158,7 @@ def identify(
     gives an empty result; columns with the added names are replaced.
     """
     df = df.drop("language", "confidence", "accepted")
-    names, table = train(labelled, labelled_text, label, max_rows, max_languages)
+    names, table = train(labelled, labelled_text, label, max_rows)
     if not names:
         return df.withColumns({"language": F.lit(None).cast("string"), "confidence": F.lit(0.0), "accepted": F.lit(False)})
     names, n, spark = [*names, NONE], len(names) + 1, df.sparkSession

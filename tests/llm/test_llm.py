@@ -397,6 +397,22 @@ def test_language_evidence(spark, odd, documents):
     assert langid.identify(odd, "text", documents.limit(0), "lang").where("accepted").count() == 0
 
 
+def test_every_label_is_a_language(spark):
+    """Forty labels, one of them rare: each language's own words are told, the rare one's too."""
+    rng = np.random.default_rng(8)
+    vocabulary = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(30)] for _ in range(40)]
+    rows = [(f"l{k:02}", " ".join(rng.choice(vocabulary[k], 40))) for k in range(40) for _ in range(3 if k == 39 else 60)]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    asked = spark.createDataFrame([(f"l{k:02}", " ".join(rng.choice(vocabulary[k], 40))) for k in range(40)], "want string, text string")
+    got = langid.identify(asked, "text", labelled, "lang", max_rows=400).collect()
+    assert len(got) == 40 and all(r.language == r.want and r.accepted for r in got)
+
+
+def test_sample_shares_by_label():
+    assert langid.shares({"a": 10, "b": 1000, "c": 100_000}, 3000) == {"a": 1.0, "b": 1.0, "c": 1990 / 100_000}
+    assert langid.shares({"a": 5, "b": 10_000}, 20)["b"] == langid.LEAST_ROWS / 10_000
+
+
 # Pipeline ---------------------------------------------------------------------------------------------------------------
 
 
