@@ -19,14 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, materialize
 
 PASSAGE, BLOCK, K1, B = 64, 2, 1.2, 0.75
-#: Items of one index, about. More items make more indexes, each broadcast on its own and searched in turn.
-ITEMS = 8192
+#: Items and words of one index, about. More make more indexes, each broadcast on its own and searched in turn.
+ITEMS, INDEX_WORDS = 8192, 1 << 20
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -183,8 +183,8 @@ def indexes(items: DataFrame, item_id: str, question: str, answer: str, theta: f
         return pd.Series([words(x) + words(y) for x, y in zip(q, a, strict=True)], dtype=object)
 
     tokenized = items.withColumn("w", tokens("q", "a")).where(F.size("w") > 0)
-    total = tokenized.agg(F.count("*").alias("n"), F.avg(F.least(F.size("w"), F.lit(PASSAGE))).alias("mean")).first()
-    parts = -(-total["n"] // ITEMS)
+    total = tokenized.agg(F.count("*").alias("n"), F.sum(F.size("w")).alias("words"), F.avg(F.least(F.size("w"), F.lit(PASSAGE))).alias("mean")).first()
+    parts = max(-(-total["n"] // ITEMS), -(-(total["words"] or 0) // INDEX_WORDS))
     frequency = tokenized.select(F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     part = F.pmod(F.xxhash64("id"), F.lit(max(1, parts)))
     for k in range(parts):
@@ -213,16 +213,20 @@ def with_hits(df: DataFrame, text: str, items: DataFrame, item_id: str, question
     Words are runs of letters and digits, lower-cased. Items without words are never
     found; repeated items count once; items of one id but different texts are judged
     apart. Null and empty texts have no hits. A column called `to` is replaced.
+
+    Where the items make more than one index, the rows are written between two searches,
+    so that driver and workers hold one index at a time.
     """
-    df = df.drop(to)
     kind = items.select(item_id).schema[0].dataType.simpleString()
     schema = f"array<struct<item:{kind},score:double,question_overlap:double,answer_overlap:double>>"
-    found: list[Column] = []
+    df, last = df.drop(to).withColumn(to, F.array().cast(schema)), None
     for index in indexes(items, item_id, question, answer, theta):
-        shared = df.sparkSession.sparkContext.broadcast(index)
-        found.append(_search(shared, schema, shingle, overlap)(F.col(text)))
-    none = F.array().cast(schema)
-    return df.withColumn(to, F.concat(none, *found) if found else none)
+        if last is not None:
+            df = materialize(df)
+            last.unpersist()
+        last = df.sparkSession.sparkContext.broadcast(index)
+        df = df.withColumn(to, F.concat(to, _search(last, schema, shingle, overlap)(F.col(text))))
+    return df
 
 
 def contaminated(df: DataFrame, id_col: str, text: str, items: DataFrame, item_id: str, question: str, answer: str, **params) -> DataFrame:
@@ -233,7 +237,7 @@ def contaminated(df: DataFrame, id_col: str, text: str, items: DataFrame, item_i
 
 
 def clean(df: DataFrame, text: str, items: DataFrame, item_id: str, question: str, answer: str, **params) -> DataFrame:
-    """The rows of `df` in which no item is found."""
+    """The rows of `df` in which no item is found, by the rules of `with_hits`: null and empty texts stay, repeated rows share their fate, an empty table stays empty."""
     hits = free_name(df, "hits")
     return with_hits(df, text, items, item_id, question, answer, hits, **params).where(F.size(hits) == 0).drop(hits)
 

@@ -15,13 +15,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import HOT_SHARE, free_name, materialize
 
 GRAM, BUCKETS, NONE = 4, 1 << 16, "und"
 #: Of each label so many rows, or all, are sampled at least.
 LEAST_ROWS = 100
-#: Bytes that are scored at once.
-CHUNK = 1 << 22
+#: Characters that are scored at once; a text longer than that is cut into pieces that overlap by a gram.
+CHUNK = 1 << 20
 #: ASCII bytes but letters count as spaces.
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 BLANK = int.from_bytes(b" " * GRAM)
@@ -137,17 +137,17 @@ def softmax(logs: Column) -> Column:
 
 
 def smoothed(rows: DataFrame, key: str, parent: str, n: int, strength: float, to: str) -> DataFrame:
-    """(key, `to`): the distribution of `p` among the rows of each key, with `strength` pseudo-counts of its parent's distribution."""
-    sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(parent).alias("above"), F.sum(F.lit(1.0)).alias("n"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
-    mixed = [(F.col(f"s{i}") + strength * F.col("above")[i]) / (F.col("n") + strength) for i in range(n)]
-    return sums.select(F.col(key).alias(f"__{key}_of"), F.array(*mixed).alias(to))
+    """(key_of, rows_of, `to`): the distribution of `p` among the rows of each key, with `strength` pseudo-counts of its parent's distribution, and how many rows the key has."""
+    sums = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key_of")).agg(F.first(parent).alias("above"), F.count("*").alias("rows_of"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
+    mixed = [(F.col(f"s{i}") + strength * F.col("above")[i]) / (F.col("rows_of") + strength) for i in range(n)]
+    return sums.select("key_of", "rows_of", F.array(*mixed).alias(to))
 
 
 def identify(
     df: DataFrame, text: str, labelled: DataFrame, label: str, host: Column | None = None, suffix: Column | None = None, declared: Column | None = None,
-    labelled_text: str = "text", max_rows: int = 20_000, weight: int = 24, strength: float = 50.0, min_confidence: float = 0.5,
+    labelled_text: str = "text", max_rows: int = 20_000, weight: int = 24, strength: float = 50.0, min_confidence: float = 0.5, keep_text: bool = True,
 ) -> DataFrame:
-    """Add `language`, `confidence` (its posterior) and `accepted`; every column of `df` stays.
+    """Add `language`, `confidence` (its posterior) and `accepted`; every column of `df` stays, the text only if `keep_text`.
 
     `labelled` has texts with a known language (`label`, null: unknown): the text model is
     fitted on every label, on about `max_rows` of its rows, sampled by label. host, suffix and declared are columns
@@ -156,34 +156,41 @@ def identify(
     accepted if its language isn't `und` and the confidence is `min_confidence` or more.
     Without labelled rows nothing is accepted. Repeated rows count each; an empty table
     gives an empty result; columns with the added names are replaced.
+
+    Texts are scored once: what they show is written beside the row, and all that follows
+    reads that. A caller that can do without the text saves writing it.
     """
     df = df.drop("language", "confidence", "accepted")
+    rest = [c for c in df.columns if keep_text or c != text]
     names, table = train(labelled, labelled_text, label, max_rows)
     if not names:
-        return df.withColumns({"language": F.lit(None).cast("string"), "confidence": F.lit(0.0), "accepted": F.lit(False)})
+        return df.select(*rest).withColumns({"language": F.lit(None).cast("string"), "confidence": F.lit(0.0), "accepted": F.lit(False)})
     names, n, spark = [*names, NONE], len(names) + 1, df.sparkSession
     none = F.lit(None).cast("string")
-    evidence, h, s, d, post, prior = (free_name(df, x) for x in ("text_evidence", "host_key", "suffix_key", "declared_key", "text_posterior", "host_prior"))
+    evidence, h, s, d, post, prior, above, told = (
+        free_name(df, x) for x in ("text_evidence", "host_key", "suffix_key", "declared_key", "text_posterior", "host_prior", "suffix_prior", "declared_log")
+    )
     scored = df.withColumns({
         evidence: text_scores(F.col(text), table, weight, spark).cast("array<double>"),
         h: none if host is None else host.cast("string"),
         s: none if suffix is None else suffix.cast("string"),
         d: none if declared is None else declared.cast("string"),
     })
-    # The narrow table: what every row shows, without its text.
-    shown = materialize(scored.select(F.col(h).alias("host"), F.col(s).alias("suffix"), F.col(d).alias("declared"), softmax(F.col(evidence)).alias("p")).where("p is not null"))
+    scored = materialize(scored.select(*rest, evidence, h, s, d))
+    # The narrow table: what every row shows.
+    shown = scored.select(F.col(h).alias("host"), F.col(s).alias("suffix"), F.col(d).alias("declared"), softmax(F.col(evidence)).alias("p")).where("p is not null")
     total = shown.agg(F.count("*").alias("n"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]).first()
     root = F.array(*[F.lit((total[f"s{i}"] or 0.0) / max(1, total["n"]) * 0.99 + 0.01 / n) for i in range(n)])
-    by_suffix = smoothed(shown.withColumn("root", root), "suffix", "root", n, strength, "__suffix_prior")
-    rows = join_small(shown, by_suffix, "suffix", "__suffix_of", strict=True).withColumn("above", F.coalesce("__suffix_prior", root))
-    by_host = smoothed(rows, "host", "above", n, strength, "__prior")
+    by_suffix = materialize(smoothed(shown.withColumn("root", root), "suffix", "root", n, strength, above))
+    rows = attach(shown, by_suffix, "suffix", [above], total["n"])
+    by_host = materialize(smoothed(rows.withColumn("parent", F.coalesce(above, root)), "host", "parent", n, strength, prior))
     # What a page declares, given its language: smoothed shares of the declarations.
-    said = shown.where("declared is not null").groupBy("declared").agg(F.sum(F.lit(1.0)).alias("rows"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
-    said = said.select(F.col("declared").alias("__declared_of"), F.array(*[F.log((F.col(f"s{i}") + 0.5) / F.lit((total[f"s{i}"] or 0.0) + 1.0)) for i in range(n)]).alias("__declared_log"))
-    out = join_small(scored, materialize(by_suffix), s, "__suffix_of")
-    out = join_small(join_small(out, materialize(by_host), h, "__host_of"), materialize(said), d, "__declared_of")
+    said = shown.where("declared is not null").groupBy(F.col("declared").alias("key_of")).agg(F.count("*").alias("rows_of"), *[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)])
+    said = said.select("key_of", "rows_of", F.array(*[F.log((F.col(f"s{i}") + 0.5) / F.lit((total[f"s{i}"] or 0.0) + 1.0)) for i in range(n)]).alias(told))
+    out = attach(scored, by_suffix, s, [above], total["n"])
+    out = attach(attach(out, by_host, h, [prior], total["n"]), materialize(said), d, [told], total["n"])
     fused = F.transform(
-        F.arrays_zip(F.col(evidence).alias("t"), F.coalesce("__prior", "__suffix_prior", root).alias("r"), F.coalesce("__declared_log", F.array_repeat(F.lit(0.0), n)).alias("d")),
+        F.arrays_zip(F.col(evidence).alias("t"), F.coalesce(prior, above, root).alias("r"), F.coalesce(told, F.array_repeat(F.lit(0.0), n)).alias("d")),
         lambda x: x["t"] + F.log(x["r"]) + x["d"],
     )
     out = out.withColumn(post, F.when(F.col(evidence).isNotNull(), fused)).withColumn(post, softmax(F.col(post)))
@@ -191,11 +198,22 @@ def identify(
     language = F.element_at(F.array(*map(F.lit, names)), F.array_position(F.col(post), best).cast("int"))
     out = out.withColumns({"language": F.when(best.isNotNull(), language), "confidence": F.coalesce(best, F.lit(0.0))})
     accepted = F.coalesce((F.col("language") != NONE) & (F.col("confidence") >= min_confidence), F.lit(False))
-    return out.withColumn("accepted", accepted).select(*df.columns, "language", "confidence", "accepted")
+    return out.withColumn("accepted", accepted).select(*rest, "language", "confidence", "accepted")
 
 
-def join_small(rows: DataFrame, side: DataFrame, key: str, side_key: str, strict: bool = False) -> DataFrame:
-    """Left join with one row a key: by broadcast if the side is small, counted first, else by shuffle."""
-    on = F.col(key) == F.col(side_key)
-    small = not strict and side.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    return rows.join(F.broadcast(side) if small else side, on, "left").drop(side_key)
+def attach(rows: DataFrame, side: DataFrame, key: str, columns: list[str], total: int) -> DataFrame:
+    """Left join with one row a key (key_of, rows_of, columns): by broadcast where the side is small, counted first.
+
+    Of a larger side the hot keys, 4096 at most, are broadcast, so the rows of a hot host
+    stay where they are, as do those without a key; the rows of other keys are shuffled.
+    """
+    of = free_name(rows, "key_of")
+    on = F.col(key) == F.col(of)
+    side = side.withColumnRenamed("key_of", of)
+    if side.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
+        return rows.join(F.broadcast(side.drop("rows_of")), on, "left").drop(of)
+    bound = total * HOT_SHARE
+    hot, rest = side.where(F.col("rows_of") > bound).drop("rows_of"), side.where(F.col("rows_of") <= bound).drop("rows_of")
+    first = rows.join(F.broadcast(hot), on, "left")
+    still = first.where(F.col(of).isNull() & F.col(key).isNotNull()).drop(of, *columns).join(rest, on, "left")
+    return first.where(F.col(of).isNotNull() | F.col(key).isNull()).unionByName(still).drop(of)

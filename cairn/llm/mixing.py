@@ -14,7 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import free_name, ranks
+from .common import free_name, materialize, ranks
+
+
+def numbered(sources: DataFrame, to: str) -> DataFrame:
+    """Add `to`: the 0-based place of each source in code point order, null last.
+
+    The sources, one row each, are range-partitioned and sorted within the partitions; the sizes of the
+    partitions before, one number each, are added.
+    """
+    key = [F.col("source").isNull(), F.col("source")]
+    part = materialize(sources.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("part", F.spark_partition_id()))
+    within = F.row_number().over(W.Window.partitionBy("part").orderBy(*key)) - 1
+    before, starts = 0, {}
+    for r in part.groupBy("part").count().orderBy("part").collect():
+        starts[r["part"]], before = before, before + r["count"]
+    start = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("part")) if starts else F.lit(0)
+    return part.withColumn(to, within + start).drop("part")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ratio: float = 1.5, cap: int = 2) -> DataFrame:
@@ -22,25 +38,24 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ratio
 
     Sources in code point order, null last, take the weights in turn. The targets share
     `ratio` times all sizes by weight; none exceeds `cap` times its source's size, and
-    what is over goes to the others by weight until none is above. That fixed point
-    gives every uncapped source the same share a weight; sources are capped in the order
-    of size over weight, so prefix sums in that order find it. One row a source is
-    ordered here; no document is.
+    what is over goes to the others by weight until none is above. Every round caps the
+    sources that the open share lifts over their cap and shares out what these leave: sums
+    over all sources, never their list, so there may be as many as hosts.
     """
-    n = len(weights)
-    place = F.row_number().over(W.Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % n + 1).cast("int")).cast("long")
-    t = sizes.withColumn("weight", weight).withColumn("full", F.col("source_size") * cap)
-    order = W.Window.orderBy((F.col("full") / F.col("weight")).asc(), F.col("weight"), F.col("full"))
-    everything = W.Window.partitionBy()
-    before = order.rowsBetween(W.Window.unboundedPreceding, -1)
-    rest = F.sum("source_size").over(everything) * ratio - F.coalesce(F.sum("full").over(before), F.lit(0))
-    left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    t = t.withColumn("share", rest / left)
-    open_share = F.max(F.when(F.col("share") * F.col("weight") < F.col("full"), F.col("share"))).over(everything)
-    t = t.withColumn("open_share", open_share)
-    target = F.when(F.col("share") * F.col("weight") < F.col("full"), F.col("open_share") * F.col("weight")).otherwise(F.col("full"))
-    return t.select("source", "source_size", target.cast("double").alias("target"))
+    place = numbered(sizes, "place")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int")).cast("long")
+    t = materialize(place.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * cap).alias("full")))
+    total = t.agg(F.sum("source_size")).first()[0] or 0
+    share, capped = 0.0, -1
+    while True:
+        open_ = (F.col("weight") * F.lit(share) < F.col("full")) if capped >= 0 else F.lit(True)
+        sums = t.agg(F.sum(F.when(~open_, F.col("full"))).alias("full"), F.sum(F.when(open_, F.col("weight"))).alias("weight"), F.count_if(~open_).alias("capped")).first()
+        if sums["capped"] == capped or not sums["weight"]:
+            break
+        capped = sums["capped"]
+        share = (total * ratio - (sums["full"] or 0)) / sums["weight"]
+    shared = F.col("weight") * F.lit(share)
+    return t.select("source", "source_size", F.when(shared < F.col("full"), shared).otherwise(F.col("full")).cast("double").alias("target"))
 
 
 def systematic_mix(
@@ -76,7 +91,7 @@ def systematic_mix(
 
 
 def emit_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
-    """Each row as often as `copies` says, without that column."""
+    """Each row as often as `copies` says, without that column; a row whose count is null or below 1 is left out."""
     times = free_name(df, "times")
     more = F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(times)
     return df.select(*[F.col(c) for c in df.columns if c != copies], more).drop(times)

@@ -105,7 +105,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     suffix = F.when(F.col("page_id").isNotNull(), F.substring_index("host", ".", -1))
     labelled = docs.where(~held_out("doc_id")).select("text", "lang")
-    out = langid.identify(docs.unionByName(pages), "text", labelled, "lang", F.col("host"), suffix, F.col("declared"))
+    out = langid.identify(docs.unionByName(pages), "text", labelled, "lang", F.col("host"), suffix, F.col("declared"), keep_text=False)
     return out.select("doc_id", "page_id", "language", "confidence", "accepted")
 
 

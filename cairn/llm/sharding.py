@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, ranks
+from .common import free_name, join_hot, materialize, ranks
 
 EXACT, STEP = 1 << 16, 0.001
-#: Cells that number the rows of a shard or class.
-CELLS = 64
+#: Rows or groups are numbered within cells of about so many.
+CELL = 1 << 16
 
 
 def place(loads: list[tuple[int, int]], size: int, count: int) -> list[int]:
@@ -85,17 +85,19 @@ def lpt_shards(df: DataFrame, group: str, size: str, n_shards: int, order: tuple
     """
     spark = df.sparkSession
     df = df.drop("shard", "slot")
-    gsize, cls, cell, rank, ends = (free_name(df, n) for n in ("group_size", "size_class", "cell", "rank", "ends"))
+    gsize, cls, cell, rank, ends, rows = (free_name(df, n) for n in ("group_size", "size_class", "cell", "rank", "ends", "group_rows"))
     key, gkey = F.col(group), free_name(df, "group_key")
-    groups = df.groupBy(key.alias(gkey)).agg(F.sum(F.coalesce(F.col(size), F.lit(0))).alias(gsize))
-    groups = groups.withColumn(cls, size_class(F.col(gsize))).withColumn(cell, F.pmod(F.xxhash64(gkey), F.lit(CELLS)))
-    groups = materialize(groups)
-    histogram = groups.groupBy(cls).agg(F.count("*"), F.sum(gsize)).collect()
-    plan = schedule([tuple(r) for r in histogram], n_shards)
+    groups = df.groupBy(key.alias(gkey)).agg(F.sum(F.coalesce(F.col(size), F.lit(0))).alias(gsize), F.count("*").alias(rows))
+    groups = materialize(groups.withColumn(cls, size_class(F.col(gsize))))
+    histogram = groups.groupBy(cls).agg(F.count("*"), F.sum(gsize), F.sum(rows)).collect()
+    plan = schedule([tuple(r)[:3] for r in histogram], n_shards)
     plan = spark.createDataFrame(plan, f"{cls} long, {ends} array<long>") if len(plan) else spark.createDataFrame([], f"{cls} long, {ends} array<long>")
+    in_cells = lambda n, *by: F.pmod(F.xxhash64(*by), F.lit(max(64, -(-n // CELL))))
+    groups = groups.withColumn(cell, in_cells(sum(r[1] for r in histogram), gkey))
     placed = ranks(groups, [cls], [cell], [F.col(gkey)], rank).join(F.broadcast(plan), cls)
     shard = F.size(F.filter(F.col(ends), lambda e: e <= F.col(rank))).cast("int")
-    placed = placed.select(F.col(gkey), shard.alias("shard"))
-    out = df.join(placed, key.eqNullSafe(F.col(gkey)), "inner").drop(gkey)
-    out = out.withColumn(cell, F.pmod(F.xxhash64(group, *order), F.lit(CELLS)))
+    placed = placed.select(F.col(gkey), F.col(rows), shard.alias("shard"))
+    total = sum(r[3] for r in histogram)
+    out = join_hot(df, placed, [(group, gkey)], rows, total).drop(gkey, rows)
+    out = out.withColumn(cell, in_cells(-(-total // n_shards), group, *order))
     return ranks(out, ["shard"], [cell], [F.col(group), *[F.col(c) for c in order]], "slot").drop(cell)
