@@ -10,35 +10,39 @@ together is its span.
 1. Grams that anchor only one place cannot lie in a repeated window: a count over all
    anchors rules most of them out.
 2. The spans of the rest, with the suffix from the anchor on, are range-partitioned by
-   the leading bytes of the suffix, between splitters from a bounded sample of texts.
+   the leading bytes of the suffix, between splitters from a bounded sample of anchors.
    Equal leading bytes are never parted, so no two suffixes that share a gram lie on two
-   sides of a boundary.
-3. Each bucket sorts its suffixes by multikey quicksort (eight bytes at a time; only
-   what is still tied goes on to the next eight) and compares the windows of the
-   suffixes that share a gram, in document order.
+   sides of a boundary, and none needs to be compared across it.
+3. Each bucket sorts its suffixes by multikey quicksort and reads off the common prefixes of
+   neighbours: those that share their gram are a run. Within a run, sorted spans tell whole
+   repeats from their neighbours; the windows of the spans left are sorted by their place
+   before the anchor and their bytes, and again neighbours without a difference are repeats.
 4. Grams of more than HOT places could overfill a bucket: their spans are made distinct
    by a pre-aggregated grouping, and the windows of these are grouped by their bytes over
    the whole cluster.
 
-Copies of whole texts are told by digests beforehand: only the first goes through this.
+Copies of whole texts are told by their SHA-256 beforehand: only the first goes through this.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import HOT_SHARE, materialize
+
 WIDTH, GRAM = 100, 20
 GRAMS = WIDTH - GRAM + 1
-#: Places of a gram beyond which its windows are compared by the whole cluster. A task's memory sets it: at worst,
-#: every span differs, it holds HOT * (WIDTH - GRAM) / 2 windows of a gram, some 400 MB; their like in one gram is rare.
+#: Places of a gram beyond which its windows are compared by the whole cluster: a bucket must hold all spans of a gram, some 180 bytes each.
 HOT = 1 << 16
-#: Leading bytes that splitters look at; texts a bucket, about; the most buckets; suffixes of a sampled text.
-LEAD, TEXTS, BUCKETS, SAMPLED = 16, 2000, 1 << 16, 64
+#: Leading bytes that splitters look at; suffixes a bucket, about; the most buckets, beyond which each is dealt further by gram; sampled anchors a bucket.
+LEAD, SUFFIXES, BUCKETS, SAMPLED = 16, 1 << 15, 1 << 16, 16
+#: Rows that a quicksort leaves to a plain sort; windows that are sorted at once.
+SMALL, WINDOWS = 256, 1 << 17
+#: Rows of a gram with more than one of so many of all shared anchors are dealt to so many tasks.
+SALTS = 64
 #: Low bits of a packed hash that hold a place; longer texts are anchored piece by piece.
 PLACE_BITS = 20
 PIECE = (1 << PLACE_BITS) - 1
@@ -87,64 +91,107 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return tuple(map(np.concatenate, zip(*parts, strict=True)))
 
 
-def multikey_order(keys: list[bytes]) -> np.ndarray:
-    """The order that sorts byte strings of at most WIDTH bytes, eight bytes a round, each round among the ties of the last."""
-    width = -(-WIDTH // 8) * 8
-    words = np.frombuffer(b"".join(k[:width].ljust(width, b"\0") for k in keys), ">u8").reshape(len(keys), -1).astype(np.uint64)
-    order, run = np.arange(len(keys)), np.zeros(len(keys), np.int64)
-    tied = np.arange(len(keys))
-    for depth in range(words.shape[1]):
-        rows = order[tied]
-        within = np.lexsort((words[rows, depth], run[tied]))
-        order[tied] = rows[within]
-        word, before = words[order[tied], depth], run[tied]
-        new = np.concatenate([[True], (word[1:] != word[:-1]) | (before[1:] != before[:-1])]) if len(tied) else np.zeros(0, bool)
-        run[tied] = tied[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))] if len(tied) else run[tied]
-        single = new & np.concatenate([new[1:], [True]]) if len(tied) else new
-        tied = tied[~single]
-        if not len(tied):
-            break
-    return order
+def as_words(keys: list[bytes], width: int) -> np.ndarray:
+    """Byte strings as rows of big-endian words, cut or padded with zeros to `width` bytes, a multiple of eight."""
+    return np.frombuffer(b"".join(k[:width].ljust(width, b"\0") for k in keys), ">u8").reshape(len(keys), width // 8).astype(np.uint64)
 
 
-def repeated_windows(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
-    """From one gram's rows (doc, tie, first window, span), in that order: runs (doc, tie, first, last) of windows that an earlier row has."""
-    whole, seen = set(), set()
-    for doc, tie, first, span in group:
-        n = len(span) - WIDTH + 1
-        if span in whole:
-            yield doc, tie, first, first + n - 1
+def multikey_order(words: np.ndarray) -> np.ndarray:
+    """The order of rows of words, by multikey quicksort: rows are parted by one word against a pivot; equal ones go on with the next word."""
+    order, todo = np.arange(len(words)), [(0, len(words), 0)]
+    while todo:
+        low, high, depth = todo.pop()
+        if high - low < 2 or depth == words.shape[1]:
             continue
-        whole.add(span)
-        start = None
-        for i in range(n):
-            window = span[i : i + WIDTH]
-            if window in seen:
-                start = i if start is None else start
-                continue
-            seen.add(window)
-            if start is not None:
-                yield doc, tie, first + start, first + i - 1
-                start = None
-        if start is not None:
-            yield doc, tie, first + start, first + n - 1
+        rows = order[low:high]
+        if high - low <= SMALL:
+            order[low:high] = rows[np.lexsort(words[rows, depth:].T[::-1])]
+            continue
+        word = words[rows, depth]
+        pivot = np.sort(word[:: max(1, len(word) // 9)])[len(word[:: max(1, len(word) // 9)]) // 2]
+        less, more = word < pivot, word > pivot
+        parts = rows[less], rows[~(less | more)], rows[more]
+        first, second = low + len(parts[0]), high - len(parts[2])
+        order[low:high] = np.concatenate(parts)
+        todo += [(low, first, depth), (first, second, depth + 1), (second, high, depth)]
+    return order
+
+
+def common_prefix(words: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """How many bytes each row, in the order, has in common with the one before it; 0 for the first."""
+    out = np.zeros(len(order), np.int64)
+    if len(order) > 1:
+        other = words[order[1:]] ^ words[order[:-1]]
+        at = (other != 0).argmax(axis=1)
+        word = other[np.arange(len(other)), at]
+        byte = (word.astype(">u8").view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
+        out[1:] = np.where(word == 0, words.shape[1] * 8, at * 8 + byte)
+    return out
+
+
+def later_ones(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which rows equal one of a lower rank: sorted, equal rows are neighbours without a difference."""
+    out = np.zeros(len(words), bool)
+    if len(words):
+        order = multikey_order(words)
+        first = np.flatnonzero(common_prefix(words, order) < words.shape[1] * 8)
+        least = np.minimum.reduceat(rank[order], first)
+        out[order] = rank[order] > np.repeat(least, np.diff(np.append(first, len(order))))
+    return out
+
+
+def repeats_in(docs: np.ndarray, ties: np.ndarray, firsts: np.ndarray, places: np.ndarray, spans: list[bytes]) -> pd.DataFrame:
+    """Runs (doc, tie, first, last) of the windows of a bucket that an earlier row has. `places`: where in its span each row's anchor is."""
+    out = {"doc": [docs[:0]], "tie": [ties[:0]], "first": [firsts[:0]], "last": [firsts[:0]]}
+
+    def emit(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        for name, part in zip(out, (docs[rows], ties[rows], firsts[rows] + first, firsts[rows] + last), strict=True):
+            out[name].append(part)
+
+    words = as_words([s[a:] for s, a in zip(spans, places.tolist(), strict=True)], -(-WIDTH // 8) * 8)
+    order = multikey_order(words)
+    run = np.empty(len(spans), np.int64)
+    run[order] = np.cumsum(common_prefix(words, order) < GRAM)
+    rank = np.empty(len(spans), np.int64)
+    rank[np.lexsort((firsts, ties, docs))] = np.arange(len(spans))
+    lengths = np.array(list(map(len, spans)))
+    rows = np.flatnonzero(np.bincount(run)[run] > 1)
+    # Spans that equal an earlier one at the same place of the anchor are repeats as a whole.
+    whole = as_words([spans[i] for i in rows.tolist()], -(-(WIDTH + GRAMS) // 8) * 8)
+    whole = np.column_stack([(run[rows] << 20 | places[rows] << 10 | lengths[rows]).astype(np.uint64), whole])
+    again = later_ones(whole, rank[rows])
+    emit(rows[again], np.zeros(again.sum(), np.int64), lengths[rows[again]] - WIDTH)
+    rows = rows[~again]
+    rows = rows[np.bincount(run[rows], minlength=1)[run[rows]] > 1] if len(rows) else rows
+    if not len(rows):
+        return pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
+    # All windows of the spans left, by run and by how far they start before the anchor.
+    n = lengths[rows] - WIDTH + 1
+    row, at = np.repeat(np.arange(len(rows)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    key = run[rows[row]] << 8 | (places[rows[row]] - at)
+    by_key = np.argsort(key, kind="stable")
+    starts = np.cumsum(lengths[rows]) - lengths[rows]
+    views = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"".join(spans[i] for i in rows.tolist()), np.uint8), WIDTH)
+    repeated, begin = np.zeros(len(key), bool), 0
+    while begin < len(key):
+        end = min(len(key), begin + WINDOWS)
+        if end < len(key):  # windows of one key stay together
+            end = int(np.searchsorted(key[by_key], key[by_key[end - 1]], "right"))
+        some = by_key[begin:end]
+        padded = np.zeros((len(some), -(-WIDTH // 8) * 8), np.uint8)
+        padded[:, :WIDTH] = views[starts[row[some]] + at[some]]
+        words = np.column_stack([key[some].astype(np.uint64), padded.view(">u8").astype(np.uint64)])
+        repeated[some] = later_ones(words, rank[rows[row[some]]])
+        begin = end
+    begins = repeated & ~(np.concatenate([[False], repeated[:-1]]) & (at > 0))
+    ends = repeated & ~np.concatenate([repeated[1:] & (at[1:] > 0), [False]])
+    emit(rows[row[begins]], at[begins], at[ends])
+    return pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
 
 
 def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A bucket, whole: sorted by suffix; suffixes that share their gram are compared."""
-    keys = [s[a:] for s, a in zip(pdf["span"], pdf["anchor"], strict=True)]
-    order = multikey_order(keys)
-    docs, ties, firsts, spans = (pdf[c].tolist() for c in ("doc", "tie", "first", "span"))
-    out, at = [], 0
-    order = order.tolist()
-    while at < len(order):
-        gram, end = keys[order[at]][:GRAM], at + 1
-        while end < len(order) and keys[order[end]].startswith(gram):
-            end += 1
-        if end > at + 1:
-            out += repeated_windows(sorted((docs[i], ties[i], firsts[i], spans[i]) for i in order[at:end]))
-        at = end
-    return pd.DataFrame(out, columns=["doc", "tie", "first", "last"])
+    """A bucket, whole."""
+    return repeats_in(*[pdf[c].to_numpy(np.int64) for c in ("doc", "tie", "first", "anchor")], pdf["span"].tolist())
 
 
 def _windows(batches):
@@ -154,17 +201,28 @@ def _windows(batches):
             yield pd.DataFrame({"doc": doc, "tie": tie, "first": first + np.arange(n), "window": [span[i : i + WIDTH] for i in range(n)]})
 
 
-def splitters(texts: DataFrame) -> np.ndarray:
-    """The sorted leading bytes, at most BUCKETS - 1, that part the suffixes of a sample of texts evenly; that sample reaches the driver."""
+def splitters(texts: DataFrame, suffixes: int) -> np.ndarray:
+    """The sorted leading bytes, at most BUCKETS - 1, that part `suffixes` suffixes evenly, from about SAMPLED anchors a bucket; these reach the driver.
+
+    Texts are sampled, and their anchors, all along the texts.
+    """
+    buckets = max(1, min(BUCKETS, -(-suffixes // SUFFIXES)))
+    if buckets == 1:
+        return np.zeros(0, f"S{LEAD}")
     n = texts.count()
+    share = min(1.0, 64 * buckets / max(1, n))
+    size = texts.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    each = min(1.0, 2 * SAMPLED * buckets / max(1.0, size * share * 2 / (WIDTH - GRAM)))
 
     def leads(batches):
+        rng = np.random.default_rng(5)
         for pdf in batches:
-            found = [b[a : a + LEAD] for b in pdf["bytes"] for a in anchors(b)[1][:SAMPLED].tolist()]
+            found = []
+            for b in pdf["bytes"]:
+                place = anchors(b)[1]
+                found += [b[a : a + LEAD] for a in place[rng.random(len(place)) < each].tolist()]
             yield pd.DataFrame({"lead": pd.Series(found, dtype=object)})
 
-    buckets = max(1, min(BUCKETS, n // TEXTS))
-    share = min(1.0, 16 * buckets / max(1, n))
     sample = texts.sample(fraction=share, seed=3).mapInPandas(leads, "lead binary").toPandas()["lead"]
     sample = np.sort(np.array([bytes(x).ljust(LEAD, b"\0") for x in sample], f"S{LEAD}"))
     return np.unique(sample[np.arange(1, buckets) * len(sample) // buckets]) if len(sample) else sample
@@ -181,7 +239,7 @@ def union(runs: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-RUN = "doc long, tie long, first int, last int"
+RUN = "doc long, tie long, first long, last long"
 
 
 def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -203,22 +261,31 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
     def anchor(batches):
         for pdf in batches:
-            parts = [anchors(b)[0] for b in pdf["bytes"]]
-            n = list(map(len, parts))
-            yield pd.DataFrame({"doc": np.repeat(pdf["doc"], n), "tie": np.repeat(pdf["tie"], n), "gram": np.concatenate(parts)})
+            parts = [np.unique(anchors(b)[0], return_counts=True) for b in pdf["bytes"]]
+            n = [len(g) for g, _ in parts]
+            grams, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            yield pd.DataFrame({"doc": np.repeat(pdf["doc"], n), "tie": np.repeat(pdf["tie"], n), "gram": grams, "c": counts})
 
     long = docs.where(F.length("bytes") >= WIDTH).select("doc", "tie", "bytes")
-    found = long.mapInPandas(anchor, "doc long, tie long, gram long")
-    counts = found.groupBy(F.col("gram").alias("counted")).agg(F.count("*").alias("n")).where("n > 1")
-    shared = found.join(counts, F.col("gram") == F.col("counted"))
+    found = long.mapInPandas(anchor, "doc long, tie long, gram long, c long")
+    counts = materialize(found.groupBy(F.col("gram").alias("counted")).agg(F.sum("c").alias("n")).where("n > 1"))
+    total = counts.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") <= HOT, F.col("n"))).alias("cold")).first()
+    # The rows of common grams, 4096 at most, are dealt to SALTS tasks each.
+    common = counts.where(F.col("n") > (total["all"] or 0) * HOT_SHARE).select(F.col("counted").alias("common"))
+    salts = F.when(F.col("common").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = counts.join(F.broadcast(common), F.col("counted") == F.col("common"), "left").select("counted", "n", F.explode(salts).alias("copy"))
+    salt = F.when(F.col("common").isNotNull(), F.pmod(F.xxhash64("doc", "tie"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    dealt = found.join(F.broadcast(common), F.col("gram") == F.col("common"), "left").select("doc", "tie", "gram", salt.alias("salt"))
+    shared = dealt.join(salted, (F.col("gram") == F.col("counted")) & (F.col("salt") == F.col("copy")))
     # Copies of a whole text repeat throughout: only the first of each text is looked into.
-    texts = docs.where(F.length("bytes") >= WIDTH).select("doc", "tie", F.crc32("bytes").alias("crc"), F.length("bytes").alias("n"))
-    firsts = texts.groupBy("tie", "crc", "n").agg(F.min("doc").alias("doc"))
-    copies = texts.join(firsts.withColumnRenamed("doc", "of"), ["tie", "crc", "n"]).where("doc != of").distinct()
-    copy_runs = copies.select("doc", "tie", F.lit(0).alias("first"), (F.col("n") - WIDTH).alias("last"))
+    texts = docs.where(F.length("bytes") >= WIDTH).select("doc", "tie", F.unhex(F.sha2("bytes", 256)).alias("sha"), F.length("bytes").alias("n"))
+    firsts = texts.groupBy("sha").agg(F.min("doc").alias("of"), F.min("tie").alias("of_tie")).withColumnRenamed("sha", "of_sha")
+    copies = texts.join(firsts, F.col("sha") == F.col("of_sha")).where("doc != of").distinct()
+    copy_runs = copies.select("doc", "tie", F.lit(0).cast("long").alias("first"), (F.col("n") - WIDTH).cast("long").alias("last"))
     marked = F.struct("gram", (F.col("n") > HOT).alias("hot"))
     wanted = shared.groupBy("doc", "tie").agg(F.collect_set(marked).alias("grams"))
-    wanted = wanted.join(firsts.select("doc", "tie"), ["doc", "tie"], "left_semi")
+    wanted = wanted.join(firsts.select(F.col("of").alias("doc"), F.col("of_tie").alias("tie")), ["doc", "tie"], "left_semi")
+    subs = max(1, -(-(total["cold"] or 0) // (BUCKETS * SUFFIXES)))
 
     def spans(hot: bool) -> DataFrame:
         def of(batches):
@@ -228,7 +295,7 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     gram, place, first, last = anchors(b)
                     for i in np.flatnonzero(np.isin(gram, grams)).tolist():
                         f, a = int(first[i]), int(place[i])
-                        bucket = int(np.searchsorted(cuts.value, b[a : a + LEAD].ljust(LEAD, b"\0"), "right"))
+                        bucket = int(np.searchsorted(cuts.value, b[a : a + LEAD].ljust(LEAD, b"\0"), "right")) * subs + int(gram[i]) % subs
                         out.append((doc, tie, bucket, f, a - f, b[f : int(last[i]) + WIDTH]))
                 if out:
                     yield pd.DataFrame(out, columns=["doc", "tie", "bucket", "first", "anchor", "span"])
@@ -236,19 +303,19 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
         mine = F.transform(F.filter("grams", lambda g: g["hot"] == hot), lambda g: g["gram"])
         # With the id, which nothing here reads, the shuffle of texts is the same as that of the last join.
         rows = placed.join(wanted.withColumn("grams", mine).where(F.size("grams") > 0), ["doc", "tie"])
-        return rows.select("doc", "tie", "bytes", "grams", "id").mapInPandas(of, "doc long, tie long, bucket int, first int, anchor int, span binary")
+        return rows.select("doc", "tie", "bytes", "grams", "id").mapInPandas(of, "doc long, tie long, bucket long, first long, anchor int, span binary")
 
-    cuts = spark.sparkContext.broadcast(splitters(long))
+    cuts = spark.sparkContext.broadcast(splitters(long, total["cold"] or 0))
     cold_runs = spans(False).groupBy("bucket").applyInPandas(_compare, RUN)
     # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
     at = F.struct("doc", "tie", "first")
     hot = spans(True).select(at.alias("at"), "span")
     distinct = hot.groupBy("span").agg(F.min("at").alias("earliest"))
     repeats = hot.join(distinct.withColumnRenamed("span", "same"), F.col("span") == F.col("same")).where("at != earliest")
-    hot_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).cast("int").alias("last"))
+    hot_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).alias("last"))
 
     windows = distinct.select("earliest.doc", "earliest.tie", "earliest.first", "span")
-    windows = windows.mapInPandas(_windows, "doc long, tie long, first int, window binary").select(at.alias("at"), "window")
+    windows = windows.mapInPandas(_windows, "doc long, tie long, first long, window binary").select(at.alias("at"), "window")
     earliest = windows.groupBy(F.col("window").alias("same")).agg(F.min("at").alias("earliest"))
     later = windows.join(earliest, F.col("window") == F.col("same")).where("at != earliest")
     window_runs = later.select("at.doc", "at.tie", "at.first", F.col("at.first").alias("last"))
