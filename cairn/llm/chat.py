@@ -74,7 +74,10 @@ def fold_events(log: DataFrame) -> DataFrame:
 
 
 def messages_as_events(rows: DataFrame) -> DataFrame:
-    """A log in which every row of (conv_id, turn, role, text) is a message of its own, ordered by turn, role and text."""
+    """A log in which every row of (conv_id, turn, role, text) is a message of its own, ordered by turn (null first), role and text.
+
+    Repeated rows are messages each; null conversations are one; an empty table gives an empty log; extra columns are left out.
+    """
     order = W.Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     return rows.select("conv_id", F.row_number().over(order).alias("turn"), "role", "text").select(
         "conv_id", "turn", F.col("turn").alias("seq"), F.lit("message").alias("event"), "role", "text"

@@ -12,6 +12,9 @@ from .common import materialize, table, words_of
 #: Verdicts and the host/path rules that the URL query applies.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
+#: Labelled rows, about, whose texts are gathered to learn from.
+LABELLED_ROWS = 200_000
+
 
 def held_out(doc_id: str) -> Column:
     """Whether a row's labels are kept from learning."""
@@ -25,10 +28,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels: those of at most 20,000 rows that are not held out, taken by a hash of the id."""
+    """Labels: those of rows that are not held out; toxicity() takes about 20,000 of them, and no more than 200,000, by a hash of the id, are joined to their texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labels = labels.where("toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20_000)
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic is not null")
+    share = min(1.0, LABELLED_ROWS / max(1, labels.count()))
+    labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     out = toxicity.toxicity(docs, "text", docs.join(F.broadcast(labels), "doc_id"), "toxic")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "votes")
 
@@ -42,13 +46,37 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
 
 
+def conversation_log(rows: DataFrame) -> DataFrame:
+    """An event log that rebuilds the conversations (conv_id, turn, role, text; no null texts).
+
+    Messages are told in different ways, by their place: whole; as a start and two deltas; wrong, then
+    regenerated and streamed; or wrong, then edited. A message that is deleted again comes at the end of some. What makes a turn anew comes
+    before anything of a later turn, as it discards that.
+    """
+    told = chat.messages_as_events(rows)
+    half = F.floor(F.length("text") / 2).cast("int")
+    first, second = F.substr(F.col("text"), F.lit(1), half), F.substr(F.col("text"), half + 1)
+    one = lambda k, event, text, role=None: F.struct(
+        (F.col("turn") * 10 + k).cast("long").alias("seq"), F.col("turn").cast("long").alias("turn"), F.lit(event).alias("event"), (F.col("role") if role is None else role).alias("role"), text.alias("text")
+    )
+    none = F.lit(None).cast("string")
+    ways = F.when(F.col("turn") % 4 == 1, F.array(one(0, "message", F.col("text"))))
+    ways = ways.when(F.col("turn") % 4 == 2, F.array(one(0, "message", F.lit("")), one(1, "delta", first, none), one(2, "delta", second, none)))
+    ways = ways.when(F.col("turn") % 4 == 3, F.array(one(0, "message", F.lit("wrong")), one(1, "regenerate", none, none), one(2, "delta", first, none), one(3, "delta", second, none)))
+    ways = ways.otherwise(F.array(one(0, "message", F.lit("wrong")), one(1, "edit", F.col("text"), none)))
+    gone = F.array(*[F.struct((F.col("turn") * 10 + k).cast("long").alias("seq"), (F.col("turn") + 1).cast("long").alias("turn"), F.lit(event).alias("event"), F.lit("user").alias("role"), F.lit("gone").alias("text")) for k, event in ((5, "message"), (6, "delete"))])
+    events = F.when(F.col("turn") % 5 == 0, F.concat(ways, gone)).otherwise(ways)
+    return told.select("conv_id", F.explode(events).alias("e")).select("conv_id", "e.*")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows are told as an event log first, with deltas, edits, regenerations and deletions, from which the operator rebuilds them."""
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")
     )
     text = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
-    out = chat.render(chat.fold_events(chat.messages_as_events(rows.unionByName(more))))
+    out = chat.render(chat.fold_events(conversation_log(rows.unionByName(more))))
     read = out.select("conv_id", "formatted", "loss_mask", chat.read_back(F.col("formatted")).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_mask")), "")
