@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def quality_score(kb: Column, focus: Column, richness: Column) -> Column:
 
 def latin_aliases(aliases: Column, most: int = 8) -> Column:
     """Aliases with a Latin letter, the first of each spelling that differs by more than case."""
-    latin = F.filter(aliases, lambda a: a.rlike("[A-Za-z]"))
+    latin = F.filter(F.transform(aliases, lambda a: F.trim(a)), lambda a: a.rlike("[A-Za-z]"))
     seen = F.transform(latin, lambda a: F.lower(a))
     return F.slice(F.filter(latin, lambda a, i: F.array_position(seen, F.lower(a)) == i + 1), 1, most)
 
@@ -37,11 +39,11 @@ def title_key(title: Column) -> Column:
 
 
 def file_name(value: Column) -> Column:
-    """The file name in a link: angle brackets, `Special:FilePath/` and `File:` stripped, percent codes decoded, `+` kept."""
-    name = F.regexp_replace(value, "^<|>$", "")
+    """The file name in a link: blanks, angle brackets, `Special:FilePath/` and `File:` stripped, percent codes decoded, `+` kept."""
+    name = F.regexp_replace(F.trim(value), "^<|>$", "")
     name = F.regexp_replace(name, "^.*Special:FilePath/", "")
     name = F.regexp_replace(name, "^File:", "")
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    return F.trim(F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name))
 
 
 def page_url(lang: Column, title: Column) -> Column:
@@ -72,23 +74,30 @@ def safe_extension(name: Column) -> Column:
 
 
 #: Leading bytes of file formats.
-SIGNATURES = (("FFD8FF", "jpeg"), ("89504E47", "png"), ("47494638", "gif"), ("424D", "bmp"), ("49492A00", "tiff"), ("4D4D002A", "tiff"), ("25504446", "pdf"), ("504B0304", "zip"), ("1F8B", "gzip"))
+SIGNATURES = (("FFD8FF", "jpeg"), ("89504E47", "png"), ("47494638", "gif"), ("49492A00", "tiff"), ("4D4D002A", "tiff"), ("25504446", "pdf"), ("41542654464F524D", "djvu"))
 
 
 def magic_class(body: Column) -> Column:
-    """The class of a binary body by its leading bytes: a format, webp, svg, xml, html with an error code or title, empty, or hex:<4 bytes>."""
-    head = F.hex(F.substring(body, 1, 16))
-    text = F.lower(F.regexp_replace(F.substring(body, 1, 2048).cast("string"), "^\\s+", ""))
-    code = F.regexp_extract(text, "error[: ]+(\\d{3})", 1)
-    title = F.regexp_extract(text, "<title>([^<]{0,40})", 1)
-    html = F.concat(F.lit("html("), F.when(code != "", code).otherwise(F.trim(title)), F.lit(")"))
+    """The class of a binary body by its first 2048 bytes.
+
+    A format; webp; html with an error code, else its title (40 characters), else `?`, in
+    brackets; svg; xml; html() for other markup; empty; or hex: with the first 8 bytes.
+    """
+    head = F.substring(body, 1, 2048)
+    first = F.hex(F.substring(body, 1, 16))
+    whole = F.decode(head, "ISO-8859-1")
+    text = F.lower(F.substring(F.regexp_replace(whole, "^[ \\t\\n\\x0B\\f\\r]+", ""), 1, 24))
+    code = F.regexp_extract(whole, "(?d)Error:\\s*(\\d{3})", 1)
+    title = F.regexp_extract(whole, "<title>([^<]{0,80})</title>", 1)
+    title = F.substring(F.trim(F.decode(F.encode(title, "ISO-8859-1"), "UTF-8")), 1, 40)
+    told = F.when(code != "", code).when(whole.rlike("<title>[^<]{0,80}</title>"), title).otherwise("?")
     out = F.when(F.coalesce(F.length(body), F.lit(0)) == 0, "empty")
     for signature, name in SIGNATURES:
-        out = out.when(head.startswith(signature), name)
-    out = out.when(head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250"), "webp")
-    out = out.when(text.startswith("<svg") | (text.startswith("<?xml") & text.contains("<svg")), "svg")
-    out = out.when(text.startswith("<!doctype html") | text.startswith("<html"), html).when(text.startswith("<?xml"), "xml")
-    return out.otherwise(F.concat(F.lit("hex:"), F.lower(F.substring(head, 1, 8))))
+        out = out.when(first.startswith(signature), name)
+    out = out.when(first.startswith("52494646") & (F.substring(first, 17, 8) == "57454250"), "webp")
+    out = out.when(text.startswith("<!doctype") | text.startswith("<html"), F.concat(F.lit("html("), told, F.lit(")")))
+    out = out.when(text.startswith("<svg"), "svg").when(text.startswith("<?xml"), "xml").when(first.startswith("3C"), "html()")
+    return out.otherwise(F.concat(F.lit("hex:"), F.lower(F.substring(first, 1, 16))))
 
 
 def resolution(text: Column) -> Column:
@@ -118,10 +127,21 @@ def strip_trackers(url: Column) -> Column:
     return F.regexp_replace(out, "[?&](#|$)", "$1")
 
 
+#: What may stand behind a DOI in an address, taken off in this order.
+DOI_ENDS = ("/", ".pdf", ".xml", "/full", "/meta", "/abstract")
+
+
 def doi(url: Column) -> Column:
-    """The DOI in an address, without a file suffix, if under 50 characters."""
-    found = F.regexp_replace(F.regexp_extract(url, "(10\\.\\d{4,9}/[^\\s?#&]+)", 1), "(/|\\.pdf|\\.xml|/full|/meta|/abstract)$", "")
-    return F.when((found != "") & (F.length(found) < 50), found)
+    """The DOI in the path of an address, or else in one of its parameters, if under 50 characters; of the ends that name a file or view each is taken off in turn."""
+    bare = F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*|#.*$", "")
+    path, query = F.regexp_extract(bare, "^([^?]*)", 1), F.regexp_extract(bare, "\\?(.*)$", 1)
+    values = F.transform(F.split(query, "&"), lambda p: F.coalesce(F.try_url_decode(F.substr(p, F.locate("=", p) + 1)), p))
+    named = lambda t: F.regexp_extract(t, "(10\\.\\d{4,9}/\\S+)", 1)
+    found = F.get(F.filter(F.transform(F.concat(F.array(path), values), named), lambda d: d != ""), F.lit(0))
+    short = found
+    for end in DOI_ENDS:
+        short = F.when(short.endswith(end), F.substr(short, F.lit(1), F.length(short) - len(end))).otherwise(short)
+    return F.when(F.length(found) < 50, short)
 
 
 def prettify(url: Column, most: int = 74) -> Column:
@@ -183,36 +203,6 @@ def html_to_text(html: Column) -> Column:
     return out
 
 
-def wikitext_clean(text: Column, rounds: int = 8) -> Column:
-    """Plain text of wiki markup: comments, references, templates (innermost first, up to `rounds` deep), tables, files, links, headings, emphasis and tags resolved."""
-    out = F.regexp_replace(text, "(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, "(?is)<ref[^>/]*/>|<ref\\b.*?</ref>", "")
-    out = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), out, lambda acc, _: F.regexp_replace(acc, "\\{\\{[^{}]*\\}\\}", ""))
-    out = F.regexp_replace(out, "(?s)\\{\\|.*?\\|\\}", "")
-    out = F.regexp_replace(out, "(?i)\\[\\[(?:file|image|category|文件|图像|分类):[^\\[\\]]*(?:\\[\\[[^\\]]*\\]\\][^\\[\\]]*)*\\]\\]", "")
-    out = F.regexp_replace(out, "\\[\\[(?:[^|\\]]*\\|)?([^\\]]*)\\]\\]", "$1")
-    out = F.regexp_replace(out, "\\[https?://\\S+\\s+([^\\]]*)\\]", "$1")
-    out = F.regexp_replace(out, "'{2,}", "")
-    out = F.regexp_replace(out, "<[^>]+>", "")
-    for coded, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(coded), F.lit(plain))
-    return F.regexp_replace(F.regexp_replace(out, "[ \\t]+", " "), "\\n{3,}", "\n\n")
-
-
-def wiki_lists(text: Column) -> Column:
-    """(categories, links, n_links, files, qid, disambiguation) of wiki markup; links lose their anchors and repeat by case once, at most 2000."""
-    targets = F.regexp_extract_all(text, F.lit("\\[\\[([^\\[\\]|]+)"), F.lit(1))
-    kind = lambda names: F.transform(F.filter(targets, lambda t: t.rlike(f"(?i)^({names}):")), lambda t: F.trim(F.regexp_replace(t, "^[^:]*:", "")))
-    plain = F.filter(F.transform(targets, lambda t: F.trim(F.regexp_replace(t, "#.*$", ""))), lambda t: (t != "") & ~t.contains(":"))
-    lower = F.transform(plain, lambda t: F.lower(t))
-    links = F.filter(plain, lambda t, i: F.array_position(lower, F.lower(t)) == i + 1)
-    qid = F.regexp_extract(text, "\\b(Q[1-9]\\d*)\\b", 1)
-    return F.struct(
-        F.array_distinct(kind("category|分类")).alias("categories"), F.slice(links, 1, 2000).alias("links"), F.size(links).alias("n_links"),
-        F.array_distinct(kind("file|image|文件|图像")).alias("files"), F.when(qid != "", qid).alias("qid"), text.rlike("(?i)\\{\\{(disambig|消歧义)").alias("disambiguation"),
-    )
-
-
 def annotation(reply: Column) -> Column:
     """The parsed annotation in a model's reply, or null: the first flat object with kb_match, scores clamped to 0..10, a boolean identity, a caption of 40 characters."""
     raw = F.regexp_extract(reply, '(?s)(\\{[^{}]*"kb_match"[^{}]*\\})', 1)
@@ -227,16 +217,25 @@ def annotation(reply: Column) -> Column:
     return F.when(ok, out)
 
 
+#: The labels of a knowledge block and what it says without a description.
+ENTITY, ALIASES, KNOWN, UNKNOWN = "实体：", "别名：", "知识：", "知识：（暂无，仅凭实体名称判断）"
+
+
 def knowledge_block(name: Column, aliases: Column, description: Column) -> Column:
-    """Name, the first five aliases, and the description cut at 250 characters."""
-    cut = F.when(F.length(description) > 250, F.concat(F.substring(description, 1, 250), F.lit("…"))).otherwise(description)
-    return F.concat_ws("\n", name, F.nullif(F.array_join(F.slice(aliases, 1, 5), ", "), F.lit("")), cut)
+    """What a judge is told of an entity: its name, the first five aliases, and its description cut at 250 characters, each on a labelled line."""
+    known = F.filter(F.transform(F.coalesce(aliases, F.array().cast("array<string>")), lambda a: F.trim(a)), lambda a: a != "")
+    said = F.trim(F.coalesce(description, F.lit("")))
+    cut = F.when(F.length(said) > 250, F.concat(F.substring(said, 1, 250), F.lit("…"))).otherwise(said)
+    return F.concat_ws(
+        "\n", F.concat(F.lit(ENTITY), name), F.when(F.size(known) > 0, F.concat(F.lit(ALIASES), F.array_join(F.slice(known, 1, 5), "、"))),
+        F.when(cut != "", F.concat(F.lit(KNOWN), cut)).otherwise(F.lit(UNKNOWN)),
+    )
 
 
 #: Parts of the addresses of trusted and of commercial sites, and marks of disambiguation pages.
 TRUSTED = ("wikipedia.org", "baike.baidu.com", "zhihu.com", "britannica.com")
 COMMERCE = ("amazon.", "ebay.", "taobao.", "jd.com", "tmall.", "alibaba.", "walmart.", "aliexpress.", "bolt.eu")
-DISAMBIGUATION = ("消歧义", "disambiguation", "may refer to")
+DISAMBIGUATION = ("可以指", "可以是指", "消歧义", "disambiguation")
 
 
 def any_within(text: Column, parts: tuple[str, ...]) -> Column:
@@ -264,3 +263,50 @@ def relevance(name: Column, aliases: Column, title: Column, url: Column, snippet
     extra = F.when(any_within(url, TRUSTED), 8).otherwise(0) - F.when(any_within(url, COMMERCE), 40).otherwise(0)
     unclear = any_within(snippet, DISAMBIGUATION) | t.contains("消歧义")
     return (base + shared + extra - F.when(unclear, 40).otherwise(0)).cast("int")
+
+
+def drop_tags(value: Column) -> Column:
+    """A text without tags, stripped."""
+    return F.trim(F.regexp_replace(value, "<[^>]+>", ""))
+
+
+#: Image formats by extension, where the name is not the extension in capitals.
+FORMATS = {"jpg": "JPG", "jpeg": "JPG", "jpe": "JPG", "svg": "SVG", "tif": "TIF", "tiff": "TIF", "ico": "ICO", "png": "PNG", "gif": "GIF", "bmp": "BMP", "webp": "WEBP", "avif": "AVIF"}
+
+
+def image_format(url: Column) -> Column:
+    """The format that the path of an image's address shows; null where it shows none."""
+    path = F.regexp_replace(url, "[?#].*$", "")
+    return F.create_map(*[F.lit(x) for kv in FORMATS.items() for x in kv])[F.lower(F.regexp_extract(path, "\\.([A-Za-z0-9]+)$", 1))]
+
+
+def result_content(title: Column, content: Column) -> Column:
+    """A result's text with single spaces; none if it says what the title says."""
+    plain = squeeze(F.coalesce(content, F.lit("")))
+    return F.when(plain == squeeze(F.coalesce(title, F.lit(""))), "").otherwise(plain)
+
+
+def clean_url(url: Column, rules: list[tuple[str, list[str], list[str]]]) -> Column:
+    """An address without the parameters that rules (address pattern, exceptions, parameter patterns) name.
+
+    Patterns hold from the start. A rule applies where its pattern fits and none of its exceptions; it then
+    drops blank parameters too and writes the rest anew. Rules come one after the other, each on what the last left.
+    """
+    kinds = "array<struct<fits:string,spares:array<string>,drops:array<string>>>"
+    begins = lambda p: f"^(?:{p})"
+    listed = F.from_json(F.lit(json.dumps([{"fits": begins(a), "spares": [*map(begins, b)], "drops": [*map(begins, c)]} for a, b, c in rules])), kinds)
+    again = lambda t: F.replace(F.replace(F.url_encode(F.coalesce(F.try_url_decode(t), t)), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    name = lambda p: F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), p)
+    value = lambda p: F.substr(p, F.locate("=", p) + 1)
+
+    def step(u: Column, r: Column) -> Column:
+        query = F.regexp_extract(u, "\\?([^#]*)", 1)
+        pairs = F.filter(F.split(query, "&"), lambda p: p.contains("=") & ~p.endswith("="))
+        rest = F.filter(pairs, lambda p: ~F.exists(r["drops"], lambda d: F.regexp_like(name(p), d)))
+        text = F.array_join(F.transform(rest, lambda p: F.concat(again(F.substring_index(p, "=", 1)), F.lit("="), again(value(p)))), "&")
+        ends = F.regexp_extract(u, "(#.*)$", 1)
+        anew = F.concat(F.regexp_extract(u, "^([^?#]*)", 1), F.when(text != "", F.concat(F.lit("?"), text)).otherwise(""), ends)
+        applies = (F.size(pairs) > 0) & F.regexp_like(u, r["fits"]) & ~F.exists(r["spares"], lambda e: F.regexp_like(u, e))
+        return F.when(applies, anew).otherwise(u)
+
+    return F.aggregate(listed, url, step)

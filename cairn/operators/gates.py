@@ -40,11 +40,33 @@ def self_consistent(page_sha: Column, url: Column) -> Column:
     return F.coalesce(page_sha == F.sha2(url.cast("binary"), 256), F.lit(False))
 
 
+#: Fixed value: hours without any yield after which a source is put on probation.
+PROBATION_HOURS = 72
+
+
 def source_state(rows: Column, last_day: Column) -> Column:
-    """alive if it yielded in the last day, cooldown if it ever did, else dead-candidate."""
+    """alive if it yielded in the last day, cooldown if it ever did, else dead-candidate. `rows` counts all of its rows."""
     return F.when(last_day > 0, "alive").when(rows > 0, "cooldown").otherwise("dead-candidate")
 
 
+def source_lives(enabled: DataFrame, yields: DataFrame, lives: DataFrame, now: Column) -> DataFrame:
+    """The state of every enabled source (source, rows, w24, w1, state, dead_since, probation, due).
+
+    `yields` has (source, rows, w24, w1), `lives` what the last run left: (source,
+    dead_since, probation). A source without rows is dead since it was first seen so; after
+    PROBATION_HOURS it is put on probation once, and `due` marks the run that does it. One
+    that yields loses both.
+    """
+    joined = enabled.select("source").distinct().join(yields, "source", "left").join(lives.select("source", F.col("dead_since").alias("_dead"), F.col("probation").alias("_probation")), "source", "left")
+    counts = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("rows", "w24", "w1")}
+    t = joined.select("source", *[c.alias(n) for n, c in counts.items()], "_dead", "_probation").withColumn("state", source_state(F.col("rows"), F.col("w24")))
+    dead = F.when(F.col("rows") == 0, F.coalesce("_dead", now))
+    hours = (now.cast("timestamp").cast("double") - dead.cast("timestamp").cast("double")) / 3600
+    due = F.coalesce((F.col("rows") == 0) & (hours >= PROBATION_HOURS) & F.col("_probation").isNull(), F.lit(False))
+    probation = F.when(F.col("rows") == 0, F.when(due, now).otherwise(F.col("_probation")))
+    return t.withColumns({"dead_since": dead, "probation": probation, "due": due}).drop("_dead", "_probation")
+
+
 def publish_outcome(failed: Column, name_ok: Column, duplicate: Column, body: Column, content_ok: Column) -> Column:
     """fail, bad, dup, empty, bad or ok, in this order of tests."""
     empty = F.coalesce(F.length(F.trim(body)), F.lit(0)) == 0
@@ -82,3 +104,54 @@ def image_urls(urls: Column, hints: tuple[str, ...], extensions: tuple[str, ...]
 def any_part(text: Column, parts: tuple[str, ...]) -> Column:
     """Whether a text holds any of the parts; null text holds none."""
     return F.coalesce(F.greatest(F.lit(False), F.lit(False), *[text.contains(p) for p in parts]), F.lit(False))
+
+
+def carried(carriers: Column, line: str) -> Column:
+    """Whether a concept belongs to the image or the text line: all but those that name the other line alone; without a carrier it belongs to both."""
+    other = {"image": "text", "text": "image"}[line]
+    return F.coalesce(carriers != other, F.lit(True))
+
+
+def has_sitelinks(entity: Column) -> Column:
+    """Whether an entity's JSON tells of one site link or more and not that it is missing."""
+    links = F.json_object_keys(F.get_json_object(entity, "$.sitelinks"))
+    return (F.coalesce(F.size(links), F.lit(0)) > 0) & F.get_json_object(entity, "$.missing").isNull()
+
+
+def deep_check(size: Column, extension: Column, extensions: tuple[str, ...], least: int = 6000) -> Column:
+    """Whether a stored file is worth a look into its content: over `least` bytes and of a known extension."""
+    return F.coalesce((size > least) & extension.isin(*extensions), F.lit(False))
+
+
+def not_disambiguation(extract: Column) -> Column:
+    """Whether an encyclopedia extract is an article: over 300 characters, and none of the marks of a list of meanings in its first 300."""
+    head = F.substring(extract, 1, 300)
+    marked = F.lit(False)
+    for mark in MEANINGS:
+        marked = marked | head.contains(mark)
+    return F.coalesce((F.length(F.trim(extract)) > 300) & ~marked, F.lit(False))
+
+
+#: Marks of a list of meanings.
+MEANINGS = ("may also refer to", "可以指", "可以是指")
+
+
+def robots_allowed(urls: DataFrame, url: str, rules: DataFrame) -> DataFrame:
+    """Add `allowed` to rows with an address, by rules (origin, place, allow, pattern) taken from the origins' robots files for this agent.
+
+    The first rule of the origin, by place, whose pattern the path begins with decides; origins without
+    rules, or whose file could not be read, allow all. Rules are grouped by origin before they are joined.
+    """
+    origin = F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_replace(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1), "^$", "/")
+    listed = rules.groupBy(F.col("origin").alias("_origin")).agg(F.array_sort(F.collect_list(F.struct("place", "allow", "pattern"))).alias("_rules"))
+    fits = F.filter("_rules", lambda r: F.col("_path").startswith(r["pattern"]) & (r["pattern"] != ""))
+    joined = urls.withColumns({"_at": origin, "_path": path}).join(listed, F.col("_at") == F.col("_origin"), "left")
+    return joined.withColumn("allowed", F.coalesce(F.get(fits, F.lit(0))["allow"], F.lit(True))).drop("_at", "_path", "_origin", "_rules")
+
+
+def not_listed(df: DataFrame, url: str, digests: DataFrame) -> DataFrame:
+    """The rows whose host's MD5 is not among `digests` (one column): a blacklist that names no host."""
+    listed = digests.toDF("_digest")
+    host = F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    return df.withColumn("_md5", F.md5(host.cast("binary"))).join(listed, F.col("_md5") == F.col("_digest"), "left_anti").drop("_md5")

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def first_wins(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key, by `order`. Unlike dropDuplicates the choice does not depend on partitioning.
 
@@ -21,8 +29,8 @@ def first_wins(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     """The first n rows of each key. Spark cuts each task's share to n rows a key before it shuffles (window group limit)."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    rank, place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)), free_name(df, "place")
+    return df.withColumn(place, rank).where(F.col(place) <= n).drop(place)
 
 
 def append_new(existing: DataFrame, batch: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -32,20 +40,27 @@ def append_new(existing: DataFrame, batch: DataFrame, keys: list[str], order: li
 
 
 def global_rank(df: DataFrame, order: str, ties: list[str], to: str, buckets: int = 64) -> DataFrame:
-    """Add the 0-based rank of each row in the order of a numeric column and `ties`, without bringing all rows to one task.
+    """Add the 0-based rank of each row in the order of a column and `ties`, null first, without bringing all rows to one task.
 
-    Quantiles of the column cut the rows into buckets; rows are numbered within each, and
-    the sizes of the buckets before it are added. Only those `buckets` sizes are ordered as a whole.
+    Keys of a sample, some 64 a bucket, cut the rows into buckets by all of these columns, so rows of one
+    common value are parted too; rows are numbered within each bucket, and the sizes of
+    the buckets before it are added. Only those sizes are ordered as a whole.
     """
-    cuts = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.001)))
-    bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
-    df = df.withColumn("_bucket", F.coalesce(F.when(F.col(order).isNotNull(), bucket), F.lit(-1)))
-    sizes = df.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(order, *ties)) - 1
-    ranked = df.withColumn("_within", within).join(F.broadcast(offsets), "_bucket")  # at most buckets + 1 rows
-    return ranked.withColumn(to, (F.col("_within") + F.col("_before")).cast("long")).drop("_bucket", "_within", "_before")
+    keys = [order, *[t for t in ties if t != order]]
+    kinds = {f.name: f.dataType for f in df.select(*keys).schema}
+    share = min(1.0, 64 * buckets / max(1, df.count()))
+    sample = df.select(F.struct(*keys).alias("k")).sample(fraction=share, seed=7).orderBy("k").collect()
+    cuts = [sample[i * len(sample) // buckets]["k"] for i in range(1, buckets)] if len(sample) > 1 else []
+    listed = F.array(*[F.struct(*[F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys]) for c in dict.fromkeys(cuts)])
+    bucket = F.size(F.filter(listed, lambda c: c < F.struct(*keys))) if cuts else F.lit(0)
+    of, n, earlier, place = (free_name(df, x) for x in ("bucket", "bucket_rows", "bucket_before", "bucket_place"))
+    df = df.withColumn(of, bucket)
+    sizes = df.groupBy(of).agg(F.count("*").alias(n))
+    before = Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(of, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(earlier))
+    within = F.row_number().over(Window.partitionBy(of).orderBy(*keys)) - 1
+    ranked = df.withColumn(place, within).join(F.broadcast(offsets), of)  # at most `buckets` rows
+    return ranked.withColumn(to, (F.col(place) + F.col(earlier)).cast("long")).drop(of, place, earlier)
 
 
 def stride_shard(df: DataFrame, rank: str, shard: int, shards: int, offset: int = 0, limit: int | None = None, before: bool = False) -> DataFrame:
@@ -102,7 +117,8 @@ def prefix_route(paths: DataFrame, path: str, nodes: list[tuple[str, str]]) -> D
     for node, target in sorted(nodes, key=lambda x: (len(x[0]), x[0])):
         fits = F.col(path).startswith(node) | F.lit(node).startswith(F.col(path))
         out = F.when(fits, F.struct(F.lit(node).alias("node"), F.lit(target).alias("target"))).otherwise(out)
-    return paths.withColumn("_route", out).withColumns({"node": F.col("_route.node"), "target": F.col("_route.target")}).drop("_route")
+    route = free_name(paths, "route")
+    return paths.withColumn(route, out).withColumns({"node": F.col(route)["node"], "target": F.col(route)["target"]}).drop(route)
 
 
 def rank_best_then_quota(edges: DataFrame, key: str, item: str, priority: Column, tie: list[str], keep: list[str], quota: int) -> DataFrame:
@@ -111,8 +127,8 @@ def rank_best_then_quota(edges: DataFrame, key: str, item: str, priority: Column
     return top_n_per_key(best.select(key, item, "_b.*"), [key], [item], quota)
 
 
-def group_to_list(edges: DataFrame, item: str, order: list[str], pair: Column, first: str) -> DataFrame:
-    """(item, first, pairs): the pairs of an item joined with commas in order, and the value `first` of its first row."""
+def group_to_list(edges: DataFrame, item: str, order: list[str], pair: Column, first: str, *more: Column) -> DataFrame:
+    """(item, first, pairs, more): the pairs of an item joined with commas in order, the value `first` of its first row, and further aggregates."""
     rows = F.array_sort(F.collect_list(F.struct(*order, F.col(first).alias("_first"), pair.alias("_pair"))))
-    grouped = edges.groupBy(item).agg(rows.alias("_rows"))
-    return grouped.select(item, F.col("_rows")[0]["_first"].alias(first), F.array_join(F.transform("_rows", lambda r: r["_pair"]), ",").alias("pairs"))
+    grouped = edges.groupBy(item).agg(rows.alias("_rows"), *more)
+    return grouped.select(item, F.col("_rows")[0]["_first"].alias(first), F.array_join(F.transform("_rows", lambda r: r["_pair"]), ",").alias("pairs"), *grouped.columns[2:])

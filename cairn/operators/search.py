@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Results of a group of the final order, and how far behind its first a result may still join.
+#: Results that may join the first of a run, and results in later runs that close it.
 GROUP, DISTANCE = 8, 20
 
 
@@ -47,34 +47,38 @@ def with_score(merged: DataFrame, priority: Column | None = None) -> DataFrame:
     return merged.withColumn("score", F.aggregate(F.transform("positions", each), F.lit(0.0), lambda a, x: a + x)).drop("_weights")
 
 
-def place_results(groups: list[str]) -> list[int]:
-    """The final order of results that come by score: each joins the last run of its group if the run is open and near, else starts a new run at the end."""
-    order: list[int] = []
-    open_runs: dict[str, list[int]] = {}
-    for i, group in enumerate(groups):
-        run = open_runs.get(group)
-        if run and run[1] > 0 and len(order) - run[0] < DISTANCE:
-            at = run[0]
-            order.insert(at, i)
-            for other in open_runs.values():
-                other[0] += other[0] >= at
-            run[1] -= 1
-        else:
-            order.append(i)
-            open_runs[group] = [len(order), GROUP]
-    return order
+def placed(groups: Column) -> Column:
+    """The final order of results that come by score, as their 0-based places in `groups`, the array of their groups.
 
+    The order is a row of runs, each of one group. A result joins the last run of its group
+    if that holds no more than GROUP results and fewer than DISTANCE stand in the runs behind it;
+    otherwise it starts a run at the end.
+    """
+    start = F.array().cast("array<struct<g:string,items:array<int>>>")
+    back = lambda runs, g: F.array_position(F.reverse(F.transform(runs, lambda r: r["g"])), g).cast("int")
 
-def ordered_results(scored: DataFrame) -> DataFrame:
-    """Add `place`: by score, then grouped by category, template and whether there is an image. The order builds on itself, so each query's results go to one helper call."""
+    def step(runs: Column, x: Column) -> Column:
+        last = F.size(runs) - back(runs, x["g"])
+        behind = F.aggregate(F.slice(runs, last + 2, F.size(runs) + 1), F.lit(0), lambda n, r: n + F.size(r["items"]))
+        joins = (back(runs, x["g"]) > 0) & (F.size(F.get(runs, last)["items"]) <= GROUP) & (behind < DISTANCE)
+        longer = F.transform(runs, lambda r, i: F.struct(r["g"].alias("g"), F.when(i == last, F.array_append(r["items"], x["i"])).otherwise(r["items"]).alias("items")))
+        return F.when(joins, longer).otherwise(F.array_append(runs, F.struct(x["g"].alias("g"), F.array(x["i"]).alias("items"))))
+
+    numbered = F.transform(groups, lambda g, i: F.struct(g.alias("g"), i.alias("i")))
+    return F.aggregate(numbered, start, step, lambda runs: F.flatten(F.transform(runs, lambda r: r["items"])))
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "result_key"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        groups = [f"{c}:{t}:{bool(i)}" for c, t, i in zip(pdf["category"], pdf["template"], pdf["img_src"].notna(), strict=True)]
-        pdf = pdf.iloc[place_results(groups)].reset_index(drop=True)
-        return pdf.assign(place=range(len(pdf)))[["query", "result_key", "url", "title", "score", "place"]]
 
-    return scored.groupBy("query").applyInPandas(place, "query string, result_key string, url string, title string, score double, place long")
+def ordered_results(scored: DataFrame) -> DataFrame:
+    """(query, result_key, url, title, score, place): by score, then in runs of one category, template and presence of an image.
+
+    A query's results, some hundreds that the engines returned for it, are one array: the order builds on itself.
+    """
+    group = F.concat_ws(":", F.coalesce("category", F.lit("")), F.coalesce("template", F.lit("")), F.when(F.col("img_src").isNotNull(), "img_src").otherwise(""))
+    row = F.struct((-F.col("score")).alias("by"), "result_key", "url", "title", "score", group.alias("group"))
+    rows = scored.groupBy("query").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    order = rows.select("query", "rows", placed(F.transform("rows", lambda r: r["group"])).alias("order"))
+    each = order.select("query", "rows", F.posexplode("order").alias("place", "at"))
+    return each.select("query", F.get("rows", F.col("at")).alias("r"), F.col("place").cast("long").alias("place")).select("query", "r.result_key", "r.url", "r.title", "r.score", "place")
 
 
 def merge_infoboxes(boxes: DataFrame) -> DataFrame:
@@ -154,3 +158,44 @@ def text_candidates(payloads: DataFrame, k: int) -> DataFrame:
     return parsed.groupBy("query", F.col("r.url").alias("page_url")).agg(F.min_by("r", "at").alias("r"), F.min("at").alias("at")).select(
         "query", "at", "page_url", F.col("r.title").alias("title"), F.substring("r.content", 1, 300).alias("snippet"), authority.alias("authority")
     )
+
+
+def relevant(pages: DataFrame, concept: str, least: int = 18) -> DataFrame:
+    """Pages (concept, url, position, score, …) fit to be read: of each address the first that a concept's searches returned, if its score is `least` or more; `place` orders them by score, then position."""
+    from .relational import first_wins
+
+    once = first_wins(pages, [concept, "url"], ["position"]).where(F.col("score") >= least)
+    return once.withColumn("place", F.row_number().over(Window.partitionBy(concept).orderBy(F.desc("score"), "position", "url")) - 1)
+
+
+def source_slice(rows: DataFrame, seed: str, source: str, position: str, top: Column, fanout: Column | None = None) -> DataFrame:
+    """The first rows of each seed and source, in the source's order: `top` (a hint of the seed or the default) times the source's `fanout`."""
+    place = F.row_number().over(Window.partitionBy(seed, source).orderBy(position))
+    most = top * (F.lit(1) if fanout is None else F.coalesce(fanout, F.lit(1)))
+    return rows.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+
+
+def routed(query: Column, bangs: Column) -> Column:
+    """A search text led by its bangs, sorted, each once: `!a !b text`."""
+    marks = F.transform(F.array_sort(F.array_distinct(F.coalesce(bangs, F.array().cast("array<string>")))), lambda b: F.concat(F.lit("!"), b))
+    return F.concat_ws(" ", F.when(F.size(marks) > 0, F.array_join(marks, " ")), query)
+
+
+def live_bangs(engines: Column, live: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """(key, bangs): of each row's engines the bangs of those that are enabled, sorted, each once; `live` has (engine, bang)."""
+    named = rows.select(key, F.explode_outer(engines).alias("engine")).join(live, "engine", "left")
+    return named.groupBy(key).agg(F.array_sort(F.collect_set("bang")).alias("bangs"))
+
+
+def answered_or_asked(queries: DataFrame, key: str, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(answers, queries still to be asked): a query that any answerer answers goes to no engine. `answers` has (key, answerer, answer), nulls for none."""
+    given = answers.where(F.col("answer").isNotNull())
+    return given, queries.join(given.select(key).distinct(), key, "left_anti")
+
+
+def through_plugins(results: DataFrame, plugins: list[tuple[Column | None, dict[str, Column]]]) -> DataFrame:
+    """Results that a chain of plugins lets pass, rewritten by it. A plugin has a condition to keep a result (null result: dropped; no condition: all) and new values of columns; the next plugin sees these."""
+    for keep, changes in plugins:
+        results = results if keep is None else results.where(F.coalesce(keep, F.lit(False)))
+        results = results.withColumns(changes) if changes else results
+    return results

@@ -38,10 +38,25 @@ def self_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.when(gates.self_consistent(claimed, url), "ok").otherwise("bad").alias("status"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'jpeg' WHEN page_id % 4 = 1 THEN 'html(' || trim(lower(regexp_extract(html, '<title>([^<]{0,40})', 1))) || ')' WHEN page_id % 4 = 2 THEN 'empty' ELSE 'hex:00010203' END AS class FROM pages")
+#: Bodies of every class, by page: signatures, markup with and without a code or title, and bytes of no class.
+BODIES = {
+    0: ("FFD8FFE0", "jpeg"), 2: ("", "empty"), 3: ("000102030405060708", "hex:0001020304050607"), 4: ("41542654464F524D00", "djvu"), 5: ("524946460000000057454250", "webp"), 6: ("424D0001", "hex:424d0001"),
+}
+MARKUP = {7: ("  <!DOCTYPE html><p>Error: 429", "html(429)"), 8: ("<html><p>x", "html(?)"), 9: ("<p>hi", "html()"), 10: ("\n<svg>", "svg"), 11: ("<?xml version=1?><svg>", "xml")}
+
+
+@query(
+    "SELECT page_id, CASE page_id % 12 "
+    + " ".join(f"WHEN {k} THEN '{c}'" for k, (_, c) in (BODIES | MARKUP).items())
+    + " ELSE 'html(' || CASE WHEN regexp_matches(left(html, 2048), 'Error:\\s*\\d{3}') THEN regexp_extract(html, 'Error:\\s*(\\d{3})', 1) ELSE coalesce(left(trim(nullif(regexp_extract(left(html, 2048), '<title>([^<]{0,80})</title>', 1), '')), 40), '?') END || ')' END AS class FROM pages"
+)
 def magic_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("page_id") % 4
-    body = F.when(kind == 0, F.unhex(F.lit("FFD8FFE0"))).when(kind == 1, F.col("html").cast("binary")).when(kind == 2, F.unhex(F.lit(""))).otherwise(F.unhex(F.lit("0001020304")))
+    """Classes of bodies made for each page; every twelfth is the page itself."""
+    kind, body = F.col("page_id") % 12, F.col("html").cast("binary")
+    for k, (digits, _) in BODIES.items():
+        body = F.when(kind == k, F.unhex(F.lit(digits))).otherwise(body)
+    for k, (markup, _) in MARKUP.items():
+        body = F.when(kind == k, F.lit(markup).cast("binary")).otherwise(body)
     return table(spark, sf_dir, "pages").select("page_id", text.magic_class(body).alias("class"))
 
 

@@ -37,16 +37,16 @@ def coverage_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STARVED = """
     WITH got AS (SELECT d.source AS name, count(*) AS got FROM documents d JOIN labels l USING (doc_id) WHERE l.quality = 1 GROUP BY 1),
-    t AS (SELECT DISTINCT source AS name, lang AS branch, 6 + length(source) AS quota FROM documents),
-    s AS (SELECT t.name, t.branch, coalesce(g.got, 0)::BIGINT AS got, t.quota::INT AS quota FROM t LEFT JOIN got g USING (name) WHERE coalesce(g.got, 0) < t.quota + 10)"""
+    t AS (SELECT DISTINCT source AS name, lang AS branch, 16 + length(source) AS quota FROM documents),
+    s AS (SELECT t.name, t.branch, coalesce(g.got, 0)::BIGINT AS got, t.quota::INT AS quota FROM t LEFT JOIN got g USING (name) WHERE coalesce(g.got, 0) < t.quota)"""
 
 
 def _starved(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     got = docs.join(labels, "doc_id").groupBy(F.col("source").alias("name")).agg(F.count("*").alias("got"))
-    targets = docs.select(F.col("source").alias("name"), F.col("lang").alias("branch")).distinct().withColumn("quota", (6 + F.length("name")).cast("int"))
+    targets = docs.select(F.col("source").alias("name"), F.col("lang").alias("branch")).distinct().withColumn("quota", (16 + F.length("name")).cast("int"))
     rows = targets.join(got, "name", "left").select("name", "branch", F.coalesce("got", F.lit(0)).alias("got"), "quota")
-    return rows.where(F.col("got") < F.col("quota") + 10)
+    return rows.where(F.col("got") < F.col("quota"))
 
 
 @query(_STARVED + " SELECT * FROM s ORDER BY got, name, branch LIMIT 30")
@@ -60,6 +60,14 @@ def starved_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _starved(spark, sf_dir).groupBy("branch").agg(F.count("*").alias("starved")).orderBy(F.desc("starved"), "branch").limit(10)
 
 
+@query(_STARVED + " SELECT (SELECT count(*) FROM t) AS concepts, (SELECT count(*) FROM s) AS starved, round((SELECT count(*) FROM s) / greatest((SELECT count(*) FROM t), 1), 3)::DOUBLE AS starved_ratio")
+def starved_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many concepts get less than their quota, of all."""
+    starved = _starved(spark, sf_dir).agg(F.count("*").alias("starved"))
+    every = table(spark, sf_dir, "documents").select("source", "lang").distinct().agg(F.count("*").alias("concepts"))
+    return every.join(starved).select("concepts", "starved", F.round(F.col("starved") / F.greatest("concepts", F.lit(1)), 3).alias("starved_ratio"))
+
+
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1 UNION SELECT doc_id FROM labels WHERE toxic = 1)")
 def anti_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")

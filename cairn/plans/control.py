@@ -12,7 +12,7 @@ from cairn.streaming import streams
 
 from . import sdc
 from .catalogue import ORACLES, query, table
-from .streams import _events, _folder
+from .streams import _drained, _events
 
 
 @query("""
@@ -86,9 +86,7 @@ def engine_suspension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_suspension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest run of failures of each event type, followed over the stream of events."""
     log = streams.suspension_log(_events(spark, sf_dir).select("event_type", "ts", (F.col("value") >= 10).alias("ok")), "event_type", "ts", "ok", 5.0)
-    path = _folder(spark, "suspensions")
-    log.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", _folder(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(path).where("errors > 0").groupBy("engine").agg(F.max("errors").alias("longest"), F.sum("errors").alias("total"))
+    return _drained(log, "suspensions").where("errors > 0").groupBy("engine").agg(F.max("errors").alias("longest"), F.sum("errors").alias("total"))
 
 
 @query("""
@@ -144,7 +142,7 @@ def unit_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.convert_units(parts, "p_partkey", "asked", units).withColumn("value", F.round("value", 6))
 
 
-@query()
+@query("SELECT CASE n_name WHEN 'X' THEN 0 ELSE -1 END::BIGINT AS n_nationkey, 'Asia/Tokyo' AS zone, TIMESTAMP '2024-07-01 21:00:00' AS local FROM nation WHERE n_nationkey = 0 UNION ALL SELECT -2, 'UTC', TIMESTAMP '2024-07-01 12:00:00' UNION ALL SELECT n_nationkey, CASE lower(n_name) WHEN 'france' THEN 'Europe/Paris' WHEN 'japan' THEN 'Asia/Tokyo' ELSE 'America/Lima' END, CASE lower(n_name) WHEN 'france' THEN TIMESTAMP '2024-07-01 14:00:00' WHEN 'japan' THEN TIMESTAMP '2024-07-01 21:00:00' ELSE TIMESTAMP '2024-07-01 07:00:00' END FROM nation WHERE lower(n_name) IN ('france', 'japan', 'peru')")
 def local_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The local time in the place that each nation asks about."""
     places = spark.createDataFrame([("france", "Europe/Paris"), ("japan", "Asia/Tokyo"), ("peru", "America/Lima")], "place string, zone string")

@@ -52,8 +52,7 @@ _CTE = f"""
 )
 def sdc_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = stages(spark, sf_dir)["sized"]
-    grouped = group_to_list(sized, "fname", ["qid"], F.concat_ws(":", "qid", "rank"), "mid")
-    return grouped.join(sized.groupBy("fname").agg(F.min("size").alias("size")), "fname")
+    return group_to_list(sized, "fname", ["qid"], F.concat_ws(":", "qid", "rank"), "mid", F.min("size").alias("size"))
 
 
 @query(

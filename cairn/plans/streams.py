@@ -2,57 +2,56 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.streaming import streams
 
-from .catalogue import query, table
+from .catalogue import folder, query
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """What a stream leaves that ran until its source was read."""
+    spark, path = stream.sparkSession, folder(stream.sparkSession, name)
+    streams.drain(stream, path, folder(spark, "offsets"), mode)
+    return spark.read.schema(stream.schema).parquet(path)
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder; a temporary one where none is set."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="cairn-stream-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: What the watermark of an hour has passed when the stream ends.
+_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 
-@query("SELECT time_bucket(INTERVAL 15 MINUTE, ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query(f"SELECT start, event_type, n FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE start + INTERVAL 15 MINUTE <= {_CLOSED}")
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows of a drained stream, by the batch form of the same operator."""
-    out = streams.tumbling(table(spark, sf_dir, "events"), 15)
-    return out.select(F.col("window.start").alias("start"), "event_type", "n")
+    """The windows that a stream closed by the end of its source."""
+    out = streams.tumbling(_events(spark, sf_dir), 15).select(F.col("window.start").alias("start"), "event_type", "n")
+    return _drained(out, "windows")
 
 
-@query("""
-    SELECT user_id, min(ts)::TIMESTAMP AS start, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM
-        (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
+@query(f"""
+    SELECT user_id, start, n FROM (SELECT user_id, min(ts)::TIMESTAMP AS start, max(ts) AS last, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM
+        (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s) WHERE last + INTERVAL 2 HOUR <= {_CLOSED}""")
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = streams.sessions(table(spark, sf_dir, "events"), "2 hours")
-    return out.select("user_id", F.col("session_window.start").alias("start"), "n")
+    """The sessions that a stream closed by the end of its source."""
+    out = streams.sessions(_events(spark, sf_dir), "2 hours").select("user_id", F.col("session_window.start").alias("start"), "n")
+    return _drained(out, "sessions")
 
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger that an incremental merge of the events leaves: the first of each key."""
-    path = _folder(spark, "ledger")
+    path = folder(spark, "ledger")
     rows = _events(spark, sf_dir).select("user_id", "event_type", "event_id")
-    streams.merge_stream(rows, path, ["user_id", "event_type"], ["event_id"], _folder(spark, "offsets")).awaitTermination()
+    streams.merge_stream(rows, path, ["user_id", "event_type"], ["event_id"], folder(spark, "offsets")).awaitTermination()
     return spark.read.parquet(path)
 
 
-@query("SELECT event_type AS key, least(count(*), 5)::BIGINT AS n FROM events GROUP BY event_type")
+@query("SELECT event_type AS key, event_id AS item FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= 5")
 def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A budget of five rows a key (the feature), kept over micro-batches."""
-    admitted = streams.budget(_events(spark, sf_dir).select("event_type", "event_id"), "event_type", "event_id", 5)
-    path = _folder(spark, "admitted")
-    query = admitted.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", _folder(spark, "offsets")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.parquet(path).groupBy("key").agg(F.count("*").alias("n"))
+    """A budget of five rows a key (the feature), kept over micro-batches; the first by number are admitted, as one batch brings them."""
+    return _drained(streams.budget(_events(spark, sf_dir).select("event_type", "event_id"), "event_type", "event_id", 5), "admitted")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +86,37 @@ def sql_dump_tuples(spark: SparkSession, path: str, least: int = 51_200, most: i
 
 
 def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(rel, size) of the objects under a folder, by one listing; contents are not read."""
+    """(rel, size) of the objects under a folder, by one listing; `rel` is the path below the folder, contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    root = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", path).strip("/")
+    return files.select(F.regexp_replace("path", f"^.*?\\Q/{root}/\\E", "").alias("rel"), F.col("length").alias("size"))
+
+
+def alias_cache(spark: SparkSession, path: str) -> DataFrame:
+    """(name, alias) of a cache that is one JSON object of names; alias null for those judged and rejected. A missing or broken file is an empty cache."""
+    try:
+        text_ = spark.read.text(path, wholetext=True)
+        rows = text_.select(F.explode(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"})).alias("name", "alias"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], "name string, alias string")
+    return rows
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): the lines of each file with their 0-based numbers, blank ones too.
+
+    Files are read whole, one a row, as gzip demands: a ledger comes in parts of moderate size.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\\n$", ""), "\n").alias("lines"))
+    return whole.select("file", F.posexplode("lines").alias("line", "value"))
+
+
+def telemetry(spark: SparkSession, path: str, machine: str = "([^/]+?)(?:\\.[^./]*)?$") -> DataFrame:
+    """(machine, engine, attempts, results, error_rate): the snapshots, a JSON file each, of a folder; `machine` finds the machine's name in the file's. Broken files give no row."""
+    shape = "engines map<string,struct<attempts:long,results:long,error_rate:double>>"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("rel"), F.col("length").alias("size"))
+    whole = files.select(F.regexp_extract("path", machine, 1).alias("machine"), F.from_json(F.decode("content", "UTF-8"), shape).alias("t"))
+    rows = whole.select("machine", F.explode("t.engines").alias("engine", "e"))
+    return rows.select("machine", "engine", *[F.coalesce(f"e.{c}", F.lit(0)).alias(c) for c in ("attempts", "results", "error_rate")])

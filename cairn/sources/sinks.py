@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators.relational import append_new
@@ -27,23 +27,51 @@ def append_manifest(df: DataFrame, path: str, keys: list[str], order: list[str],
     append_new(ledger_or_empty(df, path), complete, keys, order).write.mode("append").parquet(path)
 
 
-def append_outcomes(df: DataFrame, outcome: str, done: str, dead: str) -> None:
-    """Two ledgers of one pass: rows with outcome `done`, and dead letters with their reason; `skip` rows go to neither and come again."""
-    df.where(F.col(outcome) == "done").drop(outcome).write.mode("append").parquet(done)
-    df.where(~F.col(outcome).isin("done", "skip")).withColumnRenamed(outcome, "reason").write.mode("append").parquet(dead)
+def append_outcomes(df: DataFrame, outcome: str, done: str, dead: str, keys: list[str], order: list[str]) -> None:
+    """Two ledgers of one pass: rows with outcome `done`, and dead letters with their reason; `skip` rows go to neither and come again.
+
+    Each ledger takes a key once, so a pass that is run again, or broke off between the two, adds nothing twice.
+    """
+    append_manifest(df.where(F.col(outcome) == "done").drop(outcome), done, keys, order)
+    append_manifest(df.where(~F.col(outcome).isin("done", "skip")).withColumnRenamed(outcome, "reason"), dead, keys, order)
+
+
+def _paths(df_or_spark, *names: str):
+    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    paths = [jvm.Path(n) for n in names]
+    return paths[0].getFileSystem(spark._jsc.hadoopConfiguration()), *paths
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a table by one derived from it: written beside it first, then moved over, so that readers never see a part."""
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    """Replace a table by one that may be derived from it.
+
+    The new one is written beside it, then the old one is set aside, the new one takes its
+    place, and the old one goes. A break between the two renames leaves the old one whole
+    under `path`.old: `recover_table` brings it back, and the next replacement does so first.
+    """
+    path = path.rstrip("/")
+    staged, aside = f"{path}.{uuid.uuid4().hex}", f"{path}.old"
     df.write.parquet(staged)
-    jvm = spark._jvm.org.apache.hadoop.fs
-    target, source = jvm.Path(path), jvm.Path(staged)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    recover_table(df.sparkSession, path)
+    fs, target, source, old = _paths(df, path, staged, aside)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} to {aside}")
     if not fs.rename(source, target):
+        fs.rename(old, target)
         raise OSError(f"cannot move {staged} to {path}")
+    fs.delete(old, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish or take back a replacement that broke off: without a table the one set aside returns, else it goes."""
+    fs, target, old = _paths(spark, path.rstrip("/"), f"{path.rstrip('/')}.old")
+    if not fs.exists(old):
+        return
+    if fs.exists(target):
+        fs.delete(old, True)
+    elif not fs.rename(old, target):
+        raise OSError(f"cannot bring {path} back")
 
 
 def split_pairs(df: DataFrame, pairs: str) -> DataFrame:

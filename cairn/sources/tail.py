@@ -1,16 +1,23 @@
-"""A streaming source that follows a growing file of JSON lines by byte offset."""
+"""A streaming source that follows a growing file of lines by byte offset."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+#: Bytes of a partition, and of a step back in search of the end of the last whole line.
+PART, STEP = 64 << 20, 1 << 16
 
 
 class TailSource(DataSource):
-    """Format `cairn_tail`, option path: rows (line, at). Only complete lines are read; a partial one waits. A file that has shrunk is read anew.
+    """Format `cairn_tail`, option path: rows (line, at). Only whole lines are read; a partial one waits. A file that has shrunk is read anew.
 
-    For a folder that driver and executors share; rotation repeats lines, so pair it with `merge_stream`.
+    For a folder that driver and executors share: the driver looks at the file's end alone,
+    and executors read byte ranges of what is new. Rotation repeats lines, so pair it with
+    `merge_stream`.
     """
 
     @classmethod
@@ -20,41 +27,52 @@ class TailSource(DataSource):
     def schema(self) -> str:
         return "line string, at long"
 
-    def simpleStreamReader(self, schema):  # noqa: N802
-        return TailReader(self.options["path"])
+    def streamReader(self, schema):  # noqa: N802
+        return TailReader(self.options["path"], int(self.options.get("partBytes", PART)))
+
+
+@dataclass
+class Range(InputPartition):
+    """The lines that begin in the bytes [start, end)."""
 
+    start: int
+    end: int
 
-class TailReader(SimpleDataSourceStreamReader):
-    def __init__(self, path: str):
-        self.path = path
+
+class TailReader(DataSourceStreamReader):
+    def __init__(self, path: str, part: int = PART):
+        self.path, self.part = path, part
 
     def initialOffset(self) -> dict:  # noqa: N802
         return {"at": 0}
 
-    def _lines(self, start: int, end: int | None):
-        size = os.path.getsize(self.path) if os.path.exists(self.path) else 0
-        start = 0 if size < start else start
-        if size == start:
-            return [], start
+    def latestOffset(self) -> dict:  # noqa: N802
+        """Where the last whole line ends."""
+        if not os.path.exists(self.path):
+            return {"at": 0}
+        with open(self.path, "rb") as f:
+            end = f.seek(0, os.SEEK_END)
+            while end > 0:
+                start = max(0, end - STEP)
+                f.seek(start)
+                found = f.read(end - start).rfind(b"\n")
+                if found >= 0:
+                    return {"at": start + found + 1}
+                end = start
+        return {"at": 0}
+
+    def partitions(self, start: dict, end: dict) -> list[Range]:
+        first = 0 if end["at"] < start["at"] else start["at"]
+        return [Range(a, min(a + self.part, end["at"])) for a in range(first, end["at"], self.part)]
+
+    def read(self, partition: Range) -> Iterator[tuple[str, int]]:
         with open(self.path, "rb") as f:
-            f.seek(start)
-            data = f.read(size - start if end is None else end - start)
-        whole = data[: data.rfind(b"\n") + 1]
-        rows, at = [], start
-        for line in whole.split(b"\n")[:-1]:
-            at += len(line) + 1
-            rows.append((line.decode("utf-8", "replace"), at))
-        return rows, start + len(whole)
-
-    def read(self, start: dict):
-        rows, at = self._lines(start["at"], None)
-        return iter(rows), {"at": at}
-
-    def readBetweenOffsets(self, start: dict, end: dict):  # noqa: N802
-        return iter(self._lines(0 if end["at"] < start["at"] else start["at"], end["at"])[0])
+            if partition.start:  # what runs into the range began before it
+                f.seek(partition.start - 1)
+                f.readline()
+            while f.tell() < partition.end:
+                line = f.readline()
+                yield line.rstrip(b"\n").decode("utf-8", "replace"), f.tell()
 
     def commit(self, end: dict) -> None:
         pass
-
-
-__all__ = ["InputPartition", "TailSource"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
@@ -28,15 +28,19 @@ def merge_stream(stream: DataFrame, path: str, keys: list[str], order: list[str]
 
 
 def budget(stream: DataFrame, key: str, item: str, most: int) -> DataFrame:
-    """The first `most` rows of each key over the life of the stream, as they come."""
+    """The first `most` items of each key over the life of the stream: batch after batch, within a batch by number.
+
+    The state of a key is how many it has had. Of a batch only the least `most` of a key
+    are held, whatever it brings.
+    """
 
     def admit(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (taken,) = state.get if state.exists else (0,)
+        least = pd.Series([], dtype="int64")
         for pdf in batches:
-            kept = pdf.iloc[: max(0, most - taken)]
-            taken += len(kept)
-            yield pd.DataFrame({"key": kept[key].astype(str), "item": kept[item].astype("int64")})
-        state.update((taken,))
+            least = pd.concat([least, pdf[item].astype("int64")]).nsmallest(max(0, most - taken))
+        state.update((taken + len(least),))
+        yield pd.DataFrame({"key": [str(k[0])] * len(least), "item": least.to_numpy()})
 
     return stream.groupBy(key).applyInPandasWithState(admit, "key string, item long", "taken long", "append", GroupStateTimeout.NoTimeout)
 
@@ -50,11 +54,9 @@ def sessions(events: DataFrame, gap: str, late: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
 
 
-def run_once(spark: SparkSession, stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """Drain a bounded stream into a table in memory, for tests and small reports."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a stream over all that its source has, into Parquet files."""
+    stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def stalls(samples: DataFrame, host: str, at: str, rows: str, restarts: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from cairn.session import get_spark  # noqa: E402
 def spark():
     import __spark_entry__
 
-    s = get_spark("tests", "local[4]", spark__sql__shuffle__partitions="4")
+    s = get_spark("tests", f"local[{os.environ.get('TEST_CPUS', '4')}]", spark__sql__shuffle__partitions="4")
     __spark_entry__._ship(s)
     yield s
     s.stop()

@@ -146,8 +146,13 @@ def test_sinks(spark, tmp_path):
         assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("a", 1, "x"), ("c", 5, "w")}
     sinks.replace_table(spark.read.parquet(path).where("k = 'c'"), path)
     assert [r.k for r in spark.read.parquet(path).collect()] == ["c"]
+    (tmp_path / "ledger").rename(tmp_path / "ledger.old")  # as a break between the two renames leaves it
+    sinks.recover_table(spark, path)
+    sinks.recover_table(spark, path)
+    assert [r.k for r in spark.read.parquet(path).collect()] == ["c"] and not (tmp_path / "ledger.old").exists()
     done, dead = str(tmp_path / "done"), str(tmp_path / "dead")
-    sinks.append_outcomes(spark.createDataFrame([(1, "done"), (2, "capped"), (3, "skip")], "s int, outcome string"), "outcome", done, dead)
+    for _ in range(2):
+        sinks.append_outcomes(spark.createDataFrame([(1, "done"), (2, "capped"), (3, "skip")], "s int, outcome string"), "outcome", done, dead, ["s"], ["s"])
     assert [tuple(r) for r in spark.read.parquet(done).collect()] == [(1,)]
     assert [tuple(r) for r in spark.read.parquet(dead).collect()] == [(2, "capped")]
     pairs = spark.createDataFrame([("f", "Q1:normal,Q2:preferred"), ("g", None)], "fname string, pairs string")

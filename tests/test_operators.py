@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.functions import passages, text
+from cairn.functions import passages, text, wiki
 from cairn.operators import gates, search
 from cairn.operators.relational import append_new, first_wins, global_rank, prefix_route, rank_best_then_quota, reconcile, stride_shard
 from cairn.sources import readers
@@ -76,6 +76,27 @@ def test_functions(spark):
     assert (r.aliases, r.strip, tuple(r.dims), r.doi, r.bad) == (["Wall", "b"], "http://a/?b=2", (1920, 1080), "10.1234/ab", True)
 
 
+def test_bodies(spark):
+    cases = {"<html>Error: 429": "html(429)", "<!DOCTYPE html><title> A </title>": "html(A)", "<html>x": "html(?)", "<p>hi": "html()", " <svg": "svg", "<?xml?><svg>": "xml", "BM123456789": "hex:424d313233343536", "AT&TFORMx": "djvu"}
+    df = spark.createDataFrame([(k,) for k in cases], "b string")
+    assert {r.b: r.c for r in df.select("b", text.magic_class(F.col("b").cast("binary")).alias("c")).collect()} == cases
+
+
+def test_knowledge_block_and_doi(spark):
+    block = lambda aliases, d: one(spark, text.knowledge_block(F.lit("墙"), F.array(*map(F.lit, aliases)).cast("array<string>"), F.lit(d).cast("string")))[0]
+    assert block([], None) == "实体：墙\n知识：（暂无，仅凭实体名称判断）"
+    assert block(["a", " b ", "", "c", "d", "e", "f"], "x" * 251) == "实体：墙\n别名：a、b、c、d、e\n知识：" + "x" * 250 + "…"
+    doi = lambda u: one(spark, text.doi(F.lit(u)))[0]
+    assert doi("https://d.org/10.1234/ab/full/") == "10.1234/ab" and doi("https://d.org/x?id=10.1234%2Fab.pdf") == "10.1234/ab" and doi("https://d.org/10.1/x") is None
+    assert doi("https://d.org/10.1234/" + "x" * 60) is None
+
+
+def test_marks_of_meanings(spark):
+    score = text.relevance(F.lit("墙"), F.array().cast("array<string>"), F.lit("墙"), F.lit(""), F.col("s"))
+    df = spark.createDataFrame([("可以指",), ("可以是指",), ("消歧义",), ("a disambiguation",), ("may refer to",)], "s string")
+    assert [r[0] for r in df.select(score).collect()] == [60, 60, 60, 60, 100]
+
+
 def test_annotation(spark):
     reply = 'text {"kb_match": 8, "richness": 7, "focus": 8, "identity": true, "caption": "%s"} end' % ("c" * 40)
     r = one(spark, text.annotation(F.lit(reply)).alias("a"), text.annotation(F.lit(reply.replace("true", '"yes"'))).alias("b"), text.annotation(F.lit(reply.replace("8", "42"))).alias("c"))
@@ -96,11 +117,74 @@ def test_passages(spark):
     assert (r.nav, r.none) == ([], [])
 
 
+WALL = (
+    "'''长城'''是古代防御工程。\n[[Category:建筑]]\n[[分類:世界遗产]]\n[[d:Q35676]]\n==历史==\n建于[[春秋时期]]，参见[[战国]]与[[中国历史]]。\n"
+    "===[[秦朝]]段落===\n连接细节。\n== 图片 ==\n[[File:Great Wall.jpg|thumb|长城]]\n[[檔案:Zhungguo map.png|地图]]\n==保护==\n[[UNESCO]]列入名录。链接重复去重：[[unesco]]。"
+)
+
+
+def test_page_of_a_wall(spark):
+    r = one(spark, wiki.wiki_lists(F.lit(WALL)).alias("l"), wiki.sections(F.lit(WALL)).alias("s"), wiki.wikitext_clean(F.lit(WALL)).alias("c"))
+    assert (r.l.categories, r.l.files, r.l.qid, r.l.disambiguation) == (["建筑", "世界遗产"], ["Great Wall.jpg", "Zhungguo map.png"], "Q35676", False)
+    assert r.l.links == ["春秋时期", "战国", "中国历史", "秦朝", "UNESCO"] and r.l.n_links == 5
+    assert [(s.title, s.level) for s in r.s] == [("", 2), ("历史", 2), ("秦朝段落", 3), ("图片", 2), ("保护", 2)]
+    assert r.s[1].text == "\n建于[[春秋时期]]，参见[[战国]]与[[中国历史]]。\n" and r.s[2].text == "\n连接细节。\n"
+    assert "==" not in r.c and "thumb" not in r.c and "历史\n建于春秋时期" in r.c
+
+
 def test_wikitext(spark):
     raw = "{{Box|a={{b}}}}'''长城''' is [[Target#x|a wall]].<ref>no</ref> [[Category:建筑]] [[File:Great.jpg|thumb]]"
-    r = one(spark, text.wikitext_clean(F.lit(raw)).alias("clean"), text.wiki_lists(F.lit(raw)).alias("lists"))
-    assert r.clean.strip() == "长城 is a wall."
+    r = one(spark, wiki.wikitext_clean(F.lit(raw)).alias("clean"), wiki.wiki_lists(F.lit(raw)).alias("lists"))
+    assert r.clean == "长城 is a wall."
     assert (r.lists.categories, r.lists.files, r.lists.links) == (["建筑"], ["Great.jpg"], ["Target"])
+    clean = lambda t: one(spark, wiki.wikitext_clean(F.lit(t)))[0]
+    assert clean("a{{x}}b<!-- c -->d<gallery>\nF.jpg|x\n</gallery>e") == "a b d e"
+    assert clean("== History ==\ntext\n\n\n\n&amp;lt; [http://x y z] ''i''\u3000") == "History\ntext\n\n< y z i"
+    lists = lambda t: one(spark, wiki.wiki_lists(F.lit(t)))[0]
+    assert lists("Q42 in prose").qid is None and lists("{{Wikidata|Q9358}}").qid == "Q9358" and lists("x{{Disambig}}").disambiguation
+    assert lists("[[Star Wars: Episode IV]] [[en:Other]] [[#x]] [[ a ]] [[A|b]]").links == ["Star Wars: Episode IV", "a"]
+    assert not lists("x" * 4000 + "{{disambig}}").disambiguation and lists("x（消歧义）").disambiguation
+    none = one(spark, wiki.sections(F.lit("plain")).alias("a"), wiki.sections(F.lit("==A==")).alias("b"), wiki.sections(F.lit("== A =\nx\n=B=\n\n\ny")).alias("c"))
+    assert [tuple(s) for s in none.a] == [("", 2, "plain")] and [tuple(s) for s in none.b] == [("A", 2, "")]
+    assert [tuple(s) for s in none.c] == [("= A", 1, "\nx\n"), ("B", 1, "\ny")]
+
+
+def test_captions(spark):
+    raw = "<gallery>\nFile:A_b.jpg|1 = [[x|cap]] of ''it'' {{t}}\nImage: c.png\nfile:A b.jpg|again\n文件:d.gif|<b>e</b>\n</gallery>"
+    assert [tuple(r) for r in one(spark, wiki.captions(F.lit(raw)))[0]] == [("A b.jpg", "cap of it"), ("c.png", ""), ("d.gif", "e")]
+
+
+def test_wiki_passages(spark):
+    """Blocks gather while short; a long one is cut after its last stop before 900, or at 900."""
+    long = "x" * 500 + "。" + "y" * 600 + " " + "z" * 900
+    texts = ["a\n\nb\n\n" + "c" * 130, "c" * 130 + "\n\nd", long, "", "q" * 50 + "。" + "r" * 1000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.p for r in df.select("i", passages.wiki_passages(F.col("t")).alias("p")).collect()}
+    assert got[0] == ["a\nb", "c" * 130] and got[1] == ["c" * 130, "d"] and got[3] == []
+    assert got[2] == ["x" * 500 + "。", "y" * 600 + " " + "z" * 299, "z" * 601] and got[4] == ["q" * 50 + "。" + "r" * 849, "r" * 151]
+
+
+PAGE = """# 抛光不锈钢
+
+抛光不锈钢是经机械/化学抛光处理的不锈钢材料，表面呈镜面效果，广泛用于
+建筑装饰、厨具与雕塑。其耐腐蚀性与反光特性使它兼具工程与美学价值。
+
+## 工艺
+
+抛光分粗磨、中磨、精抛三步，依次用更细的磨料去除表面划痕。
+![镜面效果示例](https://mock.cdn/mirror.png)
+![logo图标](https://mock.cdn/logo.svg)
+
+精抛后表面粗糙度可降至 Ra0.05 微米以下，形成接近镜面的反射。
+![工艺流程图](https://mock.cdn/process.png?x=1)
+"""
+
+
+def test_page_binds_two_images(spark):
+    found = one(spark, passages.passages(F.lit(PAGE)))[0]
+    assert [i.src for p in found for i in p.images] == ["https://mock.cdn/mirror.png", "https://mock.cdn/process.png?x=1"]
+    junk = one(spark, passages.passages(F.lit("x" * 130 + " ![](http://h/catalogo.jpg) ![a](http://h/sprite.png) ![](http://h/logo.png)")))[0]
+    assert [i.src for i in junk[0].images] == ["http://h/catalogo.jpg"] and junk[0].text.endswith("[图:图] [图:a] [图:图]")
 
 
 def test_results_merge_and_place(spark):
@@ -109,7 +193,27 @@ def test_results_merge_and_place(spark):
     (r,) = search.with_score(search.merge_results(df)).collect()
     assert (r.url, r.title, r.content, r.engines, r.positions) == ("https://x/1", "longer", "c", ["a", "b"], [1, 3])
     assert r.score == pytest.approx(2.0 * 2 * (1 + 1 / 3))
-    assert search.place_results(["a", "b", "a", "b"]) == [0, 2, 1, 3]
+
+
+def plain_order(groups):
+    """Runs of one group; a result joins the last run of its group while that has had no more than eight joiners and fewer than 20 results stand behind it."""
+    runs = []
+    for i, g in enumerate(groups):
+        at = max((k for k, (h, _) in enumerate(runs) if h == g), default=None)
+        if at is not None and len(runs[at][1]) <= 8 and sum(len(r) for _, r in runs[at + 1 :]) < 20:
+            runs[at][1].append(i)
+        else:
+            runs.append((g, [i]))
+    return [i for _, r in runs for i in r]
+
+
+def test_order_of_results(spark):
+    cases = [list("abab"), [], list("a" * 25), list("ab" * 30), list("a" + "b" * 9 + "c" * 9 + "d" * 9 + "a")]
+    cases += [[random.Random(i).choice("abcd") for _ in range(70)] for i in range(5)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, g array<string>")
+    got = {r.i: r.o for r in df.select("i", search.placed(F.col("g")).alias("o")).collect()}
+    assert got == {i: plain_order(c) for i, c in enumerate(cases)}
+    assert got[0] == [0, 2, 1, 3]
 
 
 def test_query_language(spark):
@@ -145,12 +249,32 @@ def test_readers(spark, tmp_path):
 
 
 def test_tail_waits_for_whole_lines_and_survives_rotation(tmp_path):
-    path, reader = tmp_path / "log", TailReader(str(tmp_path / "log"))
-    path.write_text("a\nb\npart")
-    rows, at = reader.read({"at": 0})
-    assert [r[0] for r in rows] == ["a", "b"] and at == {"at": 4}
-    path.write_text("a\nb\npartial\n")
-    rows, at = reader.read(at)
-    assert [r[0] for r in rows] == ["partial"]
-    path.write_text("n\n")
-    assert [r[0] for r in reader.read(at)[0]] == ["n"]
+    path = tmp_path / "log"
+    for part in (1, 3, 1 << 20):
+        reader = TailReader(str(path), part)
+        read = lambda start, end, reader=reader: [x for p in reader.partitions(start, end) for x in reader.read(p)]
+        path.write_text("a\nbcd\npart")
+        first = reader.latestOffset()
+        assert read(reader.initialOffset(), first) == [("a", 2), ("bcd", 6)] and first == {"at": 6}
+        path.write_text("a\nbcd\npartial\n\nx")
+        second = reader.latestOffset()
+        assert [line for line, _ in read(first, second)] == ["partial", ""]
+        path.write_text("n\n")
+        assert [line for line, _ in read(second, reader.latestOffset())] == ["n"]
+        path.unlink()
+        assert reader.latestOffset() == {"at": 0}
+
+
+def test_tail_as_a_stream(spark, tmp_path):
+    """Appended lines come in the next run, each once."""
+    from cairn.sources.tail import TailSource
+
+    spark.dataSource.register(TailSource)
+    log, out, offsets = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "offsets")
+    for text in ("a\nb\n", "a\nb\nc\nd", "a\nb\nc\nd\n"):
+        log.write_text(text)
+        stream = spark.readStream.format("cairn_tail").option("path", str(log)).option("partBytes", 2).load()
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", offsets).trigger(processingTime="0 seconds").start()
+        query.processAllAvailable()
+        query.stop()
+    assert sorted(r.line for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
