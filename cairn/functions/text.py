@@ -138,10 +138,8 @@ def doi(url: Column) -> Column:
     values = F.transform(F.split(query, "&"), lambda p: F.coalesce(F.try_url_decode(F.substr(p, F.locate("=", p) + 1)), p))
     named = lambda t: F.regexp_extract(t, "(10\\.\\d{4,9}/\\S+)", 1)
     found = F.get(F.filter(F.transform(F.concat(F.array(path), values), named), lambda d: d != ""), F.lit(0))
-    short = found
-    for end in DOI_ENDS:
-        short = F.when(short.endswith(end), F.substr(short, F.lit(1), F.length(short) - len(end))).otherwise(short)
-    return F.when(F.length(found) < 50, short)
+    less = lambda d, end: F.when(F.endswith(d, end), F.substr(d, F.lit(1), F.length(d) - F.length(end))).otherwise(d)
+    return F.aggregate(F.array(*map(F.lit, DOI_ENDS)), F.when(F.length(found) < 50, found), less)
 
 
 def prettify(url: Column, most: int = 74) -> Column:
