@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import defaultdict
 
@@ -117,8 +118,11 @@ def plain_keep(docs):
     return sorted(least.values()), len(similar)
 
 
-def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents):
+@pytest.mark.parametrize(("family", "points"), [(8192, 2048), (4, 16)])
+def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents, monkeypatch, family, points):
     """Planted copies with more and more words changed, on both sides of the threshold, in chains and in one large group."""
+    monkeypatch.setattr(minhash, "FAMILY", family)
+    monkeypatch.setattr(minhash, "POINTS", points)
     rng = np.random.default_rng(6)
     docs = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     def changed(text, n):
@@ -163,10 +167,12 @@ def plain_removal(docs):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 1 << 16])
-def test_suffixes_against_brute_force(spark, documents, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "suffixes_"), [(2, 1 << 15), (1 << 16, 50), (40, 200)])
+def test_suffixes_against_brute_force(spark, documents, monkeypatch, hot, suffixes_):
     monkeypatch.setattr(suffixes, "HOT", hot)
-    monkeypatch.setattr(suffixes, "TEXTS", 50)
+    monkeypatch.setattr(suffixes, "SUFFIXES", suffixes_)
+    monkeypatch.setattr(suffixes, "WINDOWS", 1000)
+    monkeypatch.setattr(suffixes, "BUCKETS", 16)
     want = plain_removal([(r.doc_id, r.text.encode()) for r in documents.select("doc_id", "text").collect()])
     assert sorted(map(tuple, queries.op5_suffix_dedup(spark, SF).collect())) == want
 
@@ -188,10 +194,18 @@ def test_long_texts_are_anchored_in_pieces(monkeypatch):
 
 
 @settings(deadline=None, max_examples=50)
-@given(st.lists(st.binary(max_size=40), max_size=60))
-def test_multikey_order_sorts(keys):
-    padded = [k.ljust(104, b"\0") for k in keys]
-    assert [padded[i] for i in suffixes.multikey_order(keys)] == sorted(padded) if keys else True
+@given(st.lists(st.binary(max_size=40), max_size=60), st.sampled_from([1, 4, 256]))
+def test_multikey_order_sorts(keys, small):
+    before, suffixes.SMALL = suffixes.SMALL, small
+    try:
+        words = suffixes.as_words(keys, 40)
+        padded = [k.ljust(40, b"\0") for k in keys]
+        order = suffixes.multikey_order(words)
+        assert [padded[i] for i in order] == sorted(padded)
+        shared = [next((k for k in range(40) if a[k] != b[k]), 40) for a, b in zip(sorted(padded), sorted(padded)[1:], strict=False)]
+        assert suffixes.common_prefix(words, order).tolist()[1:] == shared
+    finally:
+        suffixes.SMALL = before
 
 
 def test_suffixes_odd_rows(spark, odd):
@@ -246,38 +260,15 @@ def test_items_with_a_short_rest_are_indexed_whole(spark):
 # 2 ----------------------------------------------------------------------------------------------------------------------
 
 
-def test_toxicity_on_held_out_labels(spark):
-    sf = "/root/testdata/sf0.1"
-    got = queries.op2_toxicity(spark, sf)
-    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
-    rows = got.where("held_out").join(labels, "doc_id").select("toxic", "predicted").collect()
-    assert all((zlib.crc32(str(r.doc_id).encode()) % 5 == 0) == r.held_out for r in got.limit(500).collect())
-    caught = [r.predicted for r in rows if r.toxic == 1]
-    assert sum(caught) >= 0.75 * len(caught)
-    assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.01 * len(rows)
-
-
 def test_toxicity_odd_rows(spark, odd):
     labelled = odd.select("text", F.lit(None).cast("int").alias("toxic"))
     got = toxicity.toxicity(odd, "text", labelled, "toxic").collect()
     assert len(got) == 10 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    taught = odd.select("text", (F.col("doc_id") == 2).cast("int").alias("toxic"))
+    assert toxicity.toxicity(odd.withColumn("voted", F.lit(1)), "text", taught, "toxic").columns[-3:] == ["score", "predicted", "votes"]
     assert toxicity.toxicity(odd.limit(0), "text", labelled.limit(0), "toxic").count() == 0
 
 
-def test_label_model_weighs_correlated_voters_less():
-    rng = np.random.default_rng(3)
-    y = rng.random(4000) < 0.2
-    fire = lambda p, q: np.where(y, rng.random(4000) < p, rng.random(4000) < q)
-    votes = [fire(0.8, 0.02), fire(0.7, 0.02), fire(0.6, 0.01)]
-    twin = fire(0.5, 0.05)
-    masks = sum(v.astype(int) << k for k, v in enumerate([*votes, twin, twin]))
-    found, counts = np.unique(masks, return_counts=True)
-    post, weight = toxicity.label_model(found, counts, 0.2)
-    guess = dict(zip(found, post >= 0.5, strict=True))
-    assert np.mean([guess[m] == t for m, t in zip(masks, y, strict=True)]) > 0.95
-    assert max(weight[3], weight[4]) < 0.6 < min(weight[:3])
-
-
 # 3, 4 -------------------------------------------------------------------------------------------------------------------
 
 
@@ -296,6 +287,76 @@ def test_url_odd_rows(spark, odd):
     assert (a.canonical_url, a.verdict) == ("en.example.com/en/x", "allow")
 
 
+def test_url_edges(spark):
+    df = spark.createDataFrame([(1, "http://h.org/" + "a" * 100_000 + "?ref=1"), (2, "http://h.org/x"), (2, "http://h.org/x")], "page_id long, url string")
+    got = urlfilter.filter_urls(df, "url", df.select(urlfilter.canonical(F.col("url"))), [])
+    assert [r.verdict for r in got.collect()] == ["block"] * 3 and max(len(r.canonical_url) for r in got.collect()) == 100_006
+    assert urlfilter.filter_urls(df.limit(0), "url", df.select("url"), []).count() == 0 and urlfilter.filter_urls(df, "url", df.select("url").limit(0), []).where("listed").count() == 0
+
+
+def test_chat_edges(spark):
+    """Repeated rows are messages of their own, null turns come first, extra columns of any name stay out, a long conversation is one."""
+    rows = [(1, None, "user", "a", "x"), (1, 0, "user", "b", "x"), (1, 0, "user", "b", "x"), (None, 1, None, None, "x")] + [(2, i, "assistant", f"t{i}", "x") for i in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string").withColumn("event", F.lit("delete"))
+    out = {r.conv_id: r for r in chat.render(chat.fold_events(chat.messages_as_events(df))).select("conv_id", chat.read_back(F.col("formatted")).alias("t")).collect()}
+    assert [t.text for t in out[1].t] == ["a", "b", "b"] and [(t.role, t.text) for t in out[None].t] == [("", "")] and [t.text for t in out[2].t] == [f"t{i}" for i in range(3000)]
+    assert chat.fold_events(chat.messages_as_events(df.limit(0))).count() == 0
+
+
+def test_query_of_event_logs_folds_like_messages(spark):
+    """The conversations of the query, told as deltas, edits and regenerations, fold to the same messages."""
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    log = queries.conversation_log(rows)
+    assert {r.event for r in log.select("event").distinct().collect()} >= {"message", "delta", "edit", "regenerate", "delete"}
+    want = sorted(tuple(r) for r in chat.fold_events(chat.messages_as_events(rows)).collect())
+    assert sorted(tuple(r) for r in chat.fold_events(log.repartition(5)).collect()) == want
+
+
+def test_components_of_no_edges(spark):
+    assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_one_source_with_nine_tenths_of_the_rows(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.concat(F.lit("s"), F.col("id") % 300)).otherwise("hot").alias("source"), (F.col("id") % 97 + 1).alias("size"))
+    rows = mixing.systematic_mix(df, "id", "source", "size").collect()
+    assert len(rows) == 4000
+    taken = defaultdict(int)
+    for r in rows:
+        taken[r.source] += r.copies * r.size
+    assert all(abs(taken[r.source] - r.target) <= 97 for r in rows)
+
+
+def test_taken_words_come_within_one_document_of_the_target(spark):
+    for sf in ("0.001", "0.01"):
+        rows = queries.op9_mixing(spark, f"/root/testdata/sf{sf}").join(spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "source"), "doc_id").collect()
+        taken, largest = defaultdict(int), defaultdict(int)
+        for r in rows:
+            taken[r.source] += r.taken
+            largest[r.source] = max(largest[r.source], r.size)
+        assert all(abs(taken[r.source] - r.target) <= largest[r.source] for r in rows)
+
+
+def test_emitted_copies(spark):
+    df = spark.createDataFrame([(1, 2), (2, 0), (3, None), (4, 1), (4, 1)], "id int, copies int").withColumn("times", F.lit("t"))
+    out = mixing.emit_copies(df)
+    assert out.columns == ["id", "times"] and sorted(r.id for r in out.collect()) == [1, 1, 4, 4]
+    assert mixing.emit_copies(df.limit(0)).count() == 0
+
+
+def test_columns_that_operators_use_inside_may_be_taken(spark, odd):
+    """Columns of a table called like the operators' own stay as they are."""
+    df = odd
+    for name in ("measures", "__m", "other_source", "cell_rows", "cell_before", "__r_source", "host_prior", "suffix_prior", "declared_log", "text_evidence", "key_of", "rows_of", "above", "group_key", "text_digest", "refused_digest", "refused_source", "n", "kept_id", "mixed_id"):
+        df = df.withColumn(name, F.lit(name))
+    assert {r["__m"] for r in quality.quality_filter(df).collect()} == {"__m"}
+    assert {r["measures"] for r in quality.quality_filter(df).collect()} == {"measures"}
+    assert mixing.systematic_mix(df, "doc_id", "source", "n_chars").where("other_source = 'other_source' AND above = 'above'").count() == 10
+    assert sharding.lpt_shards(df, "text", "n_chars", 3).where("group_key = 'group_key'").count() == 10
+    assert langid.identify(df, "text", odd, "lang", F.col("source"), F.lit("x"), F.lit("y")).where("host_prior = 'host_prior' AND key_of = 'key_of'").count() == 10
+    assert corpus_pipeline.identify_language(spark, df, SF).columns == df.columns
+    assert corpus_pipeline.mix_sources(spark, df, SF).columns == df.columns
+
+
 def test_folding_of_events(spark):
     log = [(1, 0, 1, "message", "user", "hi"), (1, 1, 2, "message", "assistant", "a"), (1, 2, 2, "delta", None, "b"), (1, 3, 1, "edit", None, "hey"), (1, 4, 2, "message", "assistant", ""),
            (1, 5, 2, "delta", None, "x"), (1, 6, 2, "regenerate", None, None), (1, 7, 2, "delta", None, "y"), (1, 8, 3, "message", "user", "z"), (1, 9, 3, "delete", None, None)]
@@ -330,8 +391,12 @@ def test_quality_measures(spark, odd):
 
 def test_cascade_starts_with_what_rejects_most_for_its_cost(spark):
     df = spark.range(1000).select(F.lit("x" * 100).alias("text"), "id")
-    rules = [quality.Rule("dear", F.col("id") < 900, 1000), quality.Rule("cheap", F.col("id") < 500, 10), quality.Rule("never", F.lit(False), 1)]
+    dear = F.length(F.regexp_replace(F.sha2(F.concat("text", "id"), 512), "[a-f]+", "")) + F.col("id") < 900
+    rules = [quality.Rule("dear", dear), quality.Rule("cheap", F.col("id") < 500), quality.Rule("never", F.lit(False))]
     assert [r.name for r in quality.cascade(df, rules)] == ["cheap", "dear", "never"]
+    cost = dict(zip("dcn", quality.costs(df, rules), strict=True))
+    assert cost["d"] > 8 * cost["c"] and all(math.log2(c) % 1 == 0 for c in cost.values())
+    assert quality.costs(df.limit(0), rules) == [1.0] * 3
 
 
 def test_lpt_places_like_a_heap():
