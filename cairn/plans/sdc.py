@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cairn.operators.relational import group_to_list, rank_best_then_quota, top_n_per_key
 
@@ -63,15 +64,26 @@ def sdc_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (SELECT sum(CAST(round(size) AS BIGINT))::BIGINT FROM sized) AS bytes_edges, (SELECT sum(CAST(round(size) AS BIGINT))::BIGINT FROM (SELECT DISTINCT fname, size FROM sized)) AS bytes_files"""
 )
 def sdc_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = stages(spark, sf_dir)
-    size = F.round("size").cast("long")
-    named = s["named"].agg(F.countDistinct("qid", "fname").alias("best"))
-    sized = s["sized"].agg(F.count("*").alias("sized"), F.countDistinct("fname").alias("files"), F.countDistinct("qid").alias("concepts"), F.sum(size).alias("bytes_edges"))
-    files = s["sized"].select("fname", "size").distinct().agg(F.sum(size).alias("bytes_files"))
-    out = s["edges"].agg(F.count("*").alias("edges"))
-    for part in (s["hit"].agg(F.count("*").alias("hit")), named, s["quota"].agg(F.count("*").alias("quota")), s["wanted"].agg(F.count("*").alias("wanted")), sized, files):
-        out = out.join(part)  # one row each
-    return out
+    """How many rows, files and bytes each stage leaves, in one pass over the edges and one over the best edges of each file."""
+    concepts = table(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("l_partkey"), F.lit(True).alias("hit"))
+    edges = table(spark, sf_dir, "lineitem").select("l_partkey").join(concepts, "l_partkey", "left").agg(F.count("*").alias("edges"), F.count("hit").alias("hit"))
+    best = stages(spark, sf_dir)["named"].select("qid", "fname").distinct()
+    place = F.row_number().over(Window.partitionBy("qid").orderBy("fname"))
+    files = table(spark, sf_dir, "orders").select(
+        F.concat_ws("-", "o_orderpriority", "o_orderkey").alias("fname"), F.col("o_totalprice").alias("size"), (F.col("o_orderstatus") == "P").alias("held")
+    )
+    rows = best.withColumn("quota", place <= QUOTA).join(files, "fname")
+    wanted = F.col("quota") & ~F.col("held")
+    rows = rows.withColumns({"wanted": wanted, "sized": wanted & F.col("size").between(LEAST, MOST), "bytes": F.round("size").cast("long")})
+    by_file = rows.groupBy("fname").agg(
+        F.count("*").alias("best"), *[F.count_if(F.col(c)).alias(c) for c in ("quota", "wanted", "sized")], F.max("bytes").alias("bytes"), F.collect_set(F.when(F.col("sized"), F.col("qid"))).alias("qids")
+    )
+    sums = by_file.agg(
+        *[F.sum(c).alias(c) for c in ("best", "quota", "wanted", "sized")], F.count_if(F.col("sized") > 0).alias("files"),
+        F.sum(F.col("sized") * F.col("bytes")).alias("bytes_edges"), F.sum(F.when(F.col("sized") > 0, F.col("bytes"))).alias("bytes_files"),
+    )
+    found = by_file.select(F.explode("qids").alias("qid")).distinct().agg(F.count("*").alias("concepts"))
+    return edges.join(sums).join(found)  # one row each
 
 
 @query("SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) <= 10")
