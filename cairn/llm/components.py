@@ -12,10 +12,14 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(edges.select(F.col("m").alias("u"), "v"))
 
 
-def _stars(directed: DataFrame) -> DataFrame:
+#: Edges of a partition between two shuffles, about, and the least such partitions.
+EDGES, LEAST = 1 << 18, 8
+
+
+def _stars(directed: DataFrame, parts: int) -> DataFrame:
     """Rows (u, v, m): m is the least of u and all v beside it. The minimum is pre-aggregated, so a hub moves little."""
     least = directed.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("hub"), F.least("u", "w").alias("m"))
-    return directed.join(least, F.col("u") == F.col("hub")).select("u", "v", "m")
+    return directed.join(least, F.col("u") == F.col("hub")).select("u", "v", "m").coalesce(parts)
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -25,20 +29,22 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     roots: each step hangs neighbours on the least node known, and the number of steps
     grows with the logarithm of the component's size. Every step is written to the
     checkpoint folder. Rows with a null end and loops are ignored; an empty table
-    gives an empty result.
+    gives an empty result. Between shuffles edges lie in partitions by their number, so that many
+    steps over a small graph leave few small files.
     """
     edges = edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m")).where((F.col(a) != F.col(b)))
     edges = materialize(edges.distinct())
-    state = None
+    state, n = None, edges.count()
     while True:
-        large = _stars(_both(edges)).where(F.col("v") > F.col("u")).select("v", "m").where("v != m").distinct()
+        parts = max(LEAST, -(-n // EDGES))
+        large = _stars(_both(edges.coalesce(parts)), parts).where(F.col("v") > F.col("u")).select("v", "m").where("v != m").distinct().coalesce(parts)
         down = large.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = _stars(down)
+        small = _stars(down, parts)
         small = small.select("v", "m").unionByName(small.select(F.col("u").alias("v"), "m")).where("v != m").distinct()
-        edges = materialize(small)
+        edges = materialize(small.coalesce(parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
         if now == state:
             break
-        state = now
+        state, n = now, now[0]
     roots = edges.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct()
     return edges.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(roots)
