@@ -293,9 +293,12 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
                 out = []
                 for doc, tie, b, grams in zip(pdf["doc"], pdf["tie"], pdf["bytes"], pdf["grams"], strict=True):
                     gram, place, first, last = anchors(b)
+                    own = np.searchsorted(cuts.value[1], gram)
                     for i in np.flatnonzero(np.isin(gram, grams)).tolist():
                         f, a = int(first[i]), int(place[i])
-                        bucket = int(np.searchsorted(cuts.value, b[a : a + LEAD].ljust(LEAD, b"\0"), "right")) * subs + int(gram[i]) % subs
+                        bucket = int(np.searchsorted(cuts.value[0], b[a : a + LEAD].ljust(LEAD, b"\0"), "right")) * subs + int(gram[i]) % subs
+                        if own[i] < len(cuts.value[1]) and cuts.value[1][own[i]] == gram[i]:
+                            bucket = -1 - int(own[i])
                         out.append((doc, tie, bucket, f, a - f, b[f : int(last[i]) + WIDTH]))
                 if out:
                     yield pd.DataFrame(out, columns=["doc", "tie", "bucket", "first", "anchor", "span"])
@@ -305,7 +308,8 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
         rows = placed.join(wanted.withColumn("grams", mine).where(F.size("grams") > 0), ["doc", "tie"])
         return rows.select("doc", "tie", "bytes", "grams", "id").mapInPandas(of, "doc long, tie long, bucket long, first long, anchor int, span binary")
 
-    cuts = spark.sparkContext.broadcast(splitters(long, total["cold"] or 0))
+    # A common gram has a bucket of its own, cut out of the range that its bytes lie in.
+    cuts = spark.sparkContext.broadcast((splitters(long, total["cold"] or 0), np.sort(np.array([r[0] for r in common.collect()], np.int64))))
     cold_runs = spans(False).groupBy("bucket").applyInPandas(_compare, RUN)
     # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
     at = F.struct("doc", "tie", "first")
