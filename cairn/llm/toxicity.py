@@ -62,6 +62,8 @@ PRIOR, PRIOR_CLEAN, PRIOR_TEXTS = (0.1, 0.005), (0.02, 0.05), 20.0
 #: Labelled rows weigh as much as this share of all rows, if they are fewer.
 ANCHOR = 0.25
 ROUNDS, CLOSE = 12, 1e-3
+#: Vote sets of a partition, about, and the least partitions.
+SETS, LEAST_PARTS = 1 << 16, 8
 
 
 def distinct_words(text: str | None) -> tuple[set[str], float]:
@@ -372,6 +374,8 @@ def toxicity(df: DataFrame, text: str, labelled: DataFrame, label: str, labelled
         weigh = F.when(F.col("toxic") == y, s * anchor).otherwise(weigh)
     taught = sample.select(vote("text").alias("votes"), F.col("toxic").alias("label"), weigh.alias("w")).groupBy("votes", "label").agg(F.sum("w").alias("n"))
     sets = materialize(seen.select("votes", "label", "n").unionByName(taught.select("votes", "label", "n")))
+    # The rounds read it again and again: partitions by its size, not by those of the shuffle before.
+    sets = sets.coalesce(max(LEAST_PARTS, -(-sets.count() // SETS)))
     weights, bias = classifier(sets, label_model(sets, voting.names)) if total else ([0.0] * len(voting.names), 0.0)
     of = F.lit(weights)
     z = F.aggregate(F.col(voted), F.lit(bias), lambda a, j: a + F.element_at(of, j + 1))
