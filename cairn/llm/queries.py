@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, toxicity, urlfilter
+from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, tokens, toxicity, urlfilter
 from .common import materialize, table, words_of
 
 
@@ -137,6 +137,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "page_id", "language", "confidence", "accepted")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """`model`: the path of a SentencePiece model; that of the public 32k vocabulary if none is given."""
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, "text", model, limit=4096).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 #: White space as DuckDB's regular expressions write it.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -225,5 +235,5 @@ ORACLES = {
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id)
+    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id, op12_token_counts)
 }
