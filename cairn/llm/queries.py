@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, tokens, toxicity, urlfilter
+from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, tokens, toxicity, urlfilter, whitening
 from .common import materialize, table, words_of
 
 
@@ -147,6 +147,12 @@ def op12_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None
     return tokens.count_tokens(docs, "text", model, limit=4096).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", most=16)
+    each = out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "c"))
+    return each.select("vec_id", (F.col("k") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
 #: White space as DuckDB's regular expressions write it.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -235,5 +241,5 @@ ORACLES = {
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id, op12_token_counts)
+    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id, op12_token_counts, op13_whitening)
 }
