@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, tokens, toxicity, urlfilter, whitening
+from . import chat, decontam, langid, mixing, quality, sharding, simhash, suffixes, tokens, toxicity, trie, urlfilter, whitening
 from .common import materialize, table, words_of
 
 
@@ -137,6 +137,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "page_id", "language", "confidence", "accepted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """`model`: the path of a SentencePiece model; that of the public 32k vocabulary if none is given."""
     if model is None:
@@ -241,5 +245,5 @@ ORACLES = {
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id, op12_token_counts, op13_whitening)
+    for f in (op1_decontamination, op2_toxicity, op3_url_filters, op4_chat_format, op5_suffix_dedup, op6_simhash, op7_quality_rules, op8_sharding, op9_mixing, op10_language_id, op11_prefix_trie, op12_token_counts, op13_whitening)
 }
