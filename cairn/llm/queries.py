@@ -183,6 +183,10 @@ def _overlap(part: str) -> str:
         JOIN g h ON s.g = h.g GROUP BY h.doc_id, s.item_id"""
 
 
+#: crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1), lambda i: [unicode({0}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, CASE WHEN xor(a, e) & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
 ORACLES = {
     "op1_decontamination": rf"""
         WITH i AS (SELECT item_id, coalesce(text, '') AS text, regexp_extract(coalesce(text, ''), '(?s)^(.*[.?!])\s+(\S.*)$', 2) AS answer FROM benchmark),
@@ -241,6 +245,18 @@ ORACLES = {
         e AS (SELECT r.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS each,
                      ('0x' || left(md5(coalesce(r.source, '') || ':mix'), 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target, (size * (floor(k::DOUBLE * each + u) - floor((k - 1)::DOUBLE * each + u)))::BIGINT AS taken FROM e""",
+    "op11_prefix_trie": rf"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS own FROM t GROUP BY conv_id),
+        h AS (SELECT *, {_CRC32.format("(conv_id::VARCHAR)")} % 9 AS h FROM o),
+        b AS (SELECT h.conv_id, list_concat(coalesce(o.own[1:h], []), h.own[h + 1:]) AS turns FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % 5),
+        p AS (SELECT conv_id, d, to_json(turns[1:d])::VARCHAR AS path, to_json(turns[1:d - 1])::VARCHAR AS up, coalesce(strlen(turns[d].text), 0) AS size, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM b)),
+        n AS (SELECT path, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saves, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ended FROM p GROUP BY path, d),
+        k AS (SELECT up, count(*) AS n_children FROM n WHERE d > 0 GROUP BY up),
+        f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.path = k.up),
+        s AS (SELECT p.path, sum(f.saves) AS saved, count(*) FILTER (f.n_children = 0) AS n_leaves FROM f JOIN p ON p.conv_id = f.conv_id AND p.d <= f.d GROUP BY p.path)
+        SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(f.ended) AS ends_sha256
+        FROM f JOIN s USING (path) LEFT JOIN n u ON f.d > 0 AND u.path = f.up""",
 }
 
 QUERIES = {

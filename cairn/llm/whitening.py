@@ -95,6 +95,7 @@ def jacobi(a: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, np.ndarray]:
     if d > 1:
         seats = np.arange(d + d % 2)  # one seat stays free if d is odd
         eps = np.finfo(np.float64).eps * max(1.0, np.sqrt(len(a)))
+        noise = (1e-3 * np.finfo(np.float64).eps) ** 2 * (a * a).sum()  # of a column that rounding left of nothing
         for _ in range(sweeps):
             turned = False
             for _ in range(len(seats) - 1):
@@ -102,7 +103,7 @@ def jacobi(a: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, np.ndarray]:
                 p, q = p[both := (p < d) & (q < d)], q[both]
                 x, y = a[:, p], a[:, q]
                 xx, yy, xy = (x * x).sum(axis=0), (y * y).sum(axis=0), (x * y).sum(axis=0)
-                off = np.abs(xy) > eps * np.sqrt(xx * yy)
+                off = (np.abs(xy) > eps * np.sqrt(xx * yy)) & (np.minimum(xx, yy) > noise)
                 if off.any():
                     turned = True
                     zeta = (yy[off] - xx[off]) / (2 * xy[off])
