@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,6 +35,11 @@ def netloc(url: Column) -> Column:
     return F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
 
 
+def local_path(path: str) -> str:
+    """The path of a folder that every machine mounts, without the scheme that Spark is given."""
+    return re.sub("^file:/*(?=/)", "", path)
+
+
 def title_key(title: Column) -> Column:
     return F.replace(F.lower(F.trim(title)), F.lit("_"), F.lit(" "))
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from cairn.functions import answers
 from cairn.operators import control
 from cairn.sources import sinks
-from cairn.streaming import streams
+from cairn.streaming import timers
 
 from . import sdc
-from .catalogue import ORACLES, query, table
-from .streams import _drained, _events
+from .catalogue import ORACLES, folder, query, table
+from .streams import _drained
 
 
 @query("""
@@ -79,14 +79,36 @@ def engine_suspension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.suspensions(calls, "event_type", "ts", "ok").withColumn("until", F.round("until", 3))
 
 
-@query("""
-    WITH c AS (SELECT event_type AS engine, ts, event_id, value >= 10 AS ok FROM events), g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY engine ORDER BY ts, ok ROWS UNBOUNDED PRECEDING) AS run FROM c)
-    SELECT engine, max(errors)::BIGINT AS longest, sum(errors)::BIGINT AS total FROM
-        (SELECT engine, count(*) FILTER (WHERE NOT ok) OVER (PARTITION BY engine, run ORDER BY ts, ok ROWS UNBOUNDED PRECEDING) AS errors, ok FROM g) WHERE NOT ok GROUP BY engine""")
+#: What the timers of an hour's slots, two days behind the events, have settled by the end.
+_SETTLED = "(SELECT to_timestamp(floor(epoch(max(ts) - INTERVAL 2 DAY) / 3600) * 3600)::TIMESTAMP FROM events)"
+
+
+@query(f"""
+    WITH c AS (SELECT CASE WHEN event_id % 10 < 9 THEN 'hot' ELSE event_type END AS engine, event_id, ts, value >= 10 AS ok FROM events),
+    g AS (SELECT *, sum(ok::INT) OVER w AS run, lead(ts) OVER w AS next FROM c WINDOW w AS (PARTITION BY engine ORDER BY date_trunc('millisecond', ts), ok)),
+    e AS (SELECT *, count(*) FILTER (WHERE NOT ok) OVER (PARTITION BY engine, run ORDER BY date_trunc('millisecond', ts), ok ROWS UNBOUNDED PRECEDING) AS errors FROM g),
+    s AS (SELECT * FROM e WHERE NOT ok AND ts < {_SETTLED})
+    SELECT engine, max(errors)::BIGINT AS longest, sum(errors)::BIGINT AS total,
+        count(*) FILTER (WHERE date_trunc('millisecond', ts) + INTERVAL 5 MINUTE < {_SETTLED} AND (next IS NULL OR date_trunc('millisecond', next) > date_trunc('millisecond', ts) + INTERVAL 5 MINUTE)) AS lapsed FROM s GROUP BY engine""")
 def stream_suspension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest run of failures of each event type, followed over the stream of events."""
-    log = streams.suspension_log(_events(spark, sf_dir).select("event_type", "ts", (F.col("value") >= 10).alias("ok")), "event_type", "ts", "ok", 5.0)
-    return _drained(log, "suspensions").where("errors > 0").groupBy("engine").agg(F.max("errors").alias("longest"), F.sum("errors").alias("total"))
+    """The longest run of failures of each event type and the bans of five minutes that lapsed, followed over three batches out of order; nine of ten events are of one engine.
+
+    A batch has ten days of the events, but those of its last day with an even number come with the next.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_id") % 10 < 9, "hot").otherwise(F.col("event_type")).alias("engine"), (F.col("value") >= 10).alias("ok"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    day = F.floor(F.date_diff("ts", F.lit(first).cast("date")))
+    late = (day % 10 == 9) & (F.col("event_id") % 2 == 0)
+    batch = F.least(F.lit(2), F.floor(day / 10) + F.when(late, 1).otherwise(0))
+    path = folder(spark, "calls")
+    for k in range(3):
+        events.where(batch == k).coalesce(1).write.mode("append").parquet(path)  # a file a batch
+    calls = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path).withWatermark("ts", "2 days")
+    log = timers.suspension_log(calls, "engine", "ts", "ok", 300.0, slot=3600.0)
+    settled = F.timestamp_seconds(F.floor((F.unix_seconds(F.lit(last)) - 2 * 86_400) / 3600) * 3600)
+    done = _drained(log, "suspensions").where(F.col("at") < settled)
+    failed = F.col("event") == "fail"
+    return done.groupBy("engine").agg(F.max(F.when(failed, F.col("errors"))).alias("longest"), F.sum(F.when(failed, F.col("errors"))).alias("total"), F.count_if(F.col("event") == "over").alias("lapsed"))
 
 
 @query("""

@@ -78,14 +78,25 @@ def concept_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.concept_seeds(readers.concept_batch(spark, path)).select("name", "query", "lang", "top_n_hint")
 
 
-@query("SELECT 'f''' || o_orderkey || '(1).jpg' AS fname, 51200 + o_orderkey AS size FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0")
+@query(r"""
+    SELECT 'f''' || o_orderkey || '(1)' || chr(10) || '\.jpg' AS fname, 51200 + o_orderkey AS size FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0
+    UNION ALL SELECT 'BITMAP' || doc_id || '.jpg', 60000 + doc_id FROM documents WHERE doc_id % 3 = 0""")
 def dump_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of INSERT statements, two to a statement: drawings and small files go."""
-    n = F.col("o_orderkey")
-    row = lambda size: F.concat(F.lit("('f\\'"), n, F.lit("(1).jpg',"), size, F.lit(",'"), F.when(n % 2 == 0, "BITMAP").otherwise("DRAWING"), F.lit("')"))
-    size = F.when(n % 3 == 0, F.lit(10)).otherwise(n + 51200)
-    line = F.concat(F.lit("INSERT INTO `image` VALUES "), row(size.cast("string")), F.lit(",('small',5,'BITMAP');"))
-    return readers.sql_dump_tuples(spark, _lines(table(spark, sf_dir, "orders"), line, "tuples"))
+    """Rows of INSERT statements, three to a statement, and whole texts of documents as metadata, some repeated to over 100,000 characters, on lines of their own: drawings and small files go; a file named BITMAP is none by that."""
+    n, d = F.col("o_orderkey"), F.col("doc_id")
+    one = lambda name, size, metadata, media: F.concat(F.lit("('"), name, F.lit("',"), size.cast("string"), F.lit(",640,480,'"), metadata, F.lit("',8,"), media, F.lit(",'image','jpeg','x')"))
+    media = lambda yes: F.when(yes, "'BITMAP'").otherwise("'DRAWING'")
+    first = one(F.concat(F.lit("f\\'"), n, F.lit("(1)\\n\\\\.jpg")), F.when(n % 3 == 0, F.lit(10)).otherwise(n + 51200), F.lit("{\"a\\\"b'')\": (1,2)}"), media(n % 2 == 0))
+    line = F.concat(F.lit("INSERT INTO `image` VALUES "), first, F.lit(",('small',5,1,1,'',8,'BITMAP'),('BITMAP',70000,1,1,'0',8,NULL);"))
+    quoted = F.col("text")
+    for plain, coded in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        quoted = F.replace(quoted, F.lit(plain), F.lit(coded))
+    times = F.ceil(F.lit(100_000) / F.greatest(F.lit(1), F.length("text"))).cast("int")
+    long = F.when(d % 100 == 0, F.repeat(F.concat(quoted, F.lit("\\\\''),(''")), times)).otherwise(quoted)
+    more = one(F.concat(F.lit("BITMAP"), d, F.lit(".jpg")), d + 60000, long, media(d % 3 == 0))
+    path = _lines(table(spark, sf_dir, "orders"), line, "tuples")
+    table(spark, sf_dir, "documents").select(F.concat(more, F.lit(",")).alias("value")).write.mode("append").text(path)
+    return readers.sql_dump_tuples(spark, path)
 
 
 @query("SELECT lang || '/' || source AS rel, 1 AS files, sum(strlen(text))::BIGINT AS size FROM documents WHERE NOT contains(text, chr(13)) GROUP BY 1")

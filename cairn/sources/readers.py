@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cairn.functions import text
 from cairn.operators.relational import first_wins
@@ -74,15 +75,33 @@ def concept_seeds(concepts: DataFrame) -> DataFrame:
     return seeds.select("name", "query", text.lang_tag(F.col("query")).alias("lang"), text.quota_hint(F.col("min_images")).alias("top_n_hint"), "taxonomy")
 
 
+#: A quoted text (quotes in it escaped or doubled) or a bare word. No quantifier gives anything back, so a field costs one pass and no stack, however long it is.
+SQL_FIELD = r"'(?:[^'\\]++|\\.|'')*+'|[^,()']++"
+#: Tuples one after the other from the start of a line or of the VALUES of its INSERT statement; a malformed one ends the line.
+SQL_TUPLE = rf"(?s)(?:\G(?:INSERT INTO [^'()]*(?:\([^')]*\)\s*)?VALUES)?\s*,?\s*)\(((?:{SQL_FIELD})(?:,(?:{SQL_FIELD}))*+)\)"
+#: What an escaped character stands for; any other keeps its backslash.
+SQL_ESCAPES = {"n": "\n", "r": "\r", "0": "\0", "Z": "\x1a", "'": "'", '"': '"', "\\": "\\"}
+
+
+def sql_text(field: Column) -> Column:
+    """The text that a quoted field stands for; null for a bare word."""
+    codes = F.create_map(*[F.lit(x) for k, v in SQL_ESCAPES.items() for x in (f"\\{k}", v)], F.lit("''"), F.lit("'"))
+    bits = F.regexp_extract_all(F.substring(field, 2, F.length(field) - 2), F.lit(r"(?s)(\\.|''|[^\\']++)"), F.lit(1))
+    return F.when(field.startswith("'"), F.array_join(F.transform(bits, lambda b: F.coalesce(codes[b], b)), ""))
+
+
+def sql_dump_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(fields) of the tuples in the INSERT statements of a dump, as they are written; a statement may go on over lines that begin with a tuple. Lines that hold anything else are passed over."""
+    lines = spark.read.text(path).where(F.col("value").rlike("^(?:INSERT INTO|\\()"))
+    rows = lines.select(F.explode(F.regexp_extract_all("value", F.lit(SQL_TUPLE), F.lit(1))).alias("t"))
+    return rows.select(F.regexp_extract_all("t", F.lit(f"(?s)({SQL_FIELD})"), F.lit(1)).alias("fields"))
+
+
 def sql_dump_tuples(spark: SparkSession, path: str, least: int = 51_200, most: int = 64 << 20) -> DataFrame:
-    """(fname, size) of the bitmap rows of an image table's INSERT statements; quotes may be doubled or escaped."""
-    value = "'(?:[^'\\\\]|\\\\.|'')*'|[^,()']+"
-    lines = spark.read.text(path, wholetext=False).where(F.col("value").startswith("INSERT INTO"))
-    rows = lines.select(F.explode(F.regexp_extract_all("value", F.lit(f"\\(((?:{value})(?:,(?:{value}))*)\\)"), F.lit(1))).alias("t"))
-    fields = F.regexp_extract_all("t", F.lit(f"({value})"), F.lit(1))
-    plain = lambda c: F.regexp_replace(F.replace(F.regexp_replace(c, "^'|'$", ""), F.lit("''"), F.lit("'")), "\\\\(.)", "$1")
-    out = rows.select(fields.alias("f")).select(plain(F.get("f", F.lit(0))).alias("fname"), F.get("f", F.lit(1)).try_cast("long").alias("size"), F.array_contains(F.transform("f", plain), "BITMAP").alias("bitmap"))
-    return out.where(F.col("bitmap") & F.col("size").between(least, most)).drop("bitmap")
+    """(fname, size) of the bitmaps of an image table's dump: the name, its size, width, height, the metadata (quoted, of any length), bits, the media type. Rows of another shape are passed over."""
+    f = lambda i: F.get("fields", F.lit(i))
+    rows = sql_dump_rows(spark, path).where((f(6) == "'BITMAP'") & f(4).startswith("'") & f(0).startswith("'") & f(1).rlike("^[0-9]+$"))
+    return rows.select(sql_text(f(0)).alias("fname"), f(1).try_cast("long").alias("size")).where(F.col("size").between(least, most))
 
 
 def inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -107,10 +126,18 @@ def alias_cache(spark: SparkSession, path: str) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, value): the lines of each file with their 0-based numbers, blank ones too.
 
-    Files are read whole, one a row, as gzip demands: a ledger comes in parts of moderate size.
+    A file is read in as many ranges as Spark makes of it (a gzip in one). The lines of each range are counted
+    and the counts summed up, one number a range; within a range lines come in order. Should the second reading be cut into
+    other ranges than the first, it fails rather than number wrongly.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", "\\n$", ""), "\n").alias("lines"))
-    return whole.select("file", F.posexplode("lines").alias("line", "value"))
+    span = F.struct("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_block_length")
+    lines = lambda: spark.read.text(path).select(span.alias("span"), "value", F.monotonically_increasing_id().alias("at"))
+    ranges = lines().groupBy("span").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = Window.partitionBy("span.file_path").orderBy("span.file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(F.col("span").alias("of"), "first", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    known = lines().join(F.broadcast(offsets), F.col("span") == F.col("of"), "left")  # a row a range
+    checked = F.when(F.col("of").isNull() | ~(F.col("at") - F.col("first")).between(0, F.col("n") - 1), F.raise_error(F.lit("the files were cut into other ranges meanwhile")).cast("long"))
+    return known.select(F.col("span.file_path").alias("file"), F.coalesce(checked, F.col("at") - F.col("first") + F.col("before")).alias("line"), "value")
 
 
 def telemetry(spark: SparkSession, path: str, machine: str = "([^/]+?)(?:\\.[^./]*)?$") -> DataFrame:

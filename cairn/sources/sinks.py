@@ -74,6 +74,17 @@ def recover_table(spark: SparkSession, path: str) -> None:
         raise OSError(f"cannot bring {path} back")
 
 
+def put_in_place(spark: SparkSession, folder: str, path: str) -> None:
+    """Make the only file that Spark wrote into a folder the file at `path`, in the place of one that is there."""
+    fs, source, target = _paths(spark, folder, path)
+    parts = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} has {len(parts)} files")
+    fs.delete(target, False)
+    if not fs.rename(parts[0], target):
+        raise OSError(f"cannot move {parts[0]} to {path}")
+
+
 def split_pairs(df: DataFrame, pairs: str) -> DataFrame:
     """One row for each of the "qid:rank,qid:rank" pairs of a row: the other columns, `qid` and `rank`; blank pairs give none."""
     rest = [c for c in df.columns if c != pairs]

@@ -14,17 +14,18 @@ from cairn.operators.relational import append_new
 from cairn.sources.sinks import ledger_or_empty
 
 
-def merge_stream(stream: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str):
+def merge_stream(stream: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str, batches: bool = False):
     """Append each micro-batch's new keys to a Parquet ledger; starts the query.
 
     Keys are held against the ledger itself, so a lost checkpoint or a rotated file repeats nothing.
+    The query ends with what its source has now; with `batches` it goes on, a micro-batch after the other as the source bounds them, until it is stopped.
     """
 
     def append(batch: DataFrame, _: int) -> None:
         existing = ledger_or_empty(batch, path)
         append_new(existing, batch, keys, order).write.mode("append").parquet(path)
 
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**({"processingTime": "0 seconds"} if batches else {"availableNow": True})).start()
 
 
 def budget(stream: DataFrame, key: str, item: str, most: int) -> DataFrame:
@@ -67,42 +68,6 @@ def stalls(samples: DataFrame, host: str, at: str, rows: str, restarts: str) ->
     })
 
 
-def cooldown(stream: DataFrame, key: str, at: str, breach: str, seconds: float) -> DataFrame:
-    """The breaches (key, at) that set an action off: one only if the last action of the key is more than `seconds` ago.
-
-    Each depends on the one before, so the state of a key is the time of its last action. A
-    task sorts the breaches of one key in one micro-batch, so the trigger's rate bounds them.
-    """
-
-    def act(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else float("-inf")
-        times = []
-        for t in sorted(t for pdf in batches for t in pdf.loc[pdf[breach], at]):
-            if t - last > seconds:
-                times.append(t)
-                last = t
-        state.update((last,))
-        yield pd.DataFrame({"key": [str(k[0])] * len(times), "at": times}).astype({"at": "float64"})
-
-    return stream.select(key, F.col(at).cast("double").alias(at), breach).groupBy(key).applyInPandasWithState(act, "key string, at double", "last double", "append", GroupStateTimeout.NoTimeout)
-
-
-def suspension_log(stream: DataFrame, engine: str, at: str, ok: str, ban: float) -> DataFrame:
-    """Each call (engine, at, errors, until) with the failures in a row up to it and the end of the ban that it leaves; a success lifts the ban. State: two numbers an engine; the trigger's rate bounds the calls that a task sorts."""
-
-    def follow(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        errors, until = state.get if state.exists else (0, 0.0)
-        rows = []
-        for t, good in sorted((t, bool(g)) for pdf in batches for t, g in zip(pdf[at], pdf[ok], strict=True)):
-            errors, until = (0, 0.0) if good else (errors + 1, t + ban)
-            rows.append((str(k[0]), t, errors, until))
-        state.update((errors, until))
-        yield pd.DataFrame(rows, columns=["engine", "at", "errors", "until"]).astype({"at": "float64", "errors": "int64", "until": "float64"})
-
-    calls = stream.select(engine, F.col(at).cast("timestamp").cast("double").alias(at), ok)
-    return calls.groupBy(engine).applyInPandasWithState(follow, "engine string, at double, errors long, until double", "errors long, until double", "append", GroupStateTimeout.NoTimeout)
-
-
 def memory_breach(committed: Column, total: Column, free_mb: Column) -> Column:
     """Whether a host is short of memory: over 1.2 of it promised, or under 500 MB free."""
     return F.coalesce((total > 0) & (committed / total > 1.2), F.lit(False)) | F.coalesce(free_mb < 500, F.lit(False))

@@ -99,40 +99,6 @@ def test_cleanup_order_and_age(spark):
     assert [r.sha256 for r in control.cleanup_eligible(blobs, now, 5).collect()] == ["a", "b"]
 
 
-def drained(query_df, tmp_path, name):
-    out, offsets = str(tmp_path / name), str(tmp_path / f"{name}-offsets")
-    query_df.writeStream.format("parquet").option("path", out).option("checkpointLocation", offsets).trigger(availableNow=True).start().awaitTermination()
-    return query_df.sparkSession.read.parquet(out).collect()
-
-
-def test_cooldown_and_suspension_over_many_batches(spark, tmp_path):
-    rng = random.Random(3)
-    rows = [(f"h{rng.randrange(3)}", float(t), rng.random() < 0.3) for t in range(0, 9000, 37)]
-    source = str(tmp_path / "in")
-    for k in range(4):
-        part = rows[k * 61 : (k + 1) * 61]
-        spark.createDataFrame(part, "host string, at double, bad boolean").coalesce(1).write.mode("append").parquet(source)
-    rows = rows[:244]
-    stream = spark.readStream.schema("host string, at double, bad boolean").option("maxFilesPerTrigger", 1).parquet(source)
-    want, last = [], {}
-    for host, at, bad in rows:
-        if bad and at - last.get(host, float("-inf")) > 600:
-            want.append((host, at))
-            last[host] = at
-    got = drained(streams.cooldown(stream, "host", "at", "bad", 600), tmp_path, "acts")
-    assert sorted((r.key, r.at) for r in got) == sorted(want)
-    errors, log = {}, []
-    for host, at, bad in rows:
-        errors[host] = errors.get(host, 0) + 1 if bad else 0
-        log.append((host, at, errors[host], at + 5.0 if bad else 0.0))
-    calls = stream.select("host", F.timestamp_seconds("at").alias("at"), (~F.col("bad")).alias("ok"))
-    got = drained(streams.suspension_log(calls, "host", "at", "ok", 5.0), tmp_path, "log")
-    assert sorted(tuple(r) for r in got) == sorted(log)
-    batch = spark.createDataFrame(rows, "host string, at double, bad boolean").select("host", F.timestamp_seconds("at").alias("at"), (~F.col("bad")).alias("ok"))
-    state = {r.engine: (r.errors, r.until) for r in control.suspensions(batch, "host", "at", "ok").collect()}
-    assert state == {h: (n, max((u for g, _, m, u in log if g == h), key=lambda u: u) if n else None) for h, n in errors.items()}
-
-
 def test_memory_breach(spark):
     df = spark.createDataFrame([(130, 100, 900.0), (110, 100, 900.0), (1, 100, 400.0), (None, 0, None)], "c int, t int, f double")
     assert [r[0] for r in df.select(streams.memory_breach(F.col("c"), F.col("t"), F.col("f"))).collect()] == [True, False, True, False]

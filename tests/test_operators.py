@@ -12,7 +12,6 @@ from cairn.functions import passages, text, wiki
 from cairn.operators import gates, search
 from cairn.operators.relational import append_new, first_wins, global_rank, prefix_route, rank_best_then_quota, reconcile, stride_shard
 from cairn.sources import readers
-from cairn.sources.tail import TailReader
 
 
 def one(spark, *cols):
@@ -244,37 +243,3 @@ def test_readers(spark, tmp_path):
     concepts = readers.concept_batch(spark, str(tmp_path / "b.json"))
     assert {r.name: r.min_images for r in concepts.collect()} == {"长城": 40, "b": 10}
     assert {(r.query, r.lang) for r in readers.concept_seeds(concepts).collect()} == {("长城", "zh"), ("Great Wall", "latin"), ("b", "latin")}
-    (tmp_path / "i.sql").write_text("INSERT INTO `image` VALUES ('a''b.jpg',60000,'BITMAP'),('c\\'.jpg',10,'BITMAP'),('d(1).svg',70000,'DRAWING');\n")
-    assert [tuple(r) for r in readers.sql_dump_tuples(spark, str(tmp_path / "i.sql")).collect()] == [("a'b.jpg", 60000)]
-
-
-def test_tail_waits_for_whole_lines_and_survives_rotation(tmp_path):
-    path = tmp_path / "log"
-    for part in (1, 3, 1 << 20):
-        reader = TailReader(str(path), part)
-        read = lambda start, end, reader=reader: [x for p in reader.partitions(start, end) for x in reader.read(p)]
-        path.write_text("a\nbcd\npart")
-        first = reader.latestOffset()
-        assert read(reader.initialOffset(), first) == [("a", 2), ("bcd", 6)] and first == {"at": 6}
-        path.write_text("a\nbcd\npartial\n\nx")
-        second = reader.latestOffset()
-        assert [line for line, _ in read(first, second)] == ["partial", ""]
-        path.write_text("n\n")
-        assert [line for line, _ in read(second, reader.latestOffset())] == ["n"]
-        path.unlink()
-        assert reader.latestOffset() == {"at": 0}
-
-
-def test_tail_as_a_stream(spark, tmp_path):
-    """Appended lines come in the next run, each once."""
-    from cairn.sources.tail import TailSource
-
-    spark.dataSource.register(TailSource)
-    log, out, offsets = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "offsets")
-    for text in ("a\nb\n", "a\nb\nc\nd", "a\nb\nc\nd\n"):
-        log.write_text(text)
-        stream = spark.readStream.format("cairn_tail").option("path", str(log)).option("partBytes", 2).load()
-        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", offsets).trigger(processingTime="0 seconds").start()
-        query.processAllAvailable()
-        query.stop()
-    assert sorted(r.line for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
