@@ -51,19 +51,31 @@ class InOrder(StatefulProcessor):
                     self.handle.registerTimer((slot + 1) * self.slot)
         return iter(())
 
+    def _take(self, slot: int, now: int, state: tuple, out: list) -> tuple:
+        """Apply the calls before `now` that wait in a slot."""
+        if not self.waiting.containsKey((slot,)):
+            return state
+        calls = np.frombuffer(bytes(self.waiting.getValue((slot,))[0]), np.int64).reshape(-1, 2)
+        due = calls[:, 0] < now
+        for at, flag in calls[due][np.lexsort(calls[due].T[::-1])].tolist():
+            state = self.call(state, at, bool(flag), out)
+        if due.all():
+            self.waiting.removeKey((slot,))
+        else:
+            self.waiting.updateValue((slot,), (calls[~due].tobytes(),))
+        return state
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        state, slot = (self.state.get() if self.state.exists() else self.FIRST), ((now - 1) // self.slot,)
-        if self.waiting.containsKey(slot):
-            calls = np.frombuffer(bytes(self.waiting.getValue(slot)[0]), np.int64).reshape(-1, 2)
-            due = calls[:, 0] < now
-            for at, flag in calls[due][np.lexsort(calls[due].T[::-1])].tolist():
-                state = self.call(state, at, bool(flag), out)
-            if due.all():
-                self.waiting.removeKey(slot)
-            else:
-                self.waiting.updateValue(slot, (calls[~due].tobytes(),))
-        state, again = self.settle(state, now, out)
+        """Go on to the timer's time, and from there to each time that the state asks for, as far as the watermark is: Spark looks at timers set here only in the next batch."""
+        now, mark, out = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs(), []
+        state, slot = (self.state.get() if self.state.exists() else self.FIRST), (now - 1) // self.slot
+        while True:
+            for s in range(slot, (now - 1) // self.slot + 1):
+                state = self._take(s, now, state, out)
+            state, again = self.settle(state, now, out)
+            if again is None or again > mark:
+                break
+            slot, now = (now - 1) // self.slot, again
         if again is not None:
             self.handle.registerTimer(again)
         self.state.update(state)
