@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,10 +53,18 @@ def file_name(value: Column) -> Column:
     return F.trim(F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name))
 
 
+def percent_encoded(text: Column) -> Column:
+    """UTF-8 percent codes for all but letters and digits of ASCII and `_.-~`; the form that Spark has leaves `*`, codes `~` and writes a blank as `+`."""
+    out = F.url_encode(text)
+    for java, plain in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(java), F.lit(plain))
+    return out
+
+
 def page_url(lang: Column, title: Column) -> Column:
     """The address of an encyclopedia page; spaces are underscores, slashes stay."""
-    quoted = F.replace(F.url_encode(F.replace(title, F.lit(" "), F.lit("_"))), F.lit("%2F"), F.lit("/"))
-    return F.concat(F.lit("https://"), lang, F.lit(".wikipedia.org/wiki/"), F.replace(quoted, F.lit("+"), F.lit("%20")))
+    quoted = F.replace(percent_encoded(F.replace(title, F.lit(" "), F.lit("_"))), F.lit("%2F"), F.lit("/"))
+    return F.concat(F.lit("https://"), lang, F.lit(".wikipedia.org/wiki/"), quoted)
 
 
 def triple_value(value: Column) -> Column:
@@ -71,7 +80,7 @@ def upload_path(name: Column) -> Column:
     """m/md/name: the first digits of the name's MD5 as folders."""
     under = F.replace(name, F.lit(" "), F.lit("_"))
     digest = F.md5(under.cast("binary"))
-    return F.concat_ws("/", F.substring(digest, 1, 1), F.substring(digest, 1, 2), F.url_encode(under))
+    return F.concat_ws("/", F.substring(digest, 1, 1), F.substring(digest, 1, 2), percent_encoded(under))
 
 
 def safe_extension(name: Column) -> Column:
@@ -153,26 +162,55 @@ def prettify(url: Column, most: int = 74) -> Column:
     return F.when(F.length(url) > most, F.concat(F.substring(url, 1, half), F.lit("[...]"), F.right(url, F.lit(half)))).otherwise(url)
 
 
-def highlight(text: Column, word: str) -> Column:
-    """The text with whole occurrences of a word in <b>; a word in Chinese characters needs no boundary."""
-    quoted = "\\Q" + word + "\\E"
-    edge = "" if any("\u4e00" <= c <= "\u9fff" for c in word) else "\\b"
-    return F.regexp_replace(text, f"(?i){edge}({quoted}){edge}", "<b>$1</b>")
+#: Scripts whose words are marked wherever they stand.
+UNSPACED = "[\u4e00-\u9fff\u3040-\u30ff\uac00-\ud7af\u1100-\u11ff]"
+
+
+def highlight(text: Column, query: Column) -> Column:
+    """The text with every occurrence of the query's words, in any case, in a span of the class highlight; texts with markup stay as they are.
+
+    Words are cut at white space and stand without quote marks. One in Chinese, Japanese or Korean characters is marked wherever it is, any
+    other where it stands as a word. Characters with a meaning in patterns stand for themselves.
+    """
+    words = F.transform(F.split(query, "\\s+"), lambda w: F.translate(w, "'\"", ""))
+    plain = lambda w: F.regexp_replace(w, "([^\\p{L}\\p{N}_])", r"\\$1")
+    bounded = lambda w: F.when(w.rlike(UNSPACED), plain(w)).otherwise(F.concat(F.lit("\\b"), plain(w), F.lit("(?!\\w)")))
+    listed = F.transform(F.filter(words, lambda w: w != ""), bounded)
+    marked = F.regexp_replace(text, F.concat(F.lit("(?iU)("), F.array_join(listed, "|"), F.lit(")")), F.lit('<span class="highlight">$1</span>'))
+    return F.when(text.contains("<") | (F.coalesce(F.size(listed), F.lit(0)) <= 0), text).otherwise(marked)
 
 
 def squeeze(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\\s+", " "), "^\\s+|\\s+$", "")
 
 
-#: Character references of markup, the ampersand's last.
-REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+def _references() -> dict[str, str]:
+    """What the named references of HTML 4 and the numbers of the C1 range, read as Windows-1252, stand for."""
+    named = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
+    for code in range(0x80, 0xA0):
+        told = bytes([code]).decode("cp1252", "replace")
+        named[f"#{code}"] = chr(code) if told == "\ufffd" else told
+    return named
+
+
+#: A character reference: by number, decimal or hexadecimal, or by name.
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def html_unescape(text: Column) -> Column:
-    """Text with the common character references of markup decoded."""
-    for coded, plain in REFERENCES:
-        text = F.replace(text, F.lit(coded), F.lit(plain))
-    return text
+    """Text with the character references of markup decoded, each once: by number in any range, by the names of HTML 4. Unknown names stay; numbers of no character give U+FFFD."""
+    known = F.from_json(F.lit(json.dumps(_references())), "map<string,string>")
+    number = lambda r: F.when(r.rlike("^&#[xX]"), F.conv(F.substring(r, 4, 6), 16, 10)).otherwise(F.regexp_extract(r, "^&#([0-9]+)", 1)).try_cast("int")
+
+    def character(r: Column) -> Column:
+        code = number(F.replace(r, F.lit(";"), F.lit("")))
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        told = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(r.startswith("&#"), F.coalesce(known[F.concat(F.lit("#"), code.cast("string"))], told)).otherwise(F.coalesce(known[r], r))
+
+    rest = F.split(text, REFERENCE, -1)
+    told = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), character)
+    return F.when(text.contains("&"), F.array_join(F.zip_with(rest, told, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")).otherwise(text)
 
 
 def human_bytes(size: Column) -> Column:
@@ -198,13 +236,11 @@ def clock_of(seconds: Column) -> Column:
 
 
 def html_to_text(html: Column) -> Column:
-    """Visible text: scripts, styles, comments and tags out, block tags as blank lines, five entities decoded."""
+    """Visible text: scripts, styles, comments and tags out, block tags as blank lines, character references decoded, no-break spaces as blanks."""
     out = F.regexp_replace(html, "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", "")
     out = F.regexp_replace(out, "(?i)</?(p|div|br|li|ul|ol|h[1-6]|article|section|nav|table|tr|header|footer)\\b[^>]*>", "\n\n")
     out = F.regexp_replace(out, "<[^>]*>", "")
-    for coded, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(coded), F.lit(plain))
-    return out
+    return html_unescape(F.replace(out, F.lit("&nbsp;"), F.lit(" ")))
 
 
 def annotation(reply: Column) -> Column:
@@ -299,7 +335,7 @@ def clean_url(url: Column, rules: list[tuple[str, list[str], list[str]]]) -> Col
     kinds = "array<struct<fits:string,spares:array<string>,drops:array<string>>>"
     begins = lambda p: f"^(?:{p})"
     listed = F.from_json(F.lit(json.dumps([{"fits": begins(a), "spares": [*map(begins, b)], "drops": [*map(begins, c)]} for a, b, c in rules])), kinds)
-    again = lambda t: F.replace(F.replace(F.url_encode(F.coalesce(F.try_url_decode(t), t)), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    again = lambda t: F.replace(percent_encoded(F.coalesce(F.try_url_decode(t), t)), F.lit("%20"), F.lit("+"))
     name = lambda p: F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), p)
     value = lambda p: F.substr(p, F.locate("=", p) + 1)
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .relational import free_name
 
 
 def quality_gate(quality: Column, identity: Column | None, least: float | None) -> Column:
@@ -132,22 +135,63 @@ def not_disambiguation(extract: Column) -> Column:
     return F.coalesce((F.length(F.trim(extract)) > 300) & ~marked, F.lit(False))
 
 
+#: Classes of a body that make its row poison.
+POISON = ("html", "empty", "missing", "err")
+
+
+def poisoned(ledger: DataFrame, sniffed: DataFrame, key: str) -> DataFrame:
+    """The rows of a ledger whose body is poison, with `class` and `err` of what was sniffed (key, class, err): the others, and those that were not sniffed, stay out."""
+    bad = sniffed.where(F.col("class").isin(*POISON)).select(F.col(key).alias("_key"), "class", "err")
+    return ledger.join(bad, F.col(key) == F.col("_key")).drop("_key")
+
+
 #: Marks of a list of meanings.
 MEANINGS = ("may also refer to", "可以指", "可以是指")
 
 
+def robots_rules(files: DataFrame, agent: str) -> DataFrame:
+    """(origin, place, allow, pattern): the rules for an agent in robots files (origin, body), percent codes decoded.
+
+    Agent lines in a row share the rules that follow them up to a blank line or the next agent line. The first
+    group counts that names a part of the agent (what stands before a slash, in any case); else the first that names `*`; groups without
+    rules count for nothing. Comments and unknown fields are passed over; a rule without a path allows all. A file
+    that could not be read has a null body and gives no rules. A window holds the lines of one file.
+    """
+    lines = files.where("body IS NOT NULL").select("origin", F.posexplode(F.split("body", "\\r\\n|\\r|\\n")).alias("at", "line"))
+    said = F.trim(F.regexp_replace("line", "#.*$", ""))
+    field, value = F.lower(F.trim(F.substring_index(said, ":", 1))), F.trim(F.regexp_extract(said, "(?s)^[^:]*:(.*)$", 1))
+    kind = F.when(F.trim("line") == "", "blank").when(~said.contains(":"), None).when(field == "user-agent", "agent").when(field.isin("allow", "disallow", "crawl-delay", "request-rate"), "rule")
+    lines = lines.select("origin", "at", kind.alias("kind"), field.alias("field"), F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value).alias("value")).where("kind IS NOT NULL")
+    order = Window.partitionBy("origin").orderBy("at")
+    opens = (F.col("kind") == "agent") & ~F.lag("kind").over(order).eqNullSafe("agent")
+    lines = lines.withColumn("opens", opens).withColumn("grp", F.sum(F.col("opens").cast("int")).over(order))
+    within = Window.partitionBy("origin", "grp").orderBy("at")
+    lines = lines.withColumn("blanks", F.sum((F.col("kind") == "blank").cast("int")).over(within)).where("grp > 0 AND blanks = 0 AND kind <> 'blank'")
+    named, own = F.lower(F.col("value")), agent.partition("/")[0].lower()
+    is_agent = F.col("kind") == "agent"
+    groups = lines.groupBy("origin", "grp").agg(
+        F.max(is_agent & (F.col("value") == "*")).alias("any"), F.max(is_agent & F.lit(own).contains(named)).alias("fits"), F.max(F.col("kind") == "rule").alias("ruled")
+    ).where("ruled AND (any OR fits)")
+    chosen = groups.groupBy("origin").agg(F.coalesce(F.min(F.when(~F.col("any"), F.col("grp"))), F.min(F.when(F.col("any"), F.col("grp")))).alias("grp"))
+    rules = lines.where(F.col("field").isin("allow", "disallow")).join(chosen, ["origin", "grp"])
+    return rules.select("origin", F.col("at").alias("place"), ((F.col("field") == "allow") | (F.col("value") == "")).alias("allow"), F.col("value").alias("pattern"))
+
+
 def robots_allowed(urls: DataFrame, url: str, rules: DataFrame) -> DataFrame:
-    """Add `allowed` to rows with an address, by rules (origin, place, allow, pattern) taken from the origins' robots files for this agent.
+    """Add `allowed` to rows with an address, by rules (origin, place, allow, pattern) taken from the origins' robots files for this agent (`robots_rules`).
 
-    The first rule of the origin, by place, whose pattern the path begins with decides; origins without
-    rules, or whose file could not be read, allow all. Rules are grouped by origin before they are joined.
+    The first rule of the origin, by place, whose pattern the path begins with decides; a star in it is a character like any other, and a rule without
+    a pattern allows all. Origins without rules, or whose file could not be read, allow all. Rules are grouped by origin before they are joined.
     """
+    at, way, of, listed = (free_name(urls, x) for x in ("robots_at", "robots_path", "robots_origin", "robots_rules"))
     origin = F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     path = F.regexp_replace(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1), "^$", "/")
-    listed = rules.groupBy(F.col("origin").alias("_origin")).agg(F.array_sort(F.collect_list(F.struct("place", "allow", "pattern"))).alias("_rules"))
-    fits = F.filter("_rules", lambda r: F.col("_path").startswith(r["pattern"]) & (r["pattern"] != ""))
-    joined = urls.withColumns({"_at": origin, "_path": path}).join(listed, F.col("_at") == F.col("_origin"), "left")
-    return joined.withColumn("allowed", F.coalesce(F.get(fits, F.lit(0))["allow"], F.lit(True))).drop("_at", "_path", "_origin", "_rules")
+    path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    grouped = rules.groupBy(F.col("origin").alias(of)).agg(F.array_sort(F.collect_list(F.struct("place", "allow", "pattern"))).alias(listed))
+    fits = F.filter(listed, lambda r: F.col(way).startswith(r["pattern"]))
+    first = F.get(fits, F.lit(0))
+    joined = urls.withColumns({at: origin, way: path}).join(grouped, F.col(at) == F.col(of), "left")
+    return joined.withColumn("allowed", F.coalesce(first["allow"] | (first["pattern"] == ""), F.lit(True))).drop(at, way, of, listed)
 
 
 def not_listed(df: DataFrame, url: str, digests: DataFrame) -> DataFrame:

@@ -55,6 +55,16 @@ def with_file_info(tasks: DataFrame, infos: DataFrame) -> DataFrame:
     return tasks.withColumn("_key", text.title_key(F.col("file"))).join(known.drop("title"), "_key").drop("_key")
 
 
+def merged_rounds(rounds: DataFrame) -> DataFrame:
+    """(title, files, text) of the pages that a service told in several rounds (batch, round, title, files, text): the parts of a page within a batch put together in the order of the rounds.
+
+    Rounds beyond the sixth of a batch are not asked for; null parts add nothing. A page of two batches gives two rows.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("round", F.coalesce("files", F.array().cast("array<string>")).alias("files"), F.coalesce("text", F.lit("")).alias("text"))))  # six at most
+    grouped = rounds.where(F.col("round") < 6).groupBy("batch", "title").agg(parts.alias("parts"))
+    return grouped.select("title", F.flatten(F.transform("parts", lambda p: p["files"])).alias("files"), F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
+
+
 def gallery_files(galleries: DataFrame, redirects: DataFrame, pages: DataFrame) -> DataFrame:
     """(qid, file, caption): the images of each concept's gallery.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import text
 from cairn.operators import gates
-from cairn.operators.relational import first_wins, reconcile
+from cairn.operators.relational import decile, first_wins, global_rank, reconcile
 
 from .catalogue import query, table
 
@@ -86,3 +88,56 @@ def page_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sniff_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     sniff = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "html").otherwise("jpeg").alias("cls"))
     return table(spark, sf_dir, "documents").select("doc_id", "source").join(sniff, "doc_id").groupBy("source", "cls").agg(F.count("*").alias("n"))
+
+
+_LEDGER = """
+    l AS (SELECT doc_id, n_chars, lang AS ext, doc_id % 3 AS tier, strftime(TIMESTAMP '2024-01-01' + to_days((doc_id % 9)::INT), '%m-%d') AS day, least(9, (row_number() OVER (ORDER BY doc_id) - 1) * 10 // count(*) OVER ())::INT AS decile FROM documents),
+    s AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'html' WHEN 1 THEN 'html' WHEN 2 THEN 'empty' WHEN 3 THEN 'err' ELSE 'jpeg' END AS class, CASE doc_id % 14 WHEN 0 THEN '429' WHEN 1 THEN '404' END AS err FROM documents WHERE n_chars < 2000)"""
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as a ledger with day, tier and decile of its order, and what was sniffed of the small ones."""
+    d, docs = F.col("doc_id"), table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.col("lang").alias("ext"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (d % 9).cast("int")), "MM-dd")
+    ranked = global_rank(docs, "doc_id", [], "r").withColumn("decile", decile(F.col("r"), docs.count())).drop("r")
+    kind = F.when(d % 7 < 2, "html").when(d % 7 == 2, "empty").when(d % 7 == 3, "err").otherwise("jpeg")
+    sniffed = docs.where("n_chars < 2000").select("doc_id", kind.alias("class"), F.when(d % 14 == 0, "429").when(d % 14 == 1, "404").alias("err"))
+    return ranked.withColumns({"tier": d % 3, "day": day}), sniffed
+
+
+@query(f"WITH {_LEDGER} SELECT l.*, s.class, s.err FROM l JOIN s USING (doc_id) WHERE s.class IN ('html', 'empty', 'missing', 'err')")
+def poison_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a ledger whose bodies are error pages, empty or unreadable."""
+    return gates.poisoned(*_ledger(spark, sf_dir), "doc_id")
+
+
+@query(f"""
+    WITH {_LEDGER}, p AS (SELECT l.*, s.class, s.err FROM l JOIN s USING (doc_id) WHERE s.class IN ('html', 'empty', 'missing', 'err')), h AS (SELECT * FROM p WHERE class = 'html'),
+    k AS (SELECT 'err' AS figure, err AS key, count(*)::VARCHAR AS value FROM h WHERE err IS NOT NULL GROUP BY err UNION ALL SELECT 'tier', tier::VARCHAR, count(*)::VARCHAR FROM h GROUP BY tier
+        UNION ALL SELECT 'ext', ext, count(*)::VARCHAR FROM h GROUP BY ext UNION ALL SELECT 'decile', decile::VARCHAR, count(*)::VARCHAR FROM h GROUP BY decile
+        UNION ALL SELECT 'day', day, (SELECT count(*) FROM h WHERE h.day = l.day) || '/' || count(*) FROM l GROUP BY day
+        UNION ALL SELECT 'rows', 'ledger', count(*)::VARCHAR FROM l UNION ALL SELECT 'rows', 'poison', count(*)::VARCHAR FROM p UNION ALL SELECT 'rows', 'html', count(*)::VARCHAR FROM h UNION ALL SELECT 'rows', 'html_bytes', coalesce(sum(n_chars), 0)::BIGINT::VARCHAR FROM h)
+    SELECT '{{' || string_agg('"' || figure || '":{{' || inner_ || '}}', ',' ORDER BY figure) || '}}' AS stats FROM (SELECT figure, string_agg('"' || key || '":"' || value || '"', ',' ORDER BY key) AS inner_ FROM k GROUP BY figure)""")
+def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audit as one row of JSON: poison by error code, tier, extension, decile of the ledger, and of each day's rows."""
+    ledger, sniffed = _ledger(spark, sf_dir)
+    return audit_report(ledger, gates.poisoned(ledger, sniffed, "doc_id"), "n_chars", {"err": "err", "tier": "tier", "ext": "ext", "decile": "decile"}, "day")
+
+
+def audit_report(ledger: DataFrame, poison: DataFrame, size: str, figures: dict[str, str], day: str) -> DataFrame:
+    """(stats): one JSON object of objects: for each figure the error pages by a column, for each day the share `x/y` of its rows, and the rows of ledger, poison and error pages.
+
+    The counts by column have few keys each; only they are put together in one row.
+    """
+    html = poison.where(F.col("class") == "html")
+    one = lambda df, figure, key, value: df.select(F.lit(figure).alias("figure"), F.col(key).cast("string").alias("key"), value.cast("string").alias("value"))
+    parts = [one(html.where(F.col(c).isNotNull()).groupBy(c).count(), name, c, F.col("count")) for name, c in figures.items()]
+    days = ledger.groupBy(day).agg(F.count("*").alias("y")).join(html.groupBy(day).agg(F.count("*").alias("x")), day, "left")
+    parts.append(one(days, "day", day, F.concat_ws("/", F.coalesce("x", F.lit(0)).cast("string"), F.col("y").cast("string"))))
+    for name, df, value in (("ledger", ledger, F.count("*")), ("poison", poison, F.count("*")), ("html", html, F.count("*")), ("html_bytes", html, F.coalesce(F.sum(size), F.lit(0)))):
+        parts.append(one(df.agg(value.alias("v")).withColumn("k", F.lit(name)), "rows", "k", F.col("v")))
+    rows = reduce(DataFrame.unionByName, parts)
+    each = rows.groupBy("figure").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
+    return each.groupBy().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("figure", F.to_json("m").alias("m"))))).alias("s")).select(
+        F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries("s"), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"])), ","), F.lit("}")).alias("stats")
+    )

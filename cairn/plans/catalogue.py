@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairn.sources.sinks import shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,13 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder. Where none is set, a local session gets a temporary one; on a cluster that is an error."""
-    sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir")
-    if shared is None and not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{(shared or tempfile.mkdtemp(prefix='cairn-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+folder = shared_folder
 
 
-from . import audit, collect, control, inputs, reports, sdc, search, streams, texts, wiki  # noqa: E402, F401
+from . import audit, collect, control, inputs, reports, sdc, search, stats, streams, texts, trees, wiki  # noqa: E402, F401

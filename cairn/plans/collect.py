@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import text
-from cairn.operators import gates
+from cairn.operators import control, gates
 from cairn.operators.relational import append_new, batches, decile, first_wins, global_rank, index_percentiles, prefix_route, stride_shard
 
-from .catalogue import query, table
+from .catalogue import folder, query, table
 
 
 @query("SELECT doc_id, sha2, source FROM (SELECT doc_id, sha256(text) AS sha2, source FROM documents) QUALIFY row_number() OVER (PARTITION BY sha2, source ORDER BY doc_id) = 1")
@@ -130,3 +130,33 @@ def backfill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sha = F.when(F.col("o_custkey") % 9 == 0, "other").otherwise("same")
     outcome = gates.backfill_outcome(F.col("o_orderstatus") == "F", F.lit(False), error, F.col("o_totalprice"), 300_000, sha, F.lit("same"))
     return table(spark, sf_dir, "orders").select("o_orderkey", outcome.alias("outcome"))
+
+
+@query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS r FROM documents) WHERE r >= 7 AND (r - 7) % 3 = 1 AND (r - 7) // 3 < 40")
+def stride_with_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stride of three over the documents by size, after an offset of seven, forty of them (both are the feature)."""
+    ranked = global_rank(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", ["doc_id"], "r")
+    return stride_shard(ranked, "r", 1, 3, offset=7, limit=40, before=True).select("doc_id")
+
+
+@query("""
+    WITH n AS (SELECT source, count(*) AS n, least(count(*), 60) AS c FROM documents GROUP BY source)
+    SELECT pass, source FROM n, (SELECT unnest([1, 2, 3, 4]) AS pass) WHERE n.c > (pass - 1) * 20""")
+def passes_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources that each of at most four passes still takes up, until each has as many documents as it can have: a pass brings twenty."""
+    counts = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("name")).agg(F.count("*").alias("n"))
+    wanted = counts.select("name", F.least("n", F.lit(60)).alias("quota"))
+    path = folder(spark, "passes")
+    wanted.limit(0).select("name", F.lit(0).alias("pass")).write.parquet(path)
+    done = 0
+
+    def collect(short: DataFrame) -> None:
+        nonlocal done
+        done += 1
+        short.select("name", F.lit(done).alias("pass")).write.mode("append").parquet(path)
+
+    def coverage() -> DataFrame:
+        return spark.read.parquet(path).groupBy("name").agg((F.count("*") * 20).alias("n"))
+
+    control.retry_until_covered(collect, coverage, wanted, 4)
+    return spark.read.parquet(path).select("pass", F.col("name").alias("source"))

@@ -48,11 +48,13 @@ def triple_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id AS page_id, 'T' || doc_id AS title, CASE WHEN doc_id % 4 = 0 THEN 'T0' END AS redirect, CASE WHEN doc_id % 5 = 0 THEN md5('') ELSE md5(trim(replace(text, chr(10), ' '))) END AS text_md5, doc_id + 7 AS revision_id FROM documents WHERE doc_id % 3 <> 0""")
+    SELECT doc_id AS page_id, 'T' || doc_id AS title, CASE WHEN doc_id % 4 = 0 THEN 'T0' END AS redirect, CASE WHEN doc_id % 5 = 0 THEN md5('') ELSE md5(text) END AS text_md5, doc_id + 7 AS revision_id FROM documents WHERE doc_id % 3 <> 0""")
 def dump_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of an XML dump; every third is of another namespace, every fourth redirects, every fifth has no text."""
     d = F.col("doc_id")
-    escaped = F.replace(F.replace(F.trim(F.replace("text", F.lit("\n"), F.lit(" "))), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    escaped = F.col("text")
+    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), ("\r", "&#13;")):
+        escaped = F.replace(escaped, F.lit(plain), F.lit(coded))
     body = F.when(d % 5 == 0, "").otherwise(F.concat(F.lit('<text xml:space="preserve">'), escaped, F.lit("</text>")))
     page = F.concat(
         F.lit("<page><title>T"), d, F.lit("</title><ns>"), F.when(d % 3 == 0, "1").otherwise("0"), F.lit("</ns><id>"), d, F.lit("</id>"), F.when(d % 4 == 0, '<redirect title="T0" />').otherwise(""),
@@ -99,11 +101,11 @@ def dump_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.sql_dump_tuples(spark, path)
 
 
-@query("SELECT lang || '/' || source AS rel, 1 AS files, sum(strlen(text))::BIGINT AS size FROM documents WHERE NOT contains(text, chr(13)) GROUP BY 1")
+@query("SELECT lang || '/' || source AS rel, 1 AS files, sum(strlen(text))::BIGINT AS size FROM documents GROUP BY 1")
 def inventory_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files under a folder of folders, by their path in it; those of one name in two folders stay apart."""
     path = folder(spark, "lake")
-    parts = table(spark, sf_dir, "documents").where("NOT contains(text, chr(13))").groupBy("lang", "source").agg(F.array_join(F.collect_list("text"), "").alias("value"))
+    parts = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.array_join(F.collect_list("text"), "").alias("value"))
     parts.repartition("lang", "source").write.partitionBy("lang", "source").option("lineSep", "\x01").text(path)
     found = readers.inventory(spark, path).where("rel LIKE '%part-%'")
     shown = F.concat_ws("/", F.regexp_extract("rel", "lang=([^/]*)/", 1), F.regexp_extract("rel", "source=([^/]*)/", 1))
@@ -182,3 +184,32 @@ def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Authors without the tags around them."""
     tagged = F.concat(F.lit(' <a href="x">'), "source", F.lit(" <i>"), "lang", F.lit("</i></a> "))
     return table(spark, sf_dir, "documents").select("doc_id", text.drop_tags(tagged).alias("author"))
+
+
+@query("""
+    WITH v AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS r FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT 'f' || o_orderkey AS fname, 'M' || o_custkey AS mid, 'Q1:r' AS pairs, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey ELSE 0 END AS size FROM v WHERE r % 4 = 1""")
+def fetch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shard of four of a fetch list, by place among its valid lines; every fifth line is short, two of three have no size."""
+    n = F.col("o_orderkey")
+    size = F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, "big")
+    whole = F.concat_ws("\t", F.concat(F.lit("f"), n), F.concat(F.lit("M"), F.col("o_custkey")), F.lit("Q1:r"), size)
+    path = folder(spark, "fetch")
+    lines = table(spark, sf_dir, "orders").select(n, F.when(n % 5 == 0, F.concat(F.lit("short\t"), n)).otherwise(whole).alias("value"))
+    lines.coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    return readers.fetch_list(spark, path, 1, 4)
+
+
+@query("""
+    SELECT 'T' || doc_id AS title, md5(text) AS text_md5, array_to_string(list_transform(range(0, least(6, doc_id % 8 + 1)::INT), lambda i: 'F' || i || '.jpg'), ',') AS files FROM documents WHERE doc_id % 8 < 6
+    UNION ALL SELECT 'T' || doc_id, md5(left(text, (length(text) // 8)::INT * 6)), 'F0.jpg,F1.jpg,F2.jpg,F3.jpg,F4.jpg,F5.jpg' FROM documents WHERE doc_id % 8 >= 6""")
+def continued_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages put together from rounds: whole texts in up to six parts, and the first six of eight parts."""
+    rounds = (F.col("doc_id") % 8 + 1).cast("int")
+    n = F.when(rounds > 6, 8).otherwise(rounds)
+    step = F.floor(F.length("text") / n).cast("int")
+    last = F.col("round") == n - 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(0), n - 1)).alias("round"))
+    part = F.when(last, F.substr(F.col("text"), F.col("round") * step + 1)).otherwise(F.substr(F.col("text"), F.col("round") * step + 1, step))
+    told = docs.select(F.floor(F.col("doc_id") / 50).alias("batch"), "round", F.concat(F.lit("T"), "doc_id").alias("title"), F.array(F.concat(F.lit("F"), "round", F.lit(".jpg"))).alias("files"), part.alias("text"))
+    return tasks.merged_rounds(told).select("title", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.array_join("files", ",").alias("files"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairn.functions import text
 from cairn.sources import sinks
 from cairn.sources.tail import TailSource
-from cairn.streaming import streams, timers
+from cairn.streaming import cache, streams
 
 from .catalogue import folder, query, table
 
@@ -76,3 +76,50 @@ def tail_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         following.processAllAvailable()
         following.stop()
     return spark.read.parquet(path)
+
+
+@query("""
+    WITH o AS (SELECT event_id, least(2, epoch_ms(ts - lo) // 864000000) AS batch, event_type AS context, ts, CASE WHEN event_id % 3 = 0 THEN 'get' ELSE 'set' END AS op, (user_id % 20)::VARCHAR AS key, event_id::VARCHAR AS value,
+        (event_id % 5 + 1) * 86400 AS ttl FROM events, (SELECT min(ts) AS lo FROM events))
+    SELECT g.event_id AS id, g.context, g.key, arg_max_null(CASE WHEN epoch_ms(s.ts) + s.ttl * 1000 > epoch_ms(g.ts) THEN s.value END, (epoch_ms(s.ts), s.value)) AS value
+    FROM o g LEFT JOIN o s ON g.context = s.context AND g.key = s.key AND s.op = 'set' AND s.batch <= g.batch WHERE g.op = 'get' GROUP BY ALL""")
+def stream_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a cache by event type answers to every third event over three batches: entries live for one to five days, and null stands for none."""
+    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    low = events.agg(F.min("at")).first()[0]
+    rows = events.select(
+        F.col("event_type").alias("context"), "at", F.when(F.col("event_id") % 3 == 0, "get").otherwise("set").alias("op"), F.col("event_id").alias("id"), (F.col("user_id") % 20).cast("string").alias("key"),
+        F.col("event_id").cast("string").alias("value"), ((F.col("event_id") % 5 + 1) * 86_400).alias("ttl"), F.least(F.lit(2), F.floor((F.unix_millis("at") - F.unix_millis(F.lit(low))) / 864_000_000)).alias("batch"),
+    )
+    path = folder(spark, "asked")
+    for k in range(3):
+        rows.where(F.col("batch") == k).coalesce(1).write.mode("append").parquet(path)  # a file a batch
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path).withWatermark("at", "1 day")
+    return _drained(cache.cached(stream), "answers")
+
+
+@query("SELECT event_type, user_id % 10 AS part, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
+def hourly_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that three rounds leave, the second broken off in each of its steps and run again; every round brings new files and some rows again."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 10).alias("part"))
+    source, ledger, counts, offsets = (folder(spark, name) for name in ("source", "ledger", "counts", "offsets"))
+    rows.limit(0).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+
+    class Broken(Exception):
+        pass
+
+    for k in range(3):
+        rows.where(f"event_id % 3 = {k} OR event_id % 50 = 0").write.mode("append").parquet(source)
+        for at in ("ledger", "counting", "counted", None) if k == 1 else (None,):
+
+            def step(name: str, at=at) -> None:
+                if name == at:
+                    raise Broken(name)
+
+            try:
+                streams.cycle(stream, ledger, ["event_id"], ["event_id"], counts, ["event_type", "part"], offsets, step)
+            except Exception as e:
+                if "Broken" not in repr(e) and "Broken" not in str(e):
+                    raise
+    return spark.read.parquet(counts).drop("batch")

@@ -55,7 +55,7 @@ for _pattern, _by in (
     ("<[^>]*>", "''"),
 ):
     VISIBLE = f"regexp_replace({VISIBLE}, '{_pattern}', {_by}, 'g')"
-for _coded, _plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
+for _coded, _plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):  # those that pages have
     VISIBLE = f"replace({VISIBLE}, '{_coded}', '{_plain}')"
 
 _STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
@@ -143,9 +143,9 @@ def size_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", F.right("clock", F.lit(5)).alias("tail"), text.seconds_of(F.col("clock")).alias("seconds"))
 
 
-@query("SELECT o_orderkey, left(md5(name), 1) || '/' || left(md5(name), 2) || '/' || name AS path FROM (SELECT o_orderkey, 'F-' || o_orderkey || '.jpg' AS name FROM orders)")
+@query("SELECT o_orderkey, left(md5(name), 1) || '/' || left(md5(name), 2) || '/' || replace(name, '*', '%2A') AS path FROM (SELECT o_orderkey, 'F~*' || o_orderkey || '.jpg' AS name FROM orders)")
 def upload_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.upload_path(F.concat(F.lit("F-"), F.col("o_orderkey"), F.lit(".jpg"))).alias("path"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.upload_path(F.concat(F.lit("F~*"), F.col("o_orderkey"), F.lit(".jpg"))).alias("path"))
 
 
 _TRIPLE = "CASE o_orderkey % 3 WHEN 0 THEN {} WHEN 1 THEN {} ELSE {} END"
@@ -153,9 +153,9 @@ _TRIPLE = "CASE o_orderkey % 3 WHEN 0 THEN {} WHEN 1 THEN {} ELSE {} END"
 
 @query(f"""
     SELECT o_orderkey, {_TRIPLE.format("'Q' || o_orderkey", "o_orderpriority || '\"'", "'http://x/' || o_orderkey")} AS value, {_TRIPLE.format("'A+' || o_orderkey || ' c.jpg'", "'plain ' || o_orderkey", "'b.png'")} AS file,
-        'https://en.wikipedia.org/wiki/A_' || o_orderkey || '/%C3%A9' AS page, {_TRIPLE.format("'jpg'", "'bin'", "'png'")} AS extension, 'a ' || o_orderkey AS title_key,
+        'https://en.wikipedia.org/wiki/A_' || o_orderkey || '/%C3%A9%2A~' AS page, {_TRIPLE.format("'jpg'", "'bin'", "'png'")} AS extension, 'a ' || o_orderkey AS title_key,
         {_TRIPLE.format("'10.1234/x' || o_orderkey", "'10.55555/y'", "NULL")} AS doi, {_TRIPLE.format("'JPG'", "'SVG'", "NULL")} AS format, strftime(TIMESTAMP '1970-01-01' + to_days((o_orderkey % 20000)::INT), '%m-%d') AS day,
-        (o_orderkey % 4000) AS width, {_TRIPLE.format("o_orderkey % 300", "NULL", "NULL")}::INT AS number, {_TRIPLE.format("'bing'", "'searx_x'", "'other'")} AS source FROM orders""")
+        (o_orderkey % 4000) AS width, {_TRIPLE.format("o_orderkey % 300", "NULL", "NULL")}::INT AS number, {_TRIPLE.format("'bing'", "'meta_x'", "'other'")} AS source FROM orders""")
 def file_and_link_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of triples, file names, page addresses, identifiers, formats and numbers, read from texts made for each order."""
     kind, n = F.col("o_orderkey") % 3, F.col("o_orderkey").cast("string")
@@ -166,11 +166,11 @@ def file_and_link_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     paper = of(cat(lit("https://d.org/10.1234/x"), n, lit("/full/?a=1")), lit("https://d.org/get?doi=10.55555%2Fy.pdf%2F"), cat(lit("https://d.org/10.1/x"), n))
     alias = {"microsoft_bing": "bing"}
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", text.triple_value(triple).alias("value"), text.file_name(link).alias("file"), text.page_url(lit("en"), cat(lit("A "), n, lit("/é"))).alias("page"),
+        "o_orderkey", text.triple_value(triple).alias("value"), text.file_name(link).alias("file"), text.page_url(lit("en"), cat(lit("A "), n, lit("/é*~"))).alias("page"),
         text.safe_extension(of(lit("x.JPG"), lit("noext"), lit("y.png"))).alias("extension"), text.title_key(cat(lit(" A_"), n)).alias("title_key"), text.doi(paper).alias("doi"),
         text.image_format(of(lit("http://h/a.JPEG?x=1"), lit("http://h/b.svg"), lit("http://h/c"))).alias("format"), text.day_utc(F.col("o_orderkey") % 20000 * 86400).alias("day"),
         text.resolution(cat((F.col("o_orderkey") % 4000).cast("string"), lit(" x 20")))["width"].cast("long").alias("width"), text.int_or_null(of(cat(lit(" "), (F.col("o_orderkey") % 300).cast("string")), lit("x"), lit(None))).alias("number"),
-        text.source_name(of(lit("Microsoft Bing"), lit(" Searx X"), lit("other")), alias).alias("source"),
+        text.source_name(of(lit("Microsoft Bing"), lit(" Meta X"), lit("other")), alias).alias("source"),
     )
 
 
@@ -201,3 +201,22 @@ def knowledge_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.when(d % 2 == 0, F.array(F.lit("Wall"), F.lit("墙"), F.lit("WALL"), F.concat(F.lit("b "), F.col("lang")))).otherwise(none)
     block = text.knowledge_block(F.col("source"), aliases, F.when(d % 3 != 0, F.col("text")))
     return table(spark, sf_dir, "documents").select("doc_id", block.alias("block"), text.latin_aliases(names).alias("latin"))
+
+
+@query("SELECT doc_id, md5(text) AS text_md5 FROM documents")
+def decoded_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts read back whose special and accented characters were written as references, by name, by number and in hexadecimal."""
+    coded = F.col("text")
+    for plain, told in (("&", "&amp;"), ("e", "&#x65;"), ("<", "&lt;"), (">", "&#62;"), ('"', "&quot;"), ("é", "&eacute;"), ("ü", "&#252;"), ("ö", "&#xF6;"), ("ñ", "&ntilde;")):
+        coded = F.replace(coded, F.lit(plain), F.lit(told))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.html_unescape(coded).cast("binary")).alias("text_md5"))
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, text, regexp_extract(text, '^[^\x20\x09-\x0D]+') AS w FROM documents WHERE regexp_matches(text, '^[A-Za-z]{2,}[ \n]'))
+    SELECT doc_id, md5(CASE WHEN contains(text, '<') THEN text ELSE regexp_replace(text, '(?i)\b(' || w || ')\b', '<span class="highlight">\1</span>', 'g') END) AS marked FROM d WHERE NOT regexp_matches(text, '[^\x00-\x7F]')""")
+def highlighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of plain letters with every occurrence of their first word marked."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike("^[A-Za-z]{2,}[ \n]") & ~F.col("text").rlike("[^\\x00-\\x7F]"))
+    first = F.regexp_extract("text", "^[^\\x20\\x09-\\x0D]+", 0)
+    return docs.select("doc_id", F.md5(text.highlight(F.col("text"), F.concat(F.lit("'"), first, F.lit('" ')))).alias("marked"))

@@ -199,16 +199,28 @@ def page_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN page_id % 2 = 0 WHEN page_id % 3 = 1 THEN true ELSE page_id % 4 <> 0 END AS allowed FROM pages")
+#: Robots files: rules shared by agents, cut off by a blank line, of other agents, with codes, without a path; one that could not be read.
+ROBOTS = [
+    ("https://a.org", "# all\nUser-agent: other\nUser-agent: Cairn # us\nAllow: /private/open\nDisallow: /private\n\nUser-agent: *\nDisallow: /"),
+    ("https://b.org", "User-agent: *\nDisallow:\n\nUser-agent: nobody\nDisallow: /\n"),
+    ("http://c.org", "Disallow: /\nuser-agent:*\nCrawl-delay: 3\nDISALLOW: /find%3Fq=\nDisallow\nnoise: x\n\nDisallow: /find\n"),
+    ("http://d.org", None),
+    ("http://e.org", "User-agent: cairn\n\nDisallow: /\nUser-agent: *\nDisallow: /x%2"),
+]
+
+
+@query("""
+    SELECT page_id, CASE page_id % 5 WHEN 0 THEN page_id % 2 = 0 WHEN 1 THEN true WHEN 2 THEN page_id % 4 <> 0 WHEN 3 THEN true ELSE page_id % 2 = 0 END AS allowed FROM pages""")
 def robots_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which addresses a robot may fetch: one host bars a folder but for a part of it, one has no rules, one bars a query."""
+    """Which addresses a robot may fetch by the robots files of five hosts."""
     n = F.col("page_id")
-    url = F.when(n % 3 == 0, F.concat(F.lit("https://a.org/private/"), F.when(n % 2 == 0, "open/").otherwise(""), n)).when(n % 3 == 1, F.concat(F.lit("https://b.org/"), n)).otherwise(
-        F.concat(F.lit("http://c.org/find?q"), F.when(n % 4 == 0, "=").otherwise("/"), n)
-    )
-    rules = [("https://a.org", 0, True, "/private/open"), ("https://a.org", 1, False, "/private"), ("http://c.org", 0, False, "/find?q="), ("http://c.org", 1, False, "")]
-    listed = spark.createDataFrame(rules, "origin string, place int, allow boolean, pattern string")
-    return gates.robots_allowed(table(spark, sf_dir, "pages").select("page_id", url.alias("url")), "url", listed).select("page_id", "allowed")
+    ways = [
+        F.concat(F.lit("https://a.org/private/"), F.when(n % 2 == 0, "open/").otherwise(""), n), F.concat(F.lit("https://b.org/"), n), F.concat(F.lit("http://c.org/find?q"), F.when(n % 4 == 0, "=").otherwise("/"), n),
+        F.concat(F.lit("http://d.org/"), n), F.concat(F.lit("http://e.org/x"), F.when(n % 2 == 0, "/").otherwise("%252"), n),
+    ]
+    pages = table(spark, sf_dir, "pages").select("page_id", F.get(F.array(*ways), (n % 5).cast("int")).alias("url"))
+    files = spark.createDataFrame(ROBOTS, "origin string, body string")
+    return gates.robots_allowed(pages, "url", gates.robots_rules(files, "cairn/1.0")).select("page_id", "allowed")
 
 
 @query("SELECT page_id, url FROM pages WHERE regexp_extract(lower(url), '://([^/?#:]*)', 1) NOT IN (SELECT min(regexp_extract(lower(url), '://([^/?#:]*)', 1)) FROM pages)")

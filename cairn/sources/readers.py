@@ -37,7 +37,7 @@ def triples(spark: SparkSession, path: str, predicates: list[str]) -> DataFrame:
 def wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     """Pages of namespace 0 of an XML dump, plain or bz2: (page_id, title, redirect, text, revision_id, timestamp)."""
     schema = "title string, ns int, id long, redirect struct<_title:string>, revision struct<id:long,timestamp:string,text:struct<_VALUE:string>>"
-    pages = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    pages = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", False).schema(schema).load(path)
     return pages.where("ns = 0").select(
         F.col("id").alias("page_id"), "title", F.col("redirect._title").alias("redirect"), F.coalesce("revision.text._VALUE", F.lit("")).alias("text"),
         F.col("revision.id").alias("revision_id"), F.col("revision.timestamp").alias("timestamp"),
@@ -140,6 +140,23 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return known.select(F.col("span.file_path").alias("file"), F.coalesce(checked, F.col("at") - F.col("first") + F.col("before")).alias("line"), "value")
 
 
+def fetch_list(spark: SparkSession, path: str, shard: int = 0, shards: int = 1) -> DataFrame:
+    """(fname, mid, pairs, size) of a shard of a fetch list: tab-separated lines of three columns or more; every `shards`-th of these by their place in their file, from `shard` on. Size is 0 where the fourth is no number.
+
+    Valid lines are numbered within the range of the file that holds them, and the counts of the ranges before are added.
+    """
+    parts = F.split("value", "\t")
+    span = F.struct("_metadata.file_path", "_metadata.file_block_start")
+    lines = spark.read.text(path).select(span.alias("span"), parts.alias("p"), F.monotonically_increasing_id().alias("at")).where(F.size("p") >= 3)
+    before = Window.partitionBy("span.file_path").orderBy("span.file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("span").agg(F.count("*").alias("n")).select(F.col("span").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("span").orderBy("at")) - 1
+    numbered = lines.withColumn("place", place).join(F.broadcast(counts), F.col("span") == F.col("of"))  # a row a range
+    mine = numbered.where((F.col("place") + F.col("before")) % shards == shard)
+    size = F.when(F.get("p", F.lit(3)).rlike("^[0-9]+$"), F.get("p", F.lit(3)).try_cast("long"))
+    return mine.select(F.col("p")[0].alias("fname"), F.col("p")[1].alias("mid"), F.col("p")[2].alias("pairs"), F.coalesce(size, F.lit(0)).alias("size"))
+
+
 def telemetry(spark: SparkSession, path: str, machine: str = "([^/]+?)(?:\\.[^./]*)?$") -> DataFrame:
     """(machine, engine, attempts, results, error_rate): the snapshots, a JSON file each, of a folder; `machine` finds the machine's name in the file's. Broken files give no row."""
     shape = "engines map<string,struct<attempts:long,results:long,error_rate:double>>"

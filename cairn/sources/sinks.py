@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,15 @@ from pyspark.sql import functions as F
 from cairn.operators.relational import append_new
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder. Where none is set, a local session gets a temporary one; on a cluster that is an error."""
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir")
+    if shared is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{(shared or tempfile.mkdtemp(prefix='cairn-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ledger_or_empty(df: DataFrame, path: str) -> DataFrame:
     """The Parquet ledger at `path`, or an empty one with the columns of `df` where there is none yet."""
     try:
@@ -22,8 +33,9 @@ def ledger_or_empty(df: DataFrame, path: str) -> DataFrame:
 
 
 def append_manifest(df: DataFrame, path: str, keys: list[str], order: list[str], required: tuple[str, ...] = ()) -> None:
-    """Append the rows whose key the ledger lacks, the first of each; rows without a key or a required column are refused. Running it again appends nothing."""
-    complete = df.dropna(subset=[*keys, *required])
+    """Append the rows whose key the ledger lacks, the first of each; rows with a null or blank key or required column are refused. Running it again appends nothing."""
+    full = lambda c: (F.trim(F.col(c)) != "") if df.schema[c].dataType.simpleString() == "string" else F.col(c).isNotNull()
+    complete = df.where(reduce(lambda a, b: a & b, map(full, [*keys, *required])))
     append_new(ledger_or_empty(df, path), complete, keys, order).write.mode("append").parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from cairn.operators.relational import append_new
-from cairn.sources.sinks import ledger_or_empty
+from cairn.sources.sinks import ledger_or_empty, recover_table, replace_table
 
 
 def merge_stream(stream: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str, batches: bool = False):
@@ -68,6 +68,32 @@ def stalls(samples: DataFrame, host: str, at: str, rows: str, restarts: str) ->
     })
 
 
+def cycle(source: DataFrame, ledger: str, keys: list[str], order: list[str], table: str, by: list[str], offsets: str, step: Callable[[str], None] = lambda _: None) -> None:
+    """One round of a recurring run: new rows of a source go to a ledger, new rows of the ledger into a table of counts by `by`; both streams take what there is and end.
+
+    Each has its own offsets under `offsets`. The ledger takes a key once. The table keeps in `batch` the last batch that
+    it has in it and is replaced as a whole, so a batch that is replayed changes nothing. A round
+    that breaks off anywhere is made good by the next. `step` is called with the name of each step that is done.
+    """
+    spark = source.sparkSession
+    merge_stream(source, ledger, keys, order, f"{offsets}/ledger").awaitTermination()
+    step("ledger")
+
+    def count(batch: DataFrame, n: int) -> None:
+        recover_table(spark, table)
+        new = batch.groupBy(*by).agg(F.count("*").alias("n"))
+        old = ledger_or_empty(new.withColumn("batch", F.lit(n).cast("long")), table)
+        if (old.agg(F.max("batch")).first()[0] if not old.isEmpty() else -1) >= n:
+            return
+        step("counting")
+        replace_table(old.drop("batch").unionByName(new).groupBy(*by).agg(F.sum("n").alias("n")).withColumn("batch", F.lit(n).cast("long")), table)
+        step("counted")
+
+    rows = spark.readStream.schema(spark.read.parquet(ledger).schema).parquet(ledger)
+    rows.writeStream.foreachBatch(count).option("checkpointLocation", f"{offsets}/table").trigger(availableNow=True).start().awaitTermination()
+    step("table")
+
+
 def memory_breach(committed: Column, total: Column, free_mb: Column) -> Column:
     """Whether a host is short of memory: over 1.2 of it promised, or under 500 MB free."""
     return F.coalesce((total > 0) & (committed / total > 1.2), F.lit(False)) | F.coalesce(free_mb < 500, F.lit(False))
