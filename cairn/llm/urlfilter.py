@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import HOT_SHARE, free_name, materialize
 
 WORDS, WORD_BITS, BITS_A_URL = 8, 64, 16
 #: Blocks have 80 bytes in a broadcast; a filter of at most so many is broadcast, a larger one joined by shuffle.
@@ -74,12 +74,25 @@ def build_filter(listed: DataFrame, url: str, n_listed: int) -> tuple[DataFrame,
     return listed.groupBy(_block(F.col(url), blocks).alias("block")).agg(*words), blocks
 
 
+def _probed(df: DataFrame, blocks: DataFrame, n: int, hit: str) -> DataFrame:
+    """Add `hit`: whether the filter of `n` blocks may hold the row's `canonical_url`."""
+    block = free_name(df, "bloom_block")
+    words = blocks.withColumnsRenamed({"block": f"{block}_"} | {f"w{i}": f"{block}_{i}" for i in range(WORDS)})
+    out, every = df.withColumn(block, _block(F.col("canonical_url"), n)).join(words, F.col(block) == F.col(f"{block}_"), "left"), F.lit(True)
+    for i in range(WORDS):
+        bit = _bit(F.col("canonical_url"), i)
+        every = every & (F.col(f"{block}_{i}").bitwiseAND(bit) == bit)
+    return out.withColumn(hit, F.coalesce(every, F.lit(False)) & F.col("canonical_url").isNotNull()).drop(block, *words.columns)
+
+
 def filter_urls(df: DataFrame, url: str, listed: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """Add host, path, canonical_url, rule, listed (boolean) and verdict (allow or block).
 
     `listed` has one column, canonical URLs; nulls, repeats and an empty list are allowed.
     The verdict is the rule's where one fits, else block for listed URLs and allow for the
-    rest. Null URLs and those without `://` have empty host and path and are allowed. Rows
+    rest. Possible hits are counted by address before they meet the list, so each address meets it
+    once; listed addresses with many rows are broadcast, and only the rows of the others are shuffled. Where
+    the filter is too large to broadcast, addresses are probed, not rows. Null URLs and those without `://` have empty host and path and are allowed. Rows
     repeat independently; an empty table gives an empty result; columns with the added
     names are replaced.
     """
@@ -87,21 +100,22 @@ def filter_urls(df: DataFrame, url: str, listed: DataFrame, rules: list[tuple[st
     key = free_name(df, "listed_url")
     listed = materialize(listed.toDF(key).where(F.col(key).isNotNull()).distinct())
     blocks, n = build_filter(listed, key, listed.count())
-    blocks = F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks
     taken = df.select("*", host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), canonical(F.col(url)).alias("canonical_url"))
-    block, found, hit = (free_name(taken, x) for x in ("bloom_block", "bloom_rule", "bloom_hit"))
+    found, hit, hot, known, rows = (free_name(taken, x) for x in ("bloom_rule", "bloom_hit", "hot_url", "known_url", "url_rows"))
     taken = taken.withColumn(found, rule_for(F.col("host"), F.col("path"), rules))
-    probed = taken.withColumn(block, _block(F.col("canonical_url"), n)).join(blocks.withColumnRenamed("block", f"{block}_"), F.col(block) == F.col(f"{block}_"), "left")
-    every = F.lit(True)
-    for i in range(WORDS):
-        bit = _bit(F.col("canonical_url"), i)
-        every = every & (blocks[f"w{i}"].bitwiseAND(bit) == bit)
-    probed = probed.withColumn(hit, F.coalesce(every, F.lit(False)) & F.col("canonical_url").isNotNull())
-    keep = [*[F.col(c) for c in taken.columns], F.col(hit)]
-    probed = probed.select(*keep)
-    possible = probed.where(F.col(hit)).join(listed, F.col("canonical_url") == F.col(key), "left")
-    possible = possible.withColumn("listed", F.col(key).isNotNull()).drop(key)
-    rest = probed.where(~F.col(hit)).withColumn("listed", F.lit(False))
+    small = n <= BROADCAST_BLOCKS
+    taken = _probed(taken, F.broadcast(blocks), n, hit) if small else taken.withColumn(hit, F.col("canonical_url").isNotNull())
+
+    urls = taken.where(hit).groupBy("canonical_url").agg(F.count("*").alias(rows))
+    urls = urls if small else _probed(urls, blocks, n, hit).where(hit)
+    exact = materialize(urls.join(listed, F.col("canonical_url") == F.col(key)).select(F.col(key).alias(known), rows))
+    bound = (exact.agg(F.sum(rows)).first()[0] or 0) * HOT_SHARE
+    heavy = F.broadcast(exact.where(F.col(rows) > bound).select(F.col(known).alias(hot)))  # 4096 at most
+    light = exact.where(F.col(rows) <= bound).select(known)
+    taken = taken.join(heavy, F.col("canonical_url") == F.col(hot), "left").withColumn(hot, F.col(hot).isNotNull())
+    open_ = F.col(hit) & ~F.col(hot)
+    checked = taken.where(open_).join(light, F.col("canonical_url") == F.col(known), "left").withColumn("listed", F.col(known).isNotNull()).drop(known)
+    out = checked.unionByName(taken.where(~open_).withColumn("listed", F.col(hot)))
     verdict = F.coalesce(F.col(found)["verdict"], F.when(F.col("listed"), "block").otherwise("allow"))
-    out = possible.unionByName(rest).withColumns({"rule": F.col(found)["rule"], "verdict": verdict})
+    out = out.withColumns({"rule": F.col(found)["rule"], "verdict": verdict})
     return out.select(*df.columns, "host", "path", "canonical_url", "rule", "listed", "verdict")

@@ -499,3 +499,19 @@ def test_pipeline_stages_on_odd_rows(spark, odd, k):
         out = stage(spark, docs, SF)
         out.collect()
         assert name == "sharding" or out.columns == odd.columns
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_url_filter_with_one_address_on_nine_of_ten_rows(spark, monkeypatch, most):
+    """A listed and an unlisted address with many rows each, in both ways of probing; the list has false positives' neighbours, repeats and a null."""
+    monkeypatch.setattr(urlfilter, "BROADCAST_BLOCKS", most)
+    urls = ["http://hot.org/x"] * 5000 + ["http://cold.org/y?b=1&a=2"] * 3000 + [f"http://h{i}.org/p/{i % 7}" for i in range(500)] + [None, "no scheme", ""]
+    df = spark.createDataFrame([(i, u, "k", 1) for i, u in enumerate(urls)], "page_id int, url string, known_url string, bloom_hit int").repartition(6)
+    canon = {u: r[0] for u in set(urls) for r in [spark.range(1).select(urlfilter.canonical(F.lit(u).cast("string"))).first()]} if most == 0 else None
+    listed = spark.createDataFrame([("hot.org/x",), ("hot.org/x",), (None,), *[(f"h{i}.org/p/{i % 7}",) for i in range(0, 500, 3)], *[(f"other{i}",) for i in range(3000)]], "u string")
+    got = urlfilter.filter_urls(df, "url", listed, [("allow", "h3.org/")]).collect()
+    assert len(got) == len(urls) and {r.known_url for r in got} == {"k"}
+    for r in got:
+        want = r.url == "http://hot.org/x" or (r.url or "").startswith("http://h") and r.page_id >= 8000 and (r.page_id - 8000) % 3 == 0
+        assert r.listed == want and r.verdict == ("allow" if r.host == "h3.org" or not want else "block")
+    assert canon is None or canon["http://hot.org/x"] == "hot.org/x"
