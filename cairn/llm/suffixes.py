@@ -209,9 +209,8 @@ def splitters(texts: DataFrame, suffixes: int) -> np.ndarray:
     buckets = max(1, min(BUCKETS, -(-suffixes // SUFFIXES)))
     if buckets == 1:
         return np.zeros(0, f"S{LEAD}")
-    n = texts.count()
+    n, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()
     share = min(1.0, 64 * buckets / max(1, n))
-    size = texts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     each = min(1.0, 2 * SAMPLED * buckets / max(1.0, size * share * 2 / (WIDTH - GRAM)))
 
     def leads(batches):
@@ -242,6 +241,21 @@ def union(runs: list) -> list[tuple[int, int]]:
 RUN = "doc long, tie long, first long, last long"
 
 
+def hot_runs_of(spans: DataFrame) -> DataFrame:
+    """Runs (doc, tie, first, last) of the windows of hot grams' spans that start earlier too, grouped by the cluster: equal spans are one row from here on, the others of a span repeats as a whole."""
+    at = F.struct("doc", "tie", "first")
+    hot = spans.select(at.alias("at"), "span")
+    distinct = hot.groupBy("span").agg(F.min("at").alias("earliest"))
+    repeats = hot.join(distinct.withColumnRenamed("span", "same"), F.col("span") == F.col("same")).where("at != earliest")
+    whole_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).alias("last"))
+
+    windows = distinct.select("earliest.doc", "earliest.tie", "earliest.first", "span")
+    windows = windows.mapInPandas(_windows, "doc long, tie long, first long, window binary").select(at.alias("at"), "window")
+    earliest = windows.groupBy(F.col("window").alias("same")).agg(F.min("at").alias("earliest"))
+    later = windows.join(earliest, F.col("window") == F.col("same")).where("at != earliest")
+    return whole_runs.unionByName(later.select("at.doc", "at.tie", "at.first", F.col("at.first").alias("last")))
+
+
 def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, removed array of [start, end) byte ranges, kept binary), a row for each row of `df`.
 
@@ -311,20 +325,9 @@ def remove_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     # A common gram has a bucket of its own, cut out of the range that its bytes lie in.
     cuts = spark.sparkContext.broadcast((splitters(long, total["cold"] or 0), np.sort(np.array([r[0] for r in common.collect()], np.int64))))
     cold_runs = spans(False).groupBy("bucket").applyInPandas(_compare, RUN)
-    # Hot grams: equal spans are one row from here on; the others of a span are repeats as a whole.
-    at = F.struct("doc", "tie", "first")
-    hot = spans(True).select(at.alias("at"), "span")
-    distinct = hot.groupBy("span").agg(F.min("at").alias("earliest"))
-    repeats = hot.join(distinct.withColumnRenamed("span", "same"), F.col("span") == F.col("same")).where("at != earliest")
-    hot_runs = repeats.select("at.doc", "at.tie", "at.first", (F.col("at.first") + F.length("span") - WIDTH).alias("last"))
-
-    windows = distinct.select("earliest.doc", "earliest.tie", "earliest.first", "span")
-    windows = windows.mapInPandas(_windows, "doc long, tie long, first long, window binary").select(at.alias("at"), "window")
-    earliest = windows.groupBy(F.col("window").alias("same")).agg(F.min("at").alias("earliest"))
-    later = windows.join(earliest, F.col("window") == F.col("same")).where("at != earliest")
-    window_runs = later.select("at.doc", "at.tie", "at.first", F.col("at.first").alias("last"))
-
-    runs = cold_runs.unionByName(hot_runs).unionByName(window_runs).unionByName(copy_runs)
+    runs = cold_runs.unionByName(copy_runs)
+    if total["all"] != total["cold"]:  # else no gram is hot
+        runs = runs.unionByName(hot_runs_of(spans(True)))
     runs = runs.groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
     @F.pandas_udf("struct<n_removed:long,n_spans:long,removed:array<array<int>>,kept:binary>")

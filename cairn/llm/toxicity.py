@@ -223,8 +223,14 @@ def priors(names: list[str]) -> np.ndarray:
     return np.array([(PRIOR_CLEAN if n in CLEAN else PRIOR)[::-1] for n in names]).reshape(-1, 2).T
 
 
-def sums(sets: DataFrame, of, size: int) -> np.ndarray:
-    """The sum over all batches of `sets` of the vectors of `size` numbers that `of` makes of each; zeros are not moved."""
+#: So many distinct vote sets, of a few numbers each, are gathered and fitted in memory; more stay a table, over which each round is a job.
+HELD = 1 << 16
+
+
+def sums(sets: DataFrame | pd.DataFrame, of, size: int) -> np.ndarray:
+    """The sum over all batches of `sets`, a table or gathered, of the vectors of `size` numbers that `of` makes of each; zeros are not moved."""
+    if isinstance(sets, pd.DataFrame):
+        return sum((of(sets.iloc[i : i + 4096]) for i in range(0, len(sets), 4096)), np.zeros(size))
 
     def parts(batches):
         for pdf in batches:
@@ -238,7 +244,7 @@ def sums(sets: DataFrame, of, size: int) -> np.ndarray:
     return out
 
 
-def maximise(sets: DataFrame, model: LabelModel, names: list[str], rounds: int = ROUNDS) -> LabelModel:
+def maximise(sets: DataFrame | pd.DataFrame, model: LabelModel, names: list[str], rounds: int = ROUNDS) -> LabelModel:
     """Expectation maximisation from `model` on, with its correlations as they are."""
     v, prior = len(names), priors(names)
 
@@ -264,7 +270,7 @@ def maximise(sets: DataFrame, model: LabelModel, names: list[str], rounds: int =
     return model
 
 
-def correlations(sets: DataFrame, model: LabelModel, least: float = 0.05) -> np.ndarray:
+def correlations(sets: DataFrame | pd.DataFrame, model: LabelModel, least: float = 0.05) -> np.ndarray:
     """For each voter that on which it leans, or -1: a maximum spanning forest over the voters' mutual information given the class.
 
     Only pairs whose correlation within a class is `least` or more count.
@@ -312,7 +318,7 @@ def correlations(sets: DataFrame, model: LabelModel, least: float = 0.05) -> np.
     return leans
 
 
-def label_model(sets: DataFrame, names: list[str]) -> LabelModel:
+def label_model(sets: DataFrame | pd.DataFrame, names: list[str]) -> LabelModel:
     """The model of rows (votes, label, n): first with independent voters, then with the correlations these show."""
     v = len(names)
     model = LabelModel(np.full(v, -1), np.repeat(priors(names)[:, None, :], 2, axis=1), 0.05)
@@ -320,8 +326,31 @@ def label_model(sets: DataFrame, names: list[str]) -> LabelModel:
     return maximise(sets, LabelModel(correlations(sets, model), model.vote, model.share), names)
 
 
-def classifier(sets: DataFrame, model: LabelModel) -> tuple[list[float], float]:
+def fitted_here(sets: pd.DataFrame, model: LabelModel, strength: float = 1e-5) -> tuple[list[float], float]:
+    """The logistic regression of `classifier` on gathered vote sets, by Newton steps: a set as heavy as it is frequent, the weights drawn to zero, the bias not."""
+    v = model.vote.shape[2]
+    known = sets[sets["label"].isna()]
+    x = np.column_stack([spread(known["votes"], v), np.ones(len(known))]).astype(np.float64)
+    n, y = known["n"].to_numpy(np.float64), model.posterior(spread(known["votes"], v))
+    n, ridge, at = n / n.sum(), np.append(np.full(v, strength), 0.0), np.zeros(v + 1)
+    loss = lambda b: float(n @ (np.logaddexp(0, x @ b) - y * (x @ b)) + 0.5 * (ridge * b * b).sum())
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-(x @ at)))
+        slope = x.T @ (n * (p - y)) + ridge * at
+        bend = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-12)
+        step, size = np.linalg.solve(bend, slope), 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        at = at - size * step
+        if np.abs(size * step).max() < 1e-7:
+            break
+    return at[:v].tolist(), float(at[v])
+
+
+def classifier(sets: DataFrame | pd.DataFrame, model: LabelModel) -> tuple[list[float], float]:
     """(weights of the voters, bias): a logistic regression on the posterior labels, a vote set as heavy as it is frequent."""
+    if isinstance(sets, pd.DataFrame):
+        return fitted_here(sets, model)
     v = model.vote.shape[2]
 
     @F.pandas_udf("double")
@@ -374,8 +403,9 @@ def toxicity(df: DataFrame, text: str, labelled: DataFrame, label: str, labelled
         weigh = F.when(F.col("toxic") == y, s * anchor).otherwise(weigh)
     taught = sample.select(vote("text").alias("votes"), F.col("toxic").alias("label"), weigh.alias("w")).groupBy("votes", "label").agg(F.sum("w").alias("n"))
     sets = materialize(seen.select("votes", "label", "n").unionByName(taught.select("votes", "label", "n")))
-    # The rounds read it again and again: partitions by its size, not by those of the shuffle before.
-    sets = sets.coalesce(max(LEAST_PARTS, -(-sets.count() // SETS)))
+    # The rounds read it again and again: in memory if it is small, else in partitions by its size, not by those of the shuffle before.
+    n_sets = sets.count()
+    sets = sets.toPandas() if n_sets <= HELD else sets.coalesce(max(LEAST_PARTS, -(-n_sets // SETS)))
     weights, bias = classifier(sets, label_model(sets, voting.names)) if total else ([0.0] * len(voting.names), 0.0)
     of = F.lit(weights)
     z = F.aggregate(F.col(voted), F.lit(bias), lambda a, j: a + F.element_at(of, j + 1))

@@ -180,16 +180,23 @@ def test_label_model_against_plain_expectation_maximisation(spark):
     assert all(model.vote[k] == pytest.approx(p, abs=1e-7) for k, p in vote.items())
     # The classifier is where its loss has no slope.
     w, bias = toxicity.classifier(sets, model)
+    # Gathered, the vote sets give the same model, and their own fit the same classifier.
+    held = toxicity.label_model(sets.toPandas(), names)
+    assert held.leans.tolist() == leans and np.abs(held.vote - model.vote).max() < 1e-9 and held.share == pytest.approx(model.share)
+    here, here_bias = toxicity.classifier(sets.toPandas(), held)
+    assert np.abs(np.array(here) - w).max() < 2e-2 and abs(here_bias - bias) < 2e-2
     x = toxicity.spread([v for v, _, _ in rows], 6)
     post = model.posterior(x)
     n = np.array([r[2] if r[1] is None else 0.0 for r in rows])
+    slope_here = (n * (1 / (1 + np.exp(-(x @ here + here_bias))) - post)) @ np.column_stack([x, np.ones(len(x))]) / n.sum()
+    assert np.abs(slope_here + 1e-5 * np.append(here, 0)).max() < 1e-9
     slope = (n * (1 / (1 + np.exp(-(x @ w + bias))) - post)) @ np.column_stack([x, np.ones(len(x))]) / n.sum()
     assert np.abs(slope + 1e-5 * np.append(w, 0)).max() < 1e-4
     guess = {tuple(v): p >= 0.5 for (v, _, _), p in zip(rows, post, strict=True)}
     assert np.mean([guess[tuple(j for j in range(6) if votes[j][i])] == y[i] for i in range(3000)]) > 0.95
 
 
-@pytest.mark.parametrize(("sf", "least"), [("0.1", 0.9), ("0.01", 0.6), ("0.001", 0.5)])
+@pytest.mark.parametrize(("sf", "least"), [("0.1", 0.93), ("0.01", 0.64), ("0.001", 0.63)])
 def test_toxicity_on_held_out_labels(spark, sf, least):
     """At the smallest sizes, where few rows are held out, all labelled ones count."""
     path = f"/root/testdata/sf{sf}"
