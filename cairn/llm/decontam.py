@@ -16,6 +16,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,6 +29,8 @@ from .common import free_name, materialize
 PASSAGE, BLOCK, K1, B = 64, 2, 1.2, 0.75
 #: Items and words of one index, about. More make more indexes, each broadcast on its own and searched in turn.
 ITEMS, INDEX_WORDS = 8192, 1 << 20
+#: Distinct texts with hits that are broadcast to meet their rows; more are joined by shuffle.
+BROADCAST_TEXTS = 1 << 15
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -214,19 +218,29 @@ def with_hits(df: DataFrame, text: str, items: DataFrame, item_id: str, question
     found; repeated items count once; items of one id but different texts are judged
     apart. Null and empty texts have no hits. A column called `to` is replaced.
 
-    Where the items make more than one index, the rows are written between two searches,
-    so that driver and workers hold one index at a time.
+    Where the items make more than one index, the texts are read once for each, so that driver and workers
+    hold one index at a time; what is written of each pass are the hits, by the digest of their text, and these
+    are joined to the rows in the end. Equal texts have equal hits.
     """
     kind = items.select(item_id).schema[0].dataType.simpleString()
     schema = f"array<struct<item:{kind},score:double,question_overlap:double,answer_overlap:double>>"
-    df, last = df.drop(to).withColumn(to, F.array().cast(schema)), None
-    for index in indexes(items, item_id, question, answer, theta):
-        if last is not None:
-            df = materialize(df)
-            last.unpersist()
-        last = df.sparkSession.sparkContext.broadcast(index)
-        df = df.withColumn(to, F.concat(to, _search(last, schema, shingle, overlap)(F.col(text))))
-    return df
+    df, none = df.drop(to), F.array().cast(schema)
+    built, sc = indexes(items, item_id, question, answer, theta), df.sparkSession.sparkContext
+    searched = lambda index: _search(index, schema, shingle, overlap)(F.col(text))
+    first, second = next(built, None), next(built, None)
+    if second is None:
+        return df.withColumn(to, none if first is None else searched(sc.broadcast(first)))
+    digest = free_name(df, "text_digest")
+    texts, parts = df.select(F.col(text), F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias("digest")).where(F.col(text).isNotNull()), []
+    for index in chain((first, second), built):
+        shared = sc.broadcast(index)
+        parts.append(materialize(texts.select("digest", searched(shared).alias("found")).where(F.size("found") > 0).dropDuplicates(["digest"])))
+        shared.unpersist()
+    found = reduce(DataFrame.unionByName, parts).groupBy(F.col("digest").alias(digest)).agg(F.array_sort(F.flatten(F.collect_list("found"))).alias(to))  # an array an index
+    found = materialize(found)
+    found = F.broadcast(found) if found.count() <= BROADCAST_TEXTS else found
+    joined = df.join(found, F.unhex(F.sha2(F.col(text).cast("binary"), 256)) == F.col(digest), "left").drop(digest)
+    return joined.withColumn(to, F.coalesce(to, none))
 
 
 def contaminated(df: DataFrame, id_col: str, text: str, items: DataFrame, item_id: str, question: str, answer: str, **params) -> DataFrame:

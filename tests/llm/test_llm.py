@@ -515,3 +515,20 @@ def test_url_filter_with_one_address_on_nine_of_ten_rows(spark, monkeypatch, mos
         want = r.url == "http://hot.org/x" or (r.url or "").startswith("http://h") and r.page_id >= 8000 and (r.page_id - 8000) % 3 == 0
         assert r.listed == want and r.verdict == ("allow" if r.host == "h3.org" or not want else "block")
     assert canon is None or canon["http://hot.org/x"] == "hot.org/x"
+
+
+@pytest.mark.parametrize("most", [1 << 15, 0])
+def test_many_indexes_find_what_one_finds(spark, monkeypatch, documents, odd, most):
+    """Five indexes of eight items or so: the same hits, with repeated, null and clashing rows, whether the texts found are broadcast or shuffled."""
+    items = decontam.question_and_answer(spark.read.parquet(f"{SF}/benchmark.parquet"), "text")
+    leaks = items.select((F.col("item_id") + 10**6).alias("doc_id"), F.concat(F.lit("x "), "text", F.lit(" y")).alias("text"))
+    docs = documents.select("doc_id", "text").unionByName(leaks).unionByName(leaks).unionByName(odd.select("doc_id", "text")).withColumn("digest", F.lit("d"))
+    found = lambda: sorted((r.doc_id if r.doc_id is not None else -1, r.item_id, round(r.question_overlap, 9), round(r.answer_overlap, 9)) for r in decontam.contaminated(docs, "doc_id", "text", items, "item_id", "question", "answer").collect())
+    one = found()
+    kept = decontam.clean(docs, "text", items, "item_id", "question", "answer").count()
+    monkeypatch.setattr(decontam, "ITEMS", 8)
+    monkeypatch.setattr(decontam, "BROADCAST_TEXTS", most)
+    assert len(list(decontam.indexes(items, "item_id", "question", "answer", 0.5))) > 3
+    assert found() == one and len(one) >= 80
+    again = decontam.clean(docs, "text", items, "item_id", "question", "answer")
+    assert again.count() == kept and again.columns == docs.columns
