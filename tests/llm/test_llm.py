@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import math
 import zlib
 from collections import defaultdict
@@ -91,7 +92,9 @@ def test_vantage_point_shards_lose_no_link(spark, monkeypatch):
     assert got == want
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_components_of_a_long_chain(spark, monkeypatch, few):
+    monkeypatch.setattr(importlib.import_module("cairn.llm.components"), "FEW", few)
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(edges, "a", "b").collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
@@ -118,11 +121,13 @@ def plain_keep(docs):
     return sorted(least.values()), len(similar)
 
 
-@pytest.mark.parametrize(("family", "points"), [(8192, 2048), (4, 16)])
-def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents, monkeypatch, family, points):
+@pytest.mark.parametrize(("family", "points", "shingles"), [(8192, 2048, 1 << 20), (4, 16, 1 << 20), (8192, 2048, 2000)])
+def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents, monkeypatch, family, points, shingles):
     """Planted copies with more and more words changed, on both sides of the threshold, in chains and in one large group."""
     monkeypatch.setattr(minhash, "FAMILY", family)
     monkeypatch.setattr(minhash, "POINTS", points)
+    monkeypatch.setattr(minhash, "FAMILY_SHINGLES", 4 * shingles)
+    monkeypatch.setattr(minhash, "POINTS_SHINGLES", shingles)
     rng = np.random.default_rng(6)
     docs = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     def changed(text, n):
