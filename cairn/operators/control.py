@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import global_rank
+from .relational import free_name, global_rank
 
 #: Seconds of a ban after a failure, and the most a ban lasts by default.
 BAN, MOST_BAN = 5, 120
@@ -131,7 +131,18 @@ def retry_until_covered(collect: Callable[[DataFrame], None], coverage: Callable
     return passes
 
 
+def _drawn(key: str, seed: int) -> Column:
+    """What decides a row's place for a seed: a digest that any engine gives alike."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
+
+
 def seeded_order(df: DataFrame, key: str, seed: int, to: str) -> DataFrame:
-    """Add `to`: each row's place in an order that only key and seed decide; a sample of n is `to` < n."""
-    mixed = df.withColumn("_mix", F.xxhash64(F.col(key), F.lit(seed)))
-    return global_rank(mixed, "_mix", [key], to).drop("_mix")
+    """Add `to`: each row's place in an order that only key and seed decide."""
+    drawn = free_name(df, "drawn")
+    return global_rank(df.withColumn(drawn, _drawn(key, seed)), drawn, [key], to).drop(drawn)
+
+
+def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
+    """The first n rows in that order; each task keeps n at most, and no row is ranked."""
+    drawn = free_name(df, "drawn")
+    return df.withColumn(drawn, _drawn(key, seed)).orderBy(drawn, key).limit(n).drop(drawn)

@@ -196,6 +196,6 @@ def robots_allowed(urls: DataFrame, url: str, rules: DataFrame) -> DataFrame:
 
 def not_listed(df: DataFrame, url: str, digests: DataFrame) -> DataFrame:
     """The rows whose host's MD5 is not among `digests` (one column): a blacklist that names no host."""
-    listed = digests.toDF("_digest")
+    md5, digest = free_name(df, "host_md5"), free_name(df, "listed_md5")
     host = F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return df.withColumn("_md5", F.md5(host.cast("binary"))).join(listed, F.col("_md5") == F.col("_digest"), "left_anti").drop("_md5")
+    return df.withColumn(md5, F.md5(host.cast("binary"))).join(digests.toDF(digest), F.col(md5) == F.col(digest), "left_anti").drop(md5)

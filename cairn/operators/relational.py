@@ -42,14 +42,13 @@ def append_new(existing: DataFrame, batch: DataFrame, keys: list[str], order: li
 def global_rank(df: DataFrame, order: str, ties: list[str], to: str, buckets: int = 64) -> DataFrame:
     """Add the 0-based rank of each row in the order of a column and `ties`, null first, without bringing all rows to one task.
 
-    Keys of a sample, some 64 a bucket, cut the rows into buckets by all of these columns, so rows of one
+    Keys of a sample, 64 a bucket, drawn in one pass over the keys, cut the rows into buckets by all of these columns, so rows of one
     common value are parted too; rows are numbered within each bucket, and the sizes of
     the buckets before it are added. Only those sizes are ordered as a whole.
     """
     keys = [order, *[t for t in ties if t != order]]
     kinds = {f.name: f.dataType for f in df.select(*keys).schema}
-    share = min(1.0, 64 * buckets / max(1, df.count()))
-    sample = df.select(F.struct(*keys).alias("k")).sample(fraction=share, seed=7).orderBy("k").collect()
+    sample = df.select(F.struct(*keys).alias("k")).orderBy(F.rand(7)).limit(64 * buckets).orderBy("k").collect()
     cuts = [sample[i * len(sample) // buckets]["k"] for i in range(1, buckets)] if len(sample) > 1 else []
     listed = F.array(*[F.struct(*[F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys]) for c in dict.fromkeys(cuts)])
     bucket = F.size(F.filter(listed, lambda c: c < F.struct(*keys))) if cuts else F.lit(0)

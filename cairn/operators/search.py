@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .relational import first_wins, free_name
+
 #: Results that may join the first of a run, and results in later runs that close it.
 GROUP, DISTANCE = 8, 20
 
@@ -162,8 +164,6 @@ def text_candidates(payloads: DataFrame, k: int) -> DataFrame:
 
 def relevant(pages: DataFrame, concept: str, least: int = 18) -> DataFrame:
     """Pages (concept, url, position, score, …) fit to be read: of each address the first that a concept's searches returned, if its score is `least` or more; `place` orders them by score, then position."""
-    from .relational import first_wins
-
     once = first_wins(pages, [concept, "url"], ["position"]).where(F.col("score") >= least)
     return once.withColumn("place", F.row_number().over(Window.partitionBy(concept).orderBy(F.desc("score"), "position", "url")) - 1)
 
@@ -172,7 +172,8 @@ def source_slice(rows: DataFrame, seed: str, source: str, position: str, top: Co
     """The first rows of each seed and source, in the source's order: `top` (a hint of the seed or the default) times the source's `fanout`."""
     place = F.row_number().over(Window.partitionBy(seed, source).orderBy(position))
     most = top * (F.lit(1) if fanout is None else F.coalesce(fanout, F.lit(1)))
-    return rows.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    at = free_name(rows, "place")
+    return rows.withColumn(at, place).where(F.col(at) <= most).drop(at)
 
 
 def routed(query: Column, bangs: Column) -> Column:

@@ -9,7 +9,7 @@ from cairn.functions import passages as P
 from cairn.functions import text, wiki
 
 from . import gates
-from .relational import first_wins, global_rank, stride_shard
+from .relational import first_wins, free_name, global_rank, stride_shard
 
 #: Fixed value: files of one question to the service.
 BATCH = 50
@@ -51,8 +51,9 @@ def embedded_images(pages: DataFrame, order: str) -> DataFrame:
 def with_file_info(tasks: DataFrame, infos: DataFrame) -> DataFrame:
     """Tasks (file, …) with what the service tells of the file in `infos` (title, …): joined whatever case, underscores and the prefix `File:`; files it does not know go."""
     key = lambda c: text.title_key(F.regexp_replace(c, "^File:", ""))
-    known = first_wins(infos.withColumn("_key", key(F.col("title"))), ["_key"], ["title"])
-    return tasks.withColumn("_key", text.title_key(F.col("file"))).join(known.drop("title"), "_key").drop("_key")
+    by = max((free_name(x, "file_key") for x in (tasks, infos)), key=len)
+    known = first_wins(infos.withColumn(by, key(F.col("title"))), [by], ["title"])
+    return tasks.withColumn(by, text.title_key(F.col("file"))).join(known.drop("title"), by).drop(by)
 
 
 def merged_rounds(rounds: DataFrame) -> DataFrame:

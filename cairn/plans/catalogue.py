@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 folder = shared_folder
 
 
-from . import audit, collect, control, inputs, reports, sdc, search, stats, streams, texts, trees, wiki  # noqa: E402, F401
+from . import audit, collect, control, inputs, markup, reports, sdc, search, stats, streams, texts, trees, wiki  # noqa: E402, F401

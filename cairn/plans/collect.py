@@ -80,6 +80,18 @@ def shard_stride(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stride_shard(global_rank(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", ["doc_id"], "r"), "r", 3, 7).select("doc_id")
 
 
+@query("SELECT doc_id, source FROM documents ORDER BY md5(doc_id || ':7'), doc_id LIMIT 50")
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty documents for a check by hand, the same in every run with this seed."""
+    return control.seeded_sample(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 7, 50)
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || ':11'), o_orderkey) - 1 AS place FROM orders")
+def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in an order that only the seed decides."""
+    return control.seeded_order(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 11, "place")
+
+
 @query("SELECT r // 50 AS batch, list(doc_id ORDER BY r) AS items FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS r FROM documents) GROUP BY 1")
 def batches_of_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches(global_rank(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", ["doc_id"], "r"), "r", 50, "doc_id")

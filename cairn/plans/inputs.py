@@ -80,6 +80,22 @@ def concept_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.concept_seeds(readers.concept_batch(spark, path)).select("name", "query", "lang", "top_n_hint")
 
 
+@query("""
+    SELECT s_name AS name, 'N ' || s_nationkey AS desc, CASE WHEN s_suppkey % 3 = 0 THEN [] ELSE ['a' || s_suppkey] END AS aliases FROM supplier WHERE s_suppkey % 5 <> 4""")
+def named_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instances of documents with five hundred suppliers each: some without a name, each told twice, the second time with a description and aliases, blank ones among them."""
+    n = F.col("s_suppkey")
+    aliases = F.when(n % 3 != 0, F.array(F.lit(" "), F.concat(F.lit(" a"), n.cast("string")))).otherwise(F.array(F.lit("")))
+    name = F.when(n % 5 == 4, F.when(n % 2 == 0, "")).otherwise(F.col("s_name"))
+    once = lambda turn, desc, al: F.struct(n.alias("n"), F.lit(turn).alias("turn"), name.alias("name"), desc.alias("desc"), al.alias("aliases"))
+    none = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    twice = F.array(once(0, *none), once(1, F.concat(F.lit(" N "), F.col("s_nationkey").cast("string"), F.lit(" ")), aliases))
+    batches = table(spark, sf_dir, "supplier").select(F.floor(n / 500).alias("part"), F.explode(twice).alias("i")).groupBy("part").agg(F.array_sort(F.collect_list("i")).alias("instances"))  # a thousand
+    path = folder(spark, "instances")
+    batches.withColumn("instances", F.transform("instances", lambda i: i.dropFields("n", "turn"))).write.partitionBy("part").json(path)
+    return readers.instances(spark, path)
+
+
 @query(r"""
     SELECT 'f''' || o_orderkey || '(1)' || chr(10) || '\.jpg' AS fname, 51200 + o_orderkey AS size FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0
     UNION ALL SELECT 'BITMAP' || doc_id || '.jpg', 60000 + doc_id FROM documents WHERE doc_id % 3 = 0""")

@@ -44,6 +44,16 @@ def wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def instances(spark: SparkSession, path: str, schema: str = "name string, desc string, aliases array<string>") -> DataFrame:
+    """The instances (name, desc, aliases, …) of documents {"instances": […]}, one or more files: those without a name go, the last of a name stays; descriptions and aliases stripped, blank aliases out."""
+    files = spark.read.schema(f"instances array<struct<{', '.join(c.strip().replace(' ', ':', 1) for c in schema.split(', '))}>>").option("multiLine", True).json(path)
+    at = F.struct(F.input_file_name().alias("file"), "pos").alias("at")
+    rows = files.select(F.posexplode("instances").alias("pos", "i")).where(F.col("i.name") != "").select("i", at)
+    last = rows.groupBy(F.col("i.name").alias("name")).agg(F.max_by("i", "at").alias("i")).select("i.*")
+    stripped = F.filter(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.trim(a)), lambda a: a != "")
+    return last.withColumns({"desc": F.trim(F.coalesce("desc", F.lit(""))), "aliases": stripped})
+
+
 #: Images asked of a concept by the strictness of its gate, in batches of version 2.
 GATES = {"strict": 40, "normal": 20, "loose": 10}
 
