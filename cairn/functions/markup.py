@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import html_unescape, squeeze
+from .text import bound, html_unescape, squeeze
 
 #: What stands for a punctuation mark that means itself: the 32 code points that Unicode keeps out of texts.
 MARKS = string.punctuation
@@ -43,11 +43,6 @@ _UNDER = (r"(?s)(?<!\w)(_{1,3})(?![\s_])(.+?)(?<![\s_])\1(?!\w)", "$2")
 EMPHASIS = (_SINGLE, (r"\*\*(?![*\s])([^*]+)(?<![*\s])\*\*", "$1"), _SINGLE, _UNDER, _UNDER)
 
 
-def _bound(value: Column, f) -> Column:
-    """f(value), with the value computed once however often f names it: as the variable of a lambda over one element."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _spliced(text: Column, pattern: str, told) -> Column:
     """`text` with each match of `pattern` replaced by what `told` makes of it."""
 
@@ -55,7 +50,7 @@ def _spliced(text: Column, pattern: str, told) -> Column:
         found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), told)
         return F.array_join(F.zip_with(F.split(t, pattern, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
-    return _bound(text, spliced)
+    return bound(text, spliced)
 
 
 def _replaced(text: Column, steps) -> Column:
@@ -87,7 +82,7 @@ def markdown_to_text(markdown: Column) -> Column:
         of = lambda r, i: F.regexp_extract(r, r"^!?\[([^\[\]]*)\](?:\[([^\[\]]*)\])?$", i)
         named = lambda r: F.array_contains(labels, label(F.coalesce(F.nullif(of(r, 2), F.lit("")), of(r, 1))))
         shown = lambda r: F.when(~named(r), r).when(r.startswith("!"), "").otherwise(of(r, 1))
-        return _bound(block, lambda x: F.when(F.size(labels) > 0, _spliced(x, r"!?\[[^\[\]]*\](?:\[[^\[\]]*\])?", shown)).otherwise(x))
+        return bound(block, lambda x: F.when(F.size(labels) > 0, _spliced(x, r"!?\[[^\[\]]*\](?:\[[^\[\]]*\])?", shown)).otherwise(x))
 
     def inline(block: Column, labels: Column) -> Column:
         linked = _replaced(block, ((rf"!\[[^\[\]]*\]{TARGET}", ""), (rf"\[([^\[\]]*)\]{TARGET}", "$1")))
@@ -97,10 +92,10 @@ def markdown_to_text(markdown: Column) -> Column:
     def shown(lines: Column) -> Column:
         labels = F.transform(F.regexp_extract_all(lines, F.lit(DEFINITION), F.lit(1)), label)
         blocks = F.split(_replaced(F.regexp_replace(lines, DEFINITION, ""), BLOCKS), "\n[ \\t]*\n")
-        return _bound(labels, lambda known: F.array_join(F.transform(blocks, lambda x: inline(x, known)), " "))
+        return bound(labels, lambda known: F.array_join(F.transform(blocks, lambda x: inline(x, known)), " "))
 
     lines = _spliced(F.regexp_replace(markdown, "\\r\\n?", "\n"), LITERAL, literal)
-    return F.translate(squeeze(_bound(_bound(lines, shown), html_unescape)), STAND_INS, MARKS)
+    return F.translate(squeeze(html_unescape(bound(lines, shown))), STAND_INS, MARKS)
 
 
 #: Scheme, host, path, query and fragment of an address or of a reference to one.
@@ -168,4 +163,4 @@ def script_json(script: Column) -> Column:
     between = F.transform(F.split(script, STRING, -1), lambda p: _replaced(p, PLAIN))
     strings = F.transform(F.regexp_extract_all(script, F.lit(STRING), F.lit(0)), requoted)
     json = F.trim(F.array_join(F.zip_with(between, strings, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
-    return _bound(json, lambda j: F.when(F.try_parse_json(F.nullif(j, F.lit(""))).isNotNull(), j))
+    return bound(json, lambda j: F.when(F.try_parse_json(F.nullif(j, F.lit(""))).isNotNull(), j))

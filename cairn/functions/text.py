@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f names it: as the variable of a lambda over one element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def lang_tag(text: Column) -> Column:
     """zh if any character is in U+4E00 to U+9FFF, else latin."""
     return F.when(text.rlike("[\\u4e00-\\u9fff]"), "zh").otherwise("latin")
@@ -208,9 +213,12 @@ def html_unescape(text: Column) -> Column:
         told = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
         return F.when(r.startswith("&#"), F.coalesce(known[F.concat(F.lit("#"), code.cast("string"))], told)).otherwise(F.coalesce(known[r], r))
 
-    rest = F.split(text, REFERENCE, -1)
-    told = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), character)
-    return F.when(text.contains("&"), F.array_join(F.zip_with(rest, told, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")).otherwise(text)
+    def decoded(t: Column) -> Column:
+        told = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), character)
+        joined = F.array_join(F.zip_with(F.split(t, REFERENCE, -1), told, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+        return F.when(t.contains("&"), joined).otherwise(t)
+
+    return bound(text, decoded)
 
 
 def human_bytes(size: Column) -> Column:
