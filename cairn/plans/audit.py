@@ -47,10 +47,16 @@ BODIES = {
 MARKUP = {7: ("  <!DOCTYPE html><p>Error: 429", "html(429)"), 8: ("<html><p>x", "html(?)"), 9: ("<p>hi", "html()"), 10: ("\n<svg>", "svg"), 11: ("<?xml version=1?><svg>", "xml")}
 
 
+#: The first 2048 bytes of a page in hexadecimal, and what stands in them: an error's code, and a title of up to 80 bytes.
+_CODE = "unhex(regexp_extract(head, '^(?:..)*?4572726F723A(?:0[9A-D]|20)*((?:3[0-9]){3})', 1))::VARCHAR"
+_TITLED = "^(?:..)*?3C7469746C653E((?:[0-24-9A-F].|3[0-9ABD-F]){0,80})3C2F7469746C653E"
+
+
 @query(
     "SELECT page_id, CASE page_id % 12 "
     + " ".join(f"WHEN {k} THEN '{c}'" for k, (_, c) in (BODIES | MARKUP).items())
-    + " ELSE 'html(' || CASE WHEN regexp_matches(left(html, 2048), 'Error:\\s*\\d{3}') THEN regexp_extract(html, 'Error:\\s*(\\d{3})', 1) ELSE coalesce(left(trim(nullif(regexp_extract(left(html, 2048), '<title>([^<]{0,80})</title>', 1), '')), 40), '?') END || ')' END AS class FROM pages"
+    + f" ELSE 'html(' || CASE WHEN {_CODE} <> '' THEN {_CODE} WHEN regexp_matches(head, '{_TITLED}') THEN left(trim(decode(unhex(regexp_extract(head, '{_TITLED}', 1)))), 40) ELSE '?' END || ')' END AS class"
+    + " FROM (SELECT page_id, left(hex(encode(html)), 4096) AS head FROM pages)"
 )
 def magic_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of bodies made for each page; every twelfth is the page itself."""
