@@ -290,6 +290,10 @@ def any_within(text: Column, parts: tuple[str, ...]) -> Column:
     return F.coalesce(F.greatest(F.lit(False), *[text.contains(p) for p in parts]), F.lit(False))
 
 
+#: The edge of a word of letters, digits and underscores of any script; the `\b` of some Java versions knows ASCII alone.
+EDGE = r"(?:(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_])|(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_]))"
+
+
 def relevance(name: Column, aliases: Column, title: Column, url: Column, snippet: Column) -> Column:
     """How well a page fits a concept.
 
@@ -302,7 +306,7 @@ def relevance(name: Column, aliases: Column, title: Column, url: Column, snippet
     t = F.trim(F.coalesce(title, F.lit("")))
     known = F.filter(F.transform(F.coalesce(aliases, F.array().cast("array<string>")), lambda a: F.trim(a)), lambda a: a != "")
     short = lambda a: a.rlike("^[A-Za-z0-9 .-]+$") & (F.length(F.replace(a, F.lit(" "), F.lit(""))) < 5)
-    word = lambda a: F.regexp_like(t, F.concat(F.lit("(?i)\\b\\Q"), a, F.lit("\\E\\b"))) & (F.size(F.split(F.trim(F.substring_index(t, "|", 1)), "\\s+")) <= 2)
+    word = lambda a: F.regexp_like(t, F.concat(F.lit(f"(?iu){EDGE}\\Q"), a, F.lit(f"\\E{EDGE}"))) & (F.size(F.split(F.trim(F.substring_index(t, "|", 1)), "\\s+")) <= 2)
     points = F.transform(known, lambda a: F.when(short(a), F.when(word(a), 45).otherwise(0)).when(F.lower(t).contains(F.lower(a)), 55).otherwise(0))
     alias = F.coalesce(F.get(F.filter(points, lambda x: x > 0), F.lit(0)), F.lit(0))
     base = F.when(t == name, 100).when(t.contains(name), 70).otherwise(alias)

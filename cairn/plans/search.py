@@ -77,10 +77,14 @@ _ASKED = """
     FROM (SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS t FROM pages)"""
 
 
+#: A letter, digit or underscore of any script, which words are of, and any other sign.
+_LETTER, _OTHER = "'[\\p{L}\\p{N}_]'", "'[^\\p{L}\\p{N}_]'"
+
+
 @query(f"""
     WITH a AS ({_ASKED}),
     b AS (SELECT *, regexp_full_match(alias, '[A-Za-z0-9 .-]+') AND length(replace(alias, ' ', '')) < 5 AS short, len(string_split_regex(trim(split_part(t, '|', 1)), '\\s+')) <= 2 AS head FROM a),
-    c AS (SELECT *, CASE WHEN t = name THEN 100 WHEN contains(t, name) THEN 70 WHEN alias = '' THEN 0 WHEN short THEN CASE WHEN head AND regexp_matches(t, '(?i)\\b' || regexp_escape(alias) || '\\b') THEN 45 ELSE 0 END WHEN contains(lower(t), lower(alias)) THEN 55 ELSE 0 END
+    c AS (SELECT *, CASE WHEN t = name THEN 100 WHEN contains(t, name) THEN 70 WHEN alias = '' THEN 0 WHEN short THEN CASE WHEN head AND regexp_matches(t, '(?i)' || CASE WHEN alias[1] IN ('.', '-') THEN {_LETTER} ELSE '(?:^|' || {_OTHER} || ')' END || regexp_escape(alias) || CASE WHEN alias[-1] IN ('.', '-') THEN {_LETTER} ELSE '(?:$|' || {_OTHER} || ')' END) THEN 45 ELSE 0 END WHEN contains(lower(t), lower(alias)) THEN 55 ELSE 0 END
         + 6 * len(list_intersect(regexp_extract_all(lower(t), '[a-z]{{3,}}'), regexp_extract_all(lower(name || ' ' || alias), '[a-z]{{3,}}')))
         + CASE WHEN contains(address, 'britannica.com') THEN 8 ELSE 0 END - CASE WHEN contains(address, 'ebay.') THEN 40 ELSE 0 END - CASE WHEN snippet <> '' THEN 40 ELSE 0 END AS score FROM b),
     d AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY page_id // 20, address ORDER BY page_id) = 1)

@@ -30,3 +30,11 @@ def test_magic_classes_count_bytes(spark, tmp_path):
     pages = spark.createDataFrame([(12 * i + 1, "u", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
     got = {r["page_id"] // 12: r["class"] for r in held_against_sql(spark, tmp_path, "magic_classes", pages=pages)}
     assert got == {0: "html(?)", 1: f"html({'é' * 40})", 2: "html(?)", 3: "html()", 4: "html(Whole)", 5: "html(?)", 6: "html(?)", 7: "html(503)", 8: "html(Later)"}
+
+
+def test_relevance_ends_words_at_letters_of_any_script(spark, tmp_path):
+    """An alias of four letters is no word before an accented fifth one."""
+    titles = ["Xyz abcdé | site", "Xyz abcd", "Xyz abcdé abcd", "éabcd abcdé", "Xyz abcd-é"]
+    pages = spark.createDataFrame([(30 * i + 2, "u", page(t)) for i, t in enumerate(titles)], "page_id long, url string, html string")
+    got = held_against_sql(spark, tmp_path, "relevance_top", pages=pages)
+    assert {r["page_id"] // 30 for r in got if r["score"] >= 45} == {1, 4}
