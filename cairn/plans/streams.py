@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import text
 from cairn.sources import sinks
-from cairn.sources.tail import TailSource
+from cairn.sources.tail import PART, TailSource
 from cairn.streaming import cache, streams
 
 from .catalogue import folder, query, table
@@ -60,18 +62,23 @@ def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(streams.budget(_events(spark, sf_dir).select("event_type", "event_id"), "event_type", "event_id", 5), "admitted")
 
 
+#: Micro-batches that a log is read in, about, and the least bytes of one: each holds its keys against the whole ledger, so their number must not grow with the log.
+BATCHES, LEAST_BATCH = 16, 1 << 16
+
+
 @query("SELECT event_id, event_type, user_id FROM events")
 def tail_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger that a tail leaves of a growing file of JSON lines, in micro-batches of 64 KB: every other event, then, after another file took its place, the rest and some again."""
+    """The ledger that a tail leaves of a growing file of JSON lines, in sixteen micro-batches or fewer of 64 KB or more: every other event, then, after another file took its place, the rest and some again."""
     spark.dataSource.register(TailSource)
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
     logs, path, offsets = folder(spark, "log"), folder(spark, "ledger"), folder(spark, "offsets")
     local = text.local_path(logs)
-    source = spark.readStream.format("cairn_tail").option("path", f"{local}/log.jsonl").option("batchBytes", 1 << 16).option("partBytes", 1 << 14).option("position", f"{local}/position.json").load()
-    rows = source.select(F.from_json("line", "event_id long, event_type string, user_id long").alias("r")).select("r.*")
     for keep in ("event_id % 2 = 0", "event_id % 2 = 1 OR event_id % 10 = 0"):
         events.where(keep).select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(f"{logs}/new")  # a log is one file
         sinks.put_in_place(spark, f"{logs}/new", f"{logs}/log.jsonl")
+        batch = max(LEAST_BATCH, -(-os.path.getsize(f"{local}/log.jsonl") // BATCHES))
+        source = spark.readStream.format("cairn_tail").option("path", f"{local}/log.jsonl").option("batchBytes", batch).option("partBytes", min(PART, batch // 4)).option("position", f"{local}/position.json").load()
+        rows = source.select(F.from_json("line", "event_id long, event_type string, user_id long").alias("r")).select("r.*")
         following = streams.merge_stream(rows, path, ["event_id"], ["event_id"], offsets, batches=True)
         following.processAllAvailable()
         following.stop()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 from compare import rows
 
-from cairn.plans import catalogue
+from cairn.plans import catalogue, streams
 
 
 def held_against_sql(spark, folder, name: str, **tables) -> list:
@@ -38,3 +40,14 @@ def test_relevance_ends_words_at_letters_of_any_script(spark, tmp_path):
     pages = spark.createDataFrame([(30 * i + 2, "u", page(t)) for i, t in enumerate(titles)], "page_id long, url string, html string")
     got = held_against_sql(spark, tmp_path, "relevance_top", pages=pages)
     assert {r["page_id"] // 30 for r in got if r["score"] >= 45} == {1, 4}
+
+
+def test_tail_ledger_takes_no_more_batches_of_a_longer_log(spark, tmp_path, monkeypatch):
+    """Many times the least batch in a log are still read in a few batches."""
+    made = lambda _, name: f"{tmp_path}/{name}"
+    monkeypatch.setattr(streams, "folder", made)
+    monkeypatch.setattr(streams, "LEAST_BATCH", 256)
+    monkeypatch.setattr(streams, "BATCHES", 3)
+    events = spark.range(400).selectExpr("id AS event_id", "'click' AS event_type", "id % 7 AS user_id")
+    assert len(held_against_sql(spark, tmp_path, "tail_ledger", events=events)) == 400
+    assert 4 <= len([x for x in os.listdir(tmp_path / "offsets" / "commits") if x.isdigit()]) <= 9
