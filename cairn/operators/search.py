@@ -88,16 +88,21 @@ def merge_infoboxes(boxes: DataFrame) -> DataFrame:
 
     The heaviest engine names it and gives the image; urls and attributes (label, value) are united, the first of each wins; the longest content stays.
     """
-    order = F.struct(-F.col("weight"), "position")
-    rows = F.array_sort(F.collect_list(F.struct("position", "urls", "attributes")))
-    merged = boxes.groupBy("query", "box_id").agg(
+    order, box = F.struct(-F.col("weight"), "position"), ["query", "box_id"]
+    merged = boxes.groupBy(*box).agg(
         F.min_by("engine", order).alias("engine"), F.min_by("img_src", order).alias("img_src"),
-        F.max_by("content", F.struct(F.length(F.coalesce("content", F.lit(""))), -F.col("position"))).alias("content"), rows.alias("_rows"),
+        F.max_by("content", F.struct(F.length(F.coalesce("content", F.lit(""))), -F.col("position"))).alias("content"),
     )
-    attributes = F.flatten(F.transform("_rows", lambda r: r["attributes"]))
-    labels = F.transform(attributes, lambda a: a["label"])
-    once = F.filter(attributes, lambda a, i: F.array_position(labels, a["label"]) == i + 1)
-    return merged.select("query", "box_id", "engine", "img_src", "content", F.array_distinct(F.flatten(F.transform("_rows", lambda r: r["urls"]))).alias("urls"), once.alias("attributes"))
+    # The first of each value is found by grouping before a box's values come together.
+    for name, of in (("urls", F.col("item")), ("attributes", F.col("item.label"))):
+        each = boxes.select(*box, F.struct("position", "urls", "attributes").alias("row"), F.posexplode(name).alias("at", "item")).withColumn("of", of)
+        each = each if name == "urls" else each.where("of IS NOT NULL")
+        firsts = each.groupBy(*box, "of").agg(F.min(F.struct("row", "at", "item")).alias("first"))
+        united = firsts.groupBy(F.col("query").alias("_query"), F.col("box_id").alias("_box")).agg(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["item"]).alias("_united"))
+        same = F.col("query").eqNullSafe(F.col("_query")) & F.col("box_id").eqNullSafe(F.col("_box"))
+        none = F.array().cast(boxes.schema[name].dataType)
+        merged = merged.join(united, same, "left").withColumn(name, F.coalesce("_united", none)).drop("_query", "_box", "_united")
+    return merged.select(*box, "engine", "img_src", "content", "urls", "attributes")
 
 
 def parse_query(text: Column, bangs: tuple[str, ...], languages: tuple[str, ...]) -> Column:

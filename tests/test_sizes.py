@@ -7,6 +7,7 @@ import os
 import duckdb
 from compare import rows
 
+from cairn.operators import search
 from cairn.plans import catalogue, streams
 
 
@@ -51,3 +52,17 @@ def test_tail_ledger_takes_no_more_batches_of_a_longer_log(spark, tmp_path, monk
     events = spark.range(400).selectExpr("id AS event_id", "'click' AS event_type", "id % 7 AS user_id")
     assert len(held_against_sql(spark, tmp_path, "tail_ledger", events=events)) == 400
     assert 4 <= len([x for x in os.listdir(tmp_path / "offsets" / "commits") if x.isdigit()]) <= 9
+
+
+def test_infoboxes_of_many_labels(spark):
+    """The first of each address and label wins, and a box without addresses takes none from the others."""
+    n = 3000
+    boxes = [("q", "b", "e", 1.0, i, "c" * (i % 50), None, None if i % 9 == 0 else [f"u{i % 7}", f"v{i}"], [(f"l{i % 1500}", str(i)), (None, "x")]) for i in range(n)] + [("r", None, "e", 1.0, 0, None, None, None, None)]
+    shape = "query string, box_id string, engine string, weight double, position long, content string, img_src string, urls array<string>, attributes array<struct<label:string,value:string>>"
+    got = {r.query: r for r in search.merge_infoboxes(spark.createDataFrame(boxes, shape)).collect()}
+    urls, labels = {}, {}
+    for b in boxes[:n]:
+        urls.update((u, None) for u in b[7] or () if u not in urls)
+        labels.update((k, v) for k, v in b[8] if k is not None and k not in labels)
+    assert got["q"].urls == list(urls) and [(a.label, a.value) for a in got["q"].attributes] == list(labels.items())
+    assert len(got["q"].content) == 49 and got["r"].urls == [] and got["r"].attributes == []
