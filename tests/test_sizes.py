@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pandas as pd
 from compare import rows
 
 from cairn.operators import search
 from cairn.plans import catalogue, streams
+from cairn.streaming import cache
 
 
 def held_against_sql(spark, folder, name: str, **tables) -> list:
@@ -66,3 +68,64 @@ def test_infoboxes_of_many_labels(spark):
         labels.update((k, v) for k, v in b[8] if k is not None and k not in labels)
     assert got["q"].urls == list(urls) and [(a.label, a.value) for a in got["q"].attributes] == list(labels.items())
     assert len(got["q"].content) == 49 and got["r"].urls == [] and got["r"].attributes == []
+
+
+class State(dict):
+    """A map or list of the state store that counts how often it is asked."""
+
+    calls = 0
+
+    def _counted(self):
+        self.calls += 1
+        return self
+
+    def containsKey(self, k):  # noqa: N802
+        return k in self._counted()
+
+    def getValue(self, k):  # noqa: N802
+        return self._counted()[k]
+
+    def updateValue(self, k, v):  # noqa: N802
+        self._counted()[k] = v
+
+    def appendValue(self, v):  # noqa: N802
+        self._counted()[len(self)] = v
+
+    def appendList(self, vs):  # noqa: N802
+        for v in vs:
+            self.appendValue(v)
+
+    def exists(self):
+        return bool(self)
+
+    def get(self):
+        return iter(self.values())
+
+
+class Handle:
+    def __init__(self):
+        self.map, self.list, self.timers = State(), State(), []
+
+    def getMapState(self, *_):  # noqa: N802
+        return self.map
+
+    def getListState(self, *_):  # noqa: N802
+        return self.list
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+
+def test_cache_asks_its_state_once_for_many_rows():
+    """A bundle of rows asks for each of its keys, not for each row."""
+    n, keys = 4000, 3
+    sets = pd.DataFrame({"op": "set", "key": [f"k{i % keys}" for i in range(n)], "at": range(n), "id": -1, "value": [f"{i:05}" for i in range(n)], "expire": [i + 10 if i % keys else 10**6 for i in range(n)]})
+    gets = pd.DataFrame({"op": "get", "key": [f"k{i % (keys + 1)}" for i in range(n)], "at": range(2000, 2000 + n), "id": range(n), "value": None, "expire": 0})
+    shuffled = pd.concat([sets, gets]).sample(frac=1, random_state=3)
+    processor, handle = cache.ContextCache(1.0), Handle()
+    processor.init(handle)
+    got = pd.concat(list(processor.handleInputRows(("c",), iter([shuffled[:3000], shuffled[3000:]]), None)))
+    last = {f"k{k}": max(i for i in range(n) if i % keys == k) for k in range(keys)}
+    want = {g.id: f"{last[g.key]:05}" if g.key in last and (last[g.key] + 10 if last[g.key] % keys else 10**6) > g.at else None for g in gets.itertuples()}
+    assert dict(zip(got["id"], got["value"], strict=True)) == want and not handle.list.clear()
+    assert handle.map.calls < 100 and handle.list.calls < 10 and len(handle.timers) < 20
