@@ -15,6 +15,21 @@ def bound(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+#: A list with so many distinct values at most is told value by value; each element then looks among these.
+FEW = 24
+
+
+def told_once(found: Column, told) -> Column:
+    """told(x) of each element of a list of strings without nulls, computed once for each distinct one where these are few."""
+
+    def by_value(values: Column, distinct: Column) -> Column:
+        known = F.map_from_arrays(distinct, F.transform(distinct, told))
+        looked_up = bound(known, lambda m: F.transform(values, lambda x: m[x]))
+        return F.when(F.size(distinct) <= FEW, looked_up).otherwise(F.transform(values, told))
+
+    return bound(found, lambda values: bound(F.array_distinct(values), lambda distinct: by_value(values, distinct)))
+
+
 def lang_tag(text: Column) -> Column:
     """zh if any character is in U+4E00 to U+9FFF, else latin."""
     return F.when(text.rlike("[\\u4e00-\\u9fff]"), "zh").otherwise("latin")
@@ -214,7 +229,7 @@ def html_unescape(text: Column) -> Column:
         return F.when(r.startswith("&#"), F.coalesce(known[F.concat(F.lit("#"), code.cast("string"))], told)).otherwise(F.coalesce(known[r], r))
 
     def decoded(t: Column) -> Column:
-        told = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), character)
+        told = told_once(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), character)
         joined = F.array_join(F.zip_with(F.split(t, REFERENCE, -1), told, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
         return F.when(t.contains("&"), joined).otherwise(t)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import html
 import os
 
 import duckdb
 import pandas as pd
 from compare import rows
+from pyspark.sql import functions as F
 
+from cairn.functions import text
 from cairn.operators import search
 from cairn.plans import catalogue, streams
 from cairn.streaming import cache
@@ -129,3 +132,12 @@ def test_cache_asks_its_state_once_for_many_rows():
     want = {g.id: f"{last[g.key]:05}" if g.key in last and (last[g.key] + 10 if last[g.key] % keys else 10**6) > g.at else None for g in gets.itertuples()}
     assert dict(zip(got["id"], got["value"], strict=True)) == want and not handle.list.clear()
     assert handle.map.calls < 100 and handle.list.calls < 10 and len(handle.timers) < 20
+
+
+def test_references_are_told_once_each(spark):
+    """Few distinct references or many in a text: each is decoded, and a list of few values tells each value once."""
+    texts = ["&#x65;&amp;" * 500 + "&#233;", "".join(f"&#{i};" for i in range(300, 420)) * 2, "none", ""]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(text.html_unescape(F.col("t")).alias("x")).collect()
+    assert [r.x for r in got] == [html.unescape(t) for t in texts]
+    drawn = text.told_once(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: (i % 3).cast("string")), lambda x: F.concat(x, F.uuid()))
+    assert len(set(spark.range(1).select(drawn.alias("x")).first().x)) == 3
