@@ -212,8 +212,8 @@ def fetch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.concat_ws("\t", F.concat(F.lit("f"), n), F.concat(F.lit("M"), F.col("o_custkey")), F.lit("Q1:r"), size)
     path = folder(spark, "fetch")
     lines = table(spark, sf_dir, "orders").select(n, F.when(n % 5 == 0, F.concat(F.lit("short\t"), n)).otherwise(whole).alias("value"))
-    lines.coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
-    return readers.fetch_list(spark, path, 1, 4)
+    lines.orderBy("o_orderkey").select("value").write.text(path)  # files by ranges of the key, together one list
+    return readers.fetch_list(spark, path, 1, 4, one=True)
 
 
 @query("""

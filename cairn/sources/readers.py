@@ -150,19 +150,20 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return known.select(F.col("span.file_path").alias("file"), F.coalesce(checked, F.col("at") - F.col("first") + F.col("before")).alias("line"), "value")
 
 
-def fetch_list(spark: SparkSession, path: str, shard: int = 0, shards: int = 1) -> DataFrame:
+def fetch_list(spark: SparkSession, path: str, shard: int = 0, shards: int = 1, one: bool = False) -> DataFrame:
     """(fname, mid, pairs, size) of a shard of a fetch list: tab-separated lines of three columns or more; every `shards`-th of these by their place in their file, from `shard` on. Size is 0 where the fourth is no number.
 
-    Valid lines are numbered within the range of the file that holds them, and the counts of the ranges before are added.
+    With `one` the files, in the order of their names, are one list. Valid lines are numbered as they are read within the range of a file
+    that holds them, without a sort, and the counts of the ranges before are added. Should the second reading be cut into other ranges, it fails.
     """
-    parts = F.split("value", "\t")
-    span = F.struct("_metadata.file_path", "_metadata.file_block_start")
-    lines = spark.read.text(path).select(span.alias("span"), parts.alias("p"), F.monotonically_increasing_id().alias("at")).where(F.size("p") >= 3)
-    before = Window.partitionBy("span.file_path").orderBy("span.file_block_start").rowsBetween(Window.unboundedPreceding, -1)
-    counts = lines.groupBy("span").agg(F.count("*").alias("n")).select(F.col("span").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("span").orderBy("at")) - 1
-    numbered = lines.withColumn("place", place).join(F.broadcast(counts), F.col("span") == F.col("of"))  # a row a range
-    mine = numbered.where((F.col("place") + F.col("before")) % shards == shard)
+    cut = F.struct("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_block_length")
+    valid = lambda: spark.read.text(path).select(cut.alias("span"), F.split("value", "\t").alias("p")).where(F.size("p") >= 3).select("span", "p", F.monotonically_increasing_id().alias("at"))
+    files = Window.orderBy("of.file_path", "of.file_block_start") if one else Window.partitionBy("of.file_path").orderBy("of.file_block_start")
+    ranges = valid().groupBy(F.col("span").alias("of")).agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    counts = ranges.withColumn("before", F.coalesce(F.sum("n").over(files.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    known = valid().join(F.broadcast(counts), F.col("span") == F.col("of"), "left")  # a row a range
+    checked = F.when(F.col("of").isNull() | ~(F.col("at") - F.col("first")).between(0, F.col("n") - 1), F.raise_error(F.lit("the files were cut into other ranges meanwhile")).cast("long"))
+    mine = known.where(F.coalesce(checked, F.col("at") - F.col("first") + F.col("before")) % shards == shard)
     size = F.when(F.get("p", F.lit(3)).rlike("^[0-9]+$"), F.get("p", F.lit(3)).try_cast("long"))
     return mine.select(F.col("p")[0].alias("fname"), F.col("p")[1].alias("mid"), F.col("p")[2].alias("pairs"), F.coalesce(size, F.lit(0)).alias("size"))
 

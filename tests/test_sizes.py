@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cairn.functions import text
 from cairn.operators import search
 from cairn.plans import catalogue, streams
+from cairn.sources import readers
 from cairn.streaming import cache
 
 
@@ -141,3 +142,19 @@ def test_references_are_told_once_each(spark):
     assert [r.x for r in got] == [html.unescape(t) for t in texts]
     drawn = text.told_once(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: (i % 3).cast("string")), lambda x: F.concat(x, F.uuid()))
     assert len(set(spark.range(1).select(drawn.alias("x")).first().x)) == 3
+
+
+def test_fetch_lists_in_several_files_without_a_sort(spark, tmp_path):
+    """Files in the order of their names are one list, read in ranges of any length."""
+    lines = [f"f{i}\tM{i}\tQ1:r\t{i}" if i % 5 else f"short\t{i}" for i in range(400)]
+    for k in range(4):
+        (tmp_path / f"part-{k}").write_text("\n".join(lines[100 * k : 100 * (k + 1)]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        found = readers.fetch_list(spark, str(tmp_path), 1, 4, one=True)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(r.fname for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted(x.split("\t")[0] for x in [x for x in lines if x.count("\t") == 3][1::4])
+    assert "row_number" not in plan
