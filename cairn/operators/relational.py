@@ -50,8 +50,14 @@ def global_rank(df: DataFrame, order: str, ties: list[str], to: str, buckets: in
     kinds = {f.name: f.dataType for f in df.select(*keys).schema}
     sample = df.select(F.struct(*keys).alias("k")).orderBy(F.rand(7)).limit(64 * buckets).orderBy("k").collect()
     cuts = [sample[i * len(sample) // buckets]["k"] for i in range(1, buckets)] if len(sample) > 1 else []
-    listed = F.array(*[F.struct(*[F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys]) for c in dict.fromkeys(cuts)])
-    bucket = F.size(F.filter(listed, lambda c: c < F.struct(*keys))) if cuts else F.lit(0)
+    cuts, step = list(dict.fromkeys(cuts)), 8
+    listed = lambda some: F.array(*[F.struct(*[F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys]) for c in some])
+    below = lambda some: F.size(F.filter(some, lambda c: c < F.struct(*keys)))
+    bucket = F.lit(0)
+    if cuts:  # every eighth cut tells which eight to look among
+        runs = F.array(*[listed(cuts[i : i + step]) for i in range(0, len(cuts), step)])
+        run = below(listed(cuts[step::step])) if len(cuts) > step else F.lit(0)
+        bucket = run * step + below(F.get(runs, run))
     of, n, earlier, place = (free_name(df, x) for x in ("bucket", "bucket_rows", "bucket_before", "bucket_place"))
     df = df.withColumn(of, bucket)
     sizes = df.groupBy(of).agg(F.count("*").alias(n))

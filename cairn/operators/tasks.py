@@ -26,7 +26,9 @@ def file_tasks(concepts: DataFrame, done: DataFrame, order: str, size: int = BAT
 def ledger_tasks(ledger: DataFrame, done: DataFrame, order: str, shard: int, shards: int, tiers: tuple[str, ...] | None = None) -> DataFrame:
     """(qid, file): a shard's share of the files that a ledger (qid, file, tier) names, each once, less those that `done` has. Without `tiers` all count: a file of tasks."""
     rows = ledger if tiers is None else ledger.where(F.col("tier").isin(*tiers))
-    once = first_wins(rows.select("qid", "file", order), ["qid", "file"], [order])
+    # The first of a task is all that is left of it, so a plain minimum does (null first), which is kept in a hash table without a sort.
+    first = F.when(F.count(order) == F.count("*"), F.min(order)).alias(order)
+    once = rows.groupBy("qid", "file").agg(first)
     mine = stride_shard(global_rank(once, order, ["qid", "file"], "_rank"), "_rank", shard, shards)
     return mine.select("qid", "file").join(done.select("qid", "file").distinct(), ["qid", "file"], "left_anti")
 
