@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column
@@ -13,10 +14,14 @@ from .text import bound, html_unescape, squeeze
 MARKS = string.punctuation
 STAND_INS = "".join(chr(0xFDD0 + i) for i in range(len(MARKS)))
 
-#: What is literal in Markdown: an escaped mark, a fenced block, a code span within a paragraph, an address in angle brackets.
+#: One escaped mark. The class names each mark: Java looks single ones up in a table, but walks through ranges.
+_MARK = r"\\[" + re.escape(MARKS) + "]"
+#: A run of escaped marks with what lies between them, lines included, up to where anything else that is literal may begin: not beyond the blanks before a fence.
+ESCAPED = rf"{_MARK}(?:[^\\`~<]++(?:(?![`~])|(?<![\n\r\x85\u2028\u2029] {{1,3}}))|{_MARK})*+"
+#: What is literal in Markdown: escaped marks, a fenced block, a code span within a paragraph, an address in angle brackets.
 #: Groups repeat possessively, so that long ones need no deep stack.
 LITERAL = (
-    r"(?s)\\[!-/:-@\[-`{-~\n]"
+    rf"(?s){ESCAPED}|\\\n"
     r"|(?m:^) {0,3}(`{3,}|~{3,})[^`\n]*(?:\n.*?)??(?:(?m:^) {0,3}\1[`~]*[ \t]*(?=\n|\z)|\z)"
     r"|(?<!`)(`+)(?!`)(?:[^`\n]++|\n(?![ \t]*\n)|(?!(?<!`)\2(?!`))`)*+\2(?!`)"
     r"|<[A-Za-z][A-Za-z0-9+.-]{1,31}:[^\s<>]*>"
@@ -31,16 +36,18 @@ BLOCKS = (
     (r"(?m)^(?:[ \t]*>)++[ \t]?", ""), (r"(?m)^ {0,3}([-*_])(?:[ \t]*\1){2,}+[ \t]*$", "\n\n"), (r"(?m)^(?:[ \t]*(?:[-+*]|[0-9]{1,9}[.)])[ \t]+)++", "\n\n"),
     (r"(?m)^ {0,3}#{1,6}(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$", "\n\n$1\n\n"), (r"(?m)(?<=[^\n]\n)^ {0,3}(?:=+|-+)[ \t]*$", "\n\n"),
 )
-#: What typographers write for signs in ASCII, in this order.
+#: What typographers write for signs in ASCII, in this order. The first of three is part of all that the second matches, here and below.
 REPLACEMENTS = (
-    (r"(?i)\(c\)", "©"), (r"(?i)\(r\)", "®"), (r"(?i)\(tm\)", "™"), (r"\+-", "±"), (r"\.{2,}", "…"), ("([?!])…", "$1.."), ("([?!]){4,}+", "$1$1$1"), (",{2,}", ","),
-    (r"(^|[^-])---(?=[^-]|$)", "$1—"), (r"(^|\s)--(?=\s|$)", "$1–"), (r"(^|[^-\s])--(?=[^-\s]|$)", "$1–"),
-    (r"""(^|[\s(\[{—–])"(?=\S)([^"]*)(?<=\S)"(?=$|[\s)\]}.,:;!?—–])""", "$1“$2”"), (r"(?<=\w)'(?=\w)", "’"), (r"(^|[\s(\[{“—–])'(?=\S)([^']*)(?<=\S)'(?=$|[\s)\]}.,:;!?”—–])", "$1‘$2’"),
+    ("(", r"(?i)\(c\)", "©"), ("(", r"(?i)\(r\)", "®"), ("(", r"(?i)\(tm\)", "™"), ("+-", r"\+-", "±"), ("..", r"\.{2,}", "…"), ("…", "([?!])…", "$1.."),
+    ("!", "([?!]){4,}+", "$1$1$1"), ("????", "([?!]){4,}+", "$1$1$1"), (",,", ",{2,}", ","),
+    ("---", r"(^|[^-])---(?=[^-]|$)", "$1—"), ("--", r"(^|\s)--(?=\s|$)", "$1–"), ("--", r"(^|[^-\s])--(?=[^-\s]|$)", "$1–"),
+    ('"', r"""(^|[\s(\[{—–])"(?=\S)([^"]*)(?<=\S)"(?=$|[\s)\]}.,:;!?—–])""", "$1“$2”"), ("'", r"(?<=\w)'(?=\w)", "’"),
+    ("'", r"(^|[\s(\[{“—–])'(?=\S)([^']*)(?<=\S)'(?=$|[\s)\]}.,:;!?”—–])", "$1‘$2’"),
 )
 #: Emphasis, from the inside out.
-_SINGLE = (r"(?<!\*)\*(?![*\s])([^*]+)(?<![*\s])\*(?!\*)", "$1")
-_UNDER = (r"(?s)(?<!\w)(_{1,3})(?![\s_])(.+?)(?<![\s_])\1(?!\w)", "$2")
-EMPHASIS = (_SINGLE, (r"\*\*(?![*\s])([^*]+)(?<![*\s])\*\*", "$1"), _SINGLE, _UNDER, _UNDER)
+_SINGLE = ("*", r"(?<!\*)\*(?![*\s])([^*]+)(?<![*\s])\*(?!\*)", "$1")
+_UNDER = ("_", r"(?s)(?<!\w)(_{1,3})(?![\s_])(.+?)(?<![\s_])\1(?!\w)", "$2")
+EMPHASIS = (_SINGLE, ("**", r"\*\*(?![*\s])([^*]+)(?<![*\s])\*\*", "$1"), _SINGLE, _UNDER, _UNDER)
 
 
 def _spliced(text: Column, pattern: str, told) -> Column:
@@ -59,6 +66,20 @@ def _replaced(text: Column, steps) -> Column:
     return text
 
 
+def _found(text: Column, steps) -> Column:
+    """As _replaced, of steps (sign, pattern, by): texts without the sign, which most are, meet no pattern."""
+    for sign, pattern, by in steps:
+        text = bound(text, lambda x: F.when(x.contains(sign), F.regexp_replace(x, pattern, by)).otherwise(x))  # noqa: B023
+    return text
+
+
+def _unescaped(run: Column) -> Column:
+    """A run of escaped marks with the stand-in of each: that of the backslash first, so that every other backslash stands before the mark it escapes."""
+    parts = F.split(F.replace(run, F.lit("\\\\"), F.lit(STAND_INS[MARKS.index("\\")])), "\\\\", -1)
+    told = lambda p: F.concat(F.translate(F.substring(p, 1, 1), MARKS, STAND_INS), F.substr(p, F.lit(2)))
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(told(p))), "")
+
+
 def markdown_to_text(markdown: Column) -> Column:
     """The visible text of Markdown, in single spaces: marks of blocks, emphasis and links out, images and tags gone, references decoded, quotes and dashes as typographers write them.
 
@@ -69,12 +90,10 @@ def markdown_to_text(markdown: Column) -> Column:
     def literal(piece: Column) -> Column:
         fenced = piece.rlike(r"^ {0,3}(?:`{3,}[^`\n]*|~{3,}[^`\n]*)(?:\n|\z)")
         inside = _replaced(piece, ((r"^ {0,3}[`~]{3,}[^\n]*\n?", ""), (r"\n? {0,3}[`~]{3,}[ \t]*\z", "")))
-        bare = (
-            F.when(piece.startswith("\\"), F.substring(piece, 2, 1)).when(piece.startswith("<"), F.regexp_replace(piece, "^<|>$", ""))
-            .when(fenced, inside).otherwise(F.regexp_replace(piece, "^`+|`+$", ""))
-        )
+        bare = F.when(piece.startswith("<"), F.regexp_replace(piece, "^<|>$", "")).when(fenced, inside).otherwise(F.regexp_replace(piece, "^`+|`+$", ""))
         kept = F.translate(F.replace(bare, F.lit("\n"), F.lit(" ")), MARKS, STAND_INS)
-        return F.when(fenced, F.concat(F.lit("\n\n"), kept, F.lit("\n\n"))).otherwise(kept)
+        told = F.when(fenced, F.concat(F.lit("\n\n"), kept, F.lit("\n\n"))).otherwise(kept)
+        return F.when(piece == "\\\n", " ").when(piece.startswith("\\"), _unescaped(piece)).otherwise(told)
 
     label = lambda t: F.lower(squeeze(t))
 
@@ -82,12 +101,14 @@ def markdown_to_text(markdown: Column) -> Column:
         of = lambda r, i: F.regexp_extract(r, r"^!?\[([^\[\]]*)\](?:\[([^\[\]]*)\])?$", i)
         named = lambda r: F.array_contains(labels, label(F.coalesce(F.nullif(of(r, 2), F.lit("")), of(r, 1))))
         shown = lambda r: F.when(~named(r), r).when(r.startswith("!"), "").otherwise(of(r, 1))
-        return bound(block, lambda x: F.when(F.size(labels) > 0, _spliced(x, r"!?\[[^\[\]]*\](?:\[[^\[\]]*\])?", shown)).otherwise(x))
+        return bound(block, lambda x: F.when((F.size(labels) > 0) & x.contains("["), _spliced(x, r"!?\[[^\[\]]*\](?:\[[^\[\]]*\])?", shown)).otherwise(x))
 
     def inline(block: Column, labels: Column) -> Column:
-        linked = _replaced(block, ((rf"!\[[^\[\]]*\]{TARGET}", ""), (rf"\[([^\[\]]*)\]{TARGET}", "$1")))
-        untagged = _replaced(referred(linked, labels), (("(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", ""), ("</?[A-Za-z][^<>]*>", "")))
-        return _replaced(F.trim(untagged), (*REPLACEMENTS, *EMPHASIS))
+        linked = _found(block, (("![", rf"!\[[^\[\]]*\]{TARGET}", ""), ("](", rf"\[([^\[\]]*)\]{TARGET}", "$1")))
+        untagged = _found(referred(linked, labels), (("<", "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", ""), ("<", "</?[A-Za-z][^<>]*>", "")))
+        told = html_unescape(_found(F.trim(untagged), (*REPLACEMENTS, *EMPHASIS)))
+        # Whatever is found here has one of the marks.
+        return F.when(block.rlike(f"[{re.escape(MARKS)}]"), told).otherwise(F.trim(block))
 
     def shown(lines: Column) -> Column:
         labels = F.transform(F.regexp_extract_all(lines, F.lit(DEFINITION), F.lit(1)), label)
@@ -95,7 +116,7 @@ def markdown_to_text(markdown: Column) -> Column:
         return bound(labels, lambda known: F.array_join(F.transform(blocks, lambda x: inline(x, known)), " "))
 
     lines = _spliced(F.regexp_replace(markdown, "\\r\\n?", "\n"), LITERAL, literal)
-    return F.translate(squeeze(html_unescape(bound(lines, shown))), STAND_INS, MARKS)
+    return F.translate(squeeze(bound(lines, shown)), STAND_INS, MARKS)
 
 
 #: Scheme, host, path, query and fragment of an address or of a reference to one.

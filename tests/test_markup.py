@@ -102,3 +102,18 @@ def test_seeded_sample(spark, n):
     assert ids == sorted(r.id for r in control.seeded_sample(df.repartition(7), "id", 7, n).collect())
     order = {r.id: r.r for r in control.seeded_order(df, "id", 7, "r").collect()}
     assert ids == sorted(i for i, r in order.items() if r < n)
+
+
+def test_escaped_marks_are_taken_in_runs(spark):
+    """A text that is mostly escapes is few pieces, not one for each mark; a run ends where a fence, code or an address may begin."""
+    texts = {
+        "\\*a\\_ b\\\\c\\\\\\*\nd\\. e": "*a_ b\\c\\* d. e",
+        "x\\.\n  ```\n*y*\n```\n\\*z": "x. *y* *z",
+        "\\`*a*\\` `b\\`c\\` \\<http://x> \\~~~": "`a` b\\c` <http://x> ~~~",
+        "a\\.\u2028 ~~~\n*b*": "a.\u2028 *b*",
+        "\\a \\\nb\\": "\\a b\\",
+    }
+    got = applied(spark, markup.markdown_to_text, list(texts))
+    assert dict(zip(texts, got)) == texts
+    pieces = applied(spark, lambda a: F.size(F.regexp_extract_all(a, F.lit(markup.LITERAL), F.lit(0))), ["\\*a \\_b\n" * 1000, "\\*\n```\n\\*"])
+    assert pieces == [1, 2]
