@@ -46,7 +46,11 @@ def hashes(text: str | None, words: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int = 3) -> int:
     """The signed 64-bit SimHash of a text over its shingles, see `hashes`; a text without words has fingerprint zero."""
-    h = hashes(text, words)
+    return folded(hashes(text, words))
+
+
+def folded(h: np.ndarray) -> int:
+    """The signed 64-bit SimHash of hashes; zero of none."""
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)
@@ -156,9 +160,9 @@ class Forest:
         self.up[r] = r.min()
 
 
-def link_shard(points: np.ndarray, home: np.ndarray, radius: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Links (root, member) that connect what is linked within `radius` through a point at home in the shard."""
-    forest, rng = Forest(len(points)), np.random.default_rng(seed)
+def compared(points: np.ndarray, home: np.ndarray, radius: int, seed: int = 7) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places at home, places, whether within `radius`, a row for each of the first): together all pairs of a shard that are linked through a point at home."""
+    rng = np.random.default_rng(seed)
     todo = [(np.arange(len(points)), home)]
     while todo:
         places, at_home = todo.pop()
@@ -175,23 +179,32 @@ def link_shard(points: np.ndarray, home: np.ndarray, radius: int, seed: int = 7)
         theirs = points[places]
         for i in range(0, len(mine), 64):
             some = mine[i : i + 64]
-            linked = distance(points[some][:, None], theirs[None, :]) <= radius
-            for k in np.flatnonzero(linked.sum(axis=1) > 1):
-                forest.join(places[linked[k]])
+            yield some, places, distance(points[some][:, None], theirs[None, :]) <= radius
+
+
+def link_shard(points: np.ndarray, home: np.ndarray, radius: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Links (root, member) that connect what is linked within `radius` through a point at home in the shard."""
+    forest = Forest(len(points))
+    for _, places, linked in compared(points, home, radius, seed):
+        for k in np.flatnonzero(linked.sum(axis=1) > 1):
+            forest.join(places[linked[k]])
     roots = forest.roots(np.arange(len(points)))
     members = np.flatnonzero(roots != np.arange(len(points)))
     return points[roots[members]], points[members]
 
 
-def links(points: DataFrame, name: str, radius: int) -> DataFrame:
-    """(a, b): links that connect exactly the points, distinct longs, which chains of at most `radius` differing bits connect."""
-    spark = points.sparkSession
+def grown(points: DataFrame, name: str, radius: int) -> tuple[Tree, np.ndarray, float]:
+    """A tree over the points, with the sample it is grown on and how many points each of the sample stands for."""
     n = points.count()
     shards = max(1, -(-n // SHARD))
     share = min(1.0, 1.2 * min(shards * PER_SHARD, MOST_SAMPLED) / max(1, n))
     sampled = points.sample(fraction=share, seed=11).toPandas()[name].to_numpy(np.int64).view(np.uint64)
-    tree = grow(np.sort(sampled), max(8, len(sampled) // shards), radius)
-    shared = spark.sparkContext.broadcast(tree)
+    return grow(np.sort(sampled), max(8, len(sampled) // shards), radius), sampled, n / max(1, len(sampled))
+
+
+def links(points: DataFrame, name: str, radius: int) -> DataFrame:
+    """(a, b): links that connect exactly the points, distinct longs, which chains of at most `radius` differing bits connect."""
+    shared = points.sparkSession.sparkContext.broadcast(grown(points, name, radius)[0])
 
     def send(batches):
         for pdf in batches:

@@ -150,6 +150,30 @@ def test_pipeline_drops_near_copies_of_similarity_0_8(spark, documents, monkeypa
     assert len(want) < old
 
 
+@pytest.mark.parametrize("rows", [1 << 18, 40])
+def test_near_copies_come_from_the_vantage_point_tree(spark, documents, monkeypatch, rows):
+    """The tree's pairs connect exactly what pairs within both radii connect; shards dealt to blocks give some of these and change no row that stays."""
+    monkeypatch.setattr(simhash, "SHARD", 64)
+    monkeypatch.setattr(minhash, "SHARD_ROWS", rows)
+    docs = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    long = [(i, t.split()) for i, t in docs if 200 <= len(t.split())][:30]
+    docs += [(10**6 + i, " ".join([*w[:-1], f"new{k}"])) for k, (i, w) in enumerate(long)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marked = df.select(minhash.marks(F.col("text"), 5).alias("m")).select("m.*").dropDuplicates(["point"]).cache()
+    points = marked.collect()
+    place = {bytes(p.point): i for i, p in enumerate(points)}
+    bits = lambda x, y: ((x ^ y) & (2**64 - 1)).bit_count()
+    fits = lambda p, q: bits(p.by_words, q.by_words) <= 4 and bits(p.by_shingles, q.by_shingles) <= 20 and min(p.n, q.n) >= 0.8 * max(p.n, q.n)
+    got = [(place[bytes(r.a)], place[bytes(r.b)]) for r in minhash.in_shards(marked, 0.8).collect()]
+    assert got and all(fits(points[a], points[b]) for a, b in got)
+    if rows > 40:
+        want = components_of(len(points), [(i, j) for i in range(len(points)) for j in range(i) if fits(points[i], points[j])])
+        assert components_of(len(points), got) == want
+        of = {i: place[minhash.point_of(minhash.shingle_set(t, 5))] for i, t in docs}
+        assert all(want[of[i]] == want[of[10**6 + i]] for i, _ in long)
+    assert sorted(r.doc_id for r in minhash.keep_one(df, "doc_id", "text").collect()) == plain_keep(docs)[0]
+
+
 def test_near_copies_odd_rows(spark, odd):
     kept = minhash.keep_one(odd, "doc_id", "text")
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6, 7]
